@@ -6,16 +6,27 @@ go through :mod:`shelfmark.functions.markup`.
 
 from __future__ import annotations
 
+import json
+from html.entities import name2codepoint
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from shelfmark.functions.text import _col, trim_space
+from shelfmark.functions.text import _col, let, trim_space
+
+# Unclosed parts end with the page (or, for a link, at the next one), as a browser has it; this
+# also keeps matching linear on broken pages.
+_HIDDEN = r"(?is)<(?:!--.*?(?:-->|\z)|script\b.*?(?:</script>|\z)|style\b.*?(?:</style>|\z))"
+_COMMENT_OR_TAG = r"(?s)<(?:!--.*?(?:-->|\z)|[a-zA-Z/!?][^>]*+(?:>|\z))"
+_ANCHOR = r"(?is)<a(?:\s[^>]*+)?(?:>|\z).*?(?:</a>|(?=<a[\s>])|\z)"
 
-_HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script>|<style\b.*?</style>"
-_COMMENT_OR_TAG = r"(?s)<!--.*?-->|<[^>]*>"
 
-# The entities every page may use; &amp; comes last so nothing is decoded twice.
-ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&"))
+# The names HTML gives to characters, from the standard library's table.
+NAMED = {name: chr(code) for name, code in name2codepoint.items()} | {"apos": "'"}
+_NUMERIC = "#[0-9]{1,8}|#[xX][0-9a-fA-F]{1,7}"
+_REFERENCE = rf"(?:{_NUMERIC}|[A-Za-z][A-Za-z0-9]*);"
+# Fixed values of HTML: names that count without their semicolon in text as well.
+_BARE = "(?:amp|lt|gt|quot|nbsp)"
 
 
 def visible(html: Column | str) -> Column:
@@ -23,10 +34,43 @@ def visible(html: Column | str) -> Column:
     return F.regexp_replace(_col(html), _HIDDEN, "")
 
 
-def decode_entities(c: Column) -> Column:
-    for entity, char in ENTITIES:
-        c = F.replace(c, F.lit(entity), F.lit(char))
-    return c
+def _character(reference: Column) -> Column:
+    """Character of a reference without ``&`` and ``;``, NULL when the name is unknown."""
+    number = (
+        F.when(reference.rlike(r"\A#[xX]"), F.conv(F.substr(reference, F.lit(3)), 16, 10))
+        .when(reference.startswith("#"), F.substr(reference, F.lit(2)))
+        .try_cast("bigint")
+    )
+    names = F.from_json(F.lit(json.dumps(NAMED, ensure_ascii=False)), "map<string,string>")
+
+    def numbered(n: Column) -> Column:
+        known = F.when((n > 0) & (n <= 0x10FFFF) & ~n.between(0xD800, 0xDFFF), n).otherwise(F.lit(0xFFFD))
+        # Spark's char() knows Latin-1 only.
+        return F.when(n.isNotNull(), F.decode(F.unhex(F.lpad(F.hex(known), 8, "0")), "UTF-32"))
+
+    return F.coalesce(let(number, numbered), F.element_at(names, reference))
+
+
+def decode_entities(c: Column, bare: bool = True) -> Column:
+    """Decode named and numeric character references, each once.
+
+    ``bare`` also takes the basic names without a semicolon, as HTML does in text but not in
+    attributes.  Text without ``&`` is passed through.
+    """
+    either = f"{_REFERENCE}|{_BARE}" if bare else _REFERENCE
+
+    def rebuilt(p: Column, reference: Column) -> Column:
+        char = _character(F.regexp_replace(reference, ";", ""))
+        rest = F.substr(p, F.length(reference) + 1)
+        return F.coalesce(F.concat(char, rest), F.concat(F.lit("&"), p))
+
+    def piece(p: Column) -> Column:
+        return let(F.regexp_extract(p, rf"\A(?:{either})", 0), lambda reference: rebuilt(p, reference))
+
+    def joined(pieces: Column) -> Column:
+        return F.array_join(F.transform(pieces, lambda p, i: F.when(i == 0, p).otherwise(piece(p))), "")
+
+    return let(c, lambda x: F.when(x.contains("&"), joined(F.split(x, f"&(?={either})"))).otherwise(x))
 
 
 def inner_text(fragment: Column) -> Column:
@@ -41,23 +85,25 @@ def page_text(html: Column | str) -> Column:
 
 def tag_text(html: Column | str, tag: str) -> Column:
     """Text of the first ``tag`` element, '' when there is none."""
-    return inner_text(F.regexp_extract(_col(html), rf"(?is)<{tag}(?:\s[^>]*)?>(.*?)</{tag}>", 1))
+    return inner_text(F.regexp_extract(_col(html), rf"(?is)<{tag}(?:\s[^>]*)?>(.*?)(?:</{tag}>|\z)", 1))
 
 
 def tag_attr(html: Column | str, tag: str, attr: str) -> Column:
     """Quoted attribute of the first ``tag`` that has it, '' when there is none."""
-    return decode_entities(F.regexp_extract(_col(html), rf"""(?is)<{tag}\s[^>]*?\b{attr}\s*=\s*["']([^"'>]*)""", 1))
+    value = F.regexp_extract(_col(html), rf"""(?is)<{tag}\s[^>]*?\b{attr}\s*=\s*["']([^"'>]*)""", 1)
+    return decode_entities(value, bare=False)
 
 
 def _attr(open_tag: Column, attr: str) -> Column:
     """Attribute of one opening tag: double-quoted, single-quoted or bare; '' when absent."""
-    value = rf"""(?is)\A<\w+\b[^>]*?\s{attr}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
-    return decode_entities(F.concat(*(F.coalesce(F.regexp_extract(open_tag, value, g), F.lit("")) for g in (1, 2, 3))))
+    value = rf"""(?is)\A<\w+\b[^>]*?\s{attr}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+    found = F.regexp_replace(F.regexp_extract(open_tag, value, 1), r"""\A["']|["']\z""", "")
+    return decode_entities(found, bare=False)
 
 
 def anchors(html: Column | str) -> Column:
     """Every anchor in page order: ``array<struct<pos bigint, href, title, text>>``."""
-    found = F.regexp_extract_all(visible(html), F.lit(r"(?is)<a(?:\s[^>]*)?>.*?</a>"), F.lit(0))
+    found = F.regexp_extract_all(visible(html), F.lit(_ANCHOR), F.lit(0))
     return F.transform(
         found,
         lambda a, i: F.struct(
@@ -74,6 +120,6 @@ def paragraphs(html: Column | str) -> Column:
     pieces = F.split(visible(html), r"(?i)<p(?:\s[^>]*)?>")
     ends = r"(?is)\A(.*?)(?:</p>|</?(?:article|div|ul|ol|table|h[1-6]|footer|section)\b|\z)"
     return F.transform(
-        F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 1, F.lit(0))),
+        F.slice(pieces, F.lit(2), F.lit(2**31 - 1)),
         lambda p: inner_text(F.regexp_extract(p, ends, 1)),
     )

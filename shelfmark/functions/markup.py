@@ -12,7 +12,7 @@ import re
 import sys
 from bisect import bisect_left, bisect_right
 from dataclasses import dataclass
-from html.parser import HTMLParser
+from html import unescape
 
 import pyarrow as pa
 from pyspark.cloudpickle import register_pickle_by_value
@@ -63,7 +63,21 @@ _DDL = {
 }
 
 
-class _Page(HTMLParser):
+# Comment or declaration; element whose content is text only; end tag; start tag; text.
+# Every alternative may also end with the page and none gives back what it took, so the time
+# is linear in the page whatever it holds.
+_TOKEN = re.compile(
+    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)"""
+    r"""|<(script|style|title|textarea)\b([^>]*+)(?:>|\Z)(.*?)(?:</\1\s*>|\Z)"""
+    r"""|</([a-z][^\s/>]*+)[^>]*+(?:>|\Z)"""
+    r"""|<([a-z][^\s/>]*+)((?:=\s*+"[^"]*+"|=\s*+'[^']*+'|[^>])*+)(?:>|\Z)"""
+    r"""|([^<]+|<)""",
+    re.S | re.I,
+)
+_ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+)))?""")
+
+
+class _Page:
     """Flat element table in page order: tag, attributes, parent, and where the element ends.
 
     ``span`` holds first and end text chunk and the end of the element's descendants, which
@@ -71,38 +85,59 @@ class _Page(HTMLParser):
     """
 
     def __init__(self, html: str):
-        super().__init__(convert_charrefs=True)
         self.tag, self.attrs, self.parent, self.span, self.chunks, self.open = [], [], [], [], [], []
-        self.feed(html)
-        self.close()
+        self.count = {}  # open elements per tag
+        for token in _TOKEN.finditer(html):
+            raw, raw_attrs, content, end, start, attrs, text = token.groups()
+            if text:
+                self.chunks.append(unescape(text) if "&" in text else text)
+            elif start:
+                self._start(start.lower(), attrs)
+            elif end:
+                self._end(end.lower())
+            elif raw:
+                self._start(raw.lower(), raw_attrs)
+                self.chunks.append(unescape(content) if raw.lower() in ("title", "textarea") else content)
+                self._pop()
         while self.open:
             self._pop()
 
     def _pop(self):
-        self.span[self.open.pop()][1:] = len(self.chunks), len(self.tag)
+        i = self.open.pop()
+        self.count[self.tag[i]] -= 1
+        self.span[i][1:] = len(self.chunks), len(self.tag)
 
-    def handle_starttag(self, tag, attrs):
+    def _start(self, tag: str, attrs: str):
         closes = CLOSES.get(tag, ())
-        depth = next((d for d in range(len(self.open) - 1, -1, -1) if self.tag[self.open[d]] in SCOPES), -1)
-        cut = next((d for d in range(depth + 1, len(self.open)) if self.tag[self.open[d]] in closes), None)
-        while cut is not None and len(self.open) > cut:
-            self._pop()
+        if any(self.count.get(name) for name in closes):
+            # Close from the outermost element this tag ends, but not past a table or list.
+            cut = None
+            for depth in range(len(self.open) - 1, -1, -1):
+                name = self.tag[self.open[depth]]
+                if name in closes:
+                    cut = depth
+                elif name in SCOPES:
+                    break
+            while cut is not None and len(self.open) > cut:
+                self._pop()
         self.tag.append(tag)
-        self.attrs.append({k: v or "" for k, v in reversed(attrs)})
+        found = {}
+        for name, *values in _ATTRIBUTE.findall(attrs) if attrs else ():
+            value = values[0] or values[1] or values[2]
+            found.setdefault(name.lower(), unescape(value) if "&" in value else value)
+        self.attrs.append(found)
         self.parent.append(self.open[-1] if self.open else -1)
         self.span.append([len(self.chunks), len(self.chunks), len(self.tag)])
         if tag not in VOID:
             self.open.append(len(self.tag) - 1)
+            self.count[tag] = self.count.get(tag, 0) + 1
 
-    def handle_endtag(self, tag):
-        if any(self.tag[i] == tag for i in self.open):
+    def _end(self, tag: str):
+        if self.count.get(tag):
             while self.tag[self.open[-1]] != tag:
                 self._pop()
             self._pop()
 
-    def handle_data(self, data):
-        self.chunks.append(data)
-
     def text(self, i):
         return "".join(self.chunks[self.span[i][0] : self.span[i][1]])
 
@@ -121,31 +156,35 @@ _TESTS = {
 
 
 def _compile(selector: str):
-    """``a.b > c[d^='e']`` to steps [(needs_direct_parent, [test(tag, attrs)])]."""
+    """``a.b > c[d^='e']`` to steps [(needs_direct_parent, [test(attrs)], tag or None)]."""
     steps, direct = [], False
     for part in re.findall(r"""(?:\[[^\]]*\]|[^\s>\[])+|>""", selector):
         if part == ">":
             direct = True
             continue
-        tests = []
+        tests, name = [], None
         for tag, ident, cls, attr, op, value in _SIMPLE.findall(part):
             if tag:
-                tests.append(lambda t, a, x=tag: t == x)
+                name = tag
             elif ident:
-                tests.append(lambda t, a, x=ident: a.get("id") == x)
+                tests.append(lambda a, x=ident: a.get("id") == x)
             elif cls:
-                tests.append(lambda t, a, x=cls: x in a.get("class", "").split())
+                tests.append(lambda a, x=cls: x in a.get("class", "").split())
             else:
-                tests.append(lambda t, a, k=attr, o=op, x=value: k in a and (not o or _TESTS[o](a[k], x)))
-        steps.append((direct, tests))
+                tests.append(lambda a, k=attr, o=op, x=value: k in a and (not o or _TESTS[o](a[k], x)))
+        steps.append((direct, tests, name))
         direct = False
     return steps
 
 
 def _matches(page: _Page, i: int, steps) -> bool:
-    direct, tests = steps[-1]
-    if not all(t(page.tag[i], page.attrs[i]) for t in tests):
+    direct, tests, tag = steps[-1]
+    if tag and page.tag[i] != tag:
         return False
+    attrs = page.attrs[i]
+    for test in tests:
+        if not test(attrs):
+            return False
     if len(steps) == 1:
         return True
     i = page.parent[i]
@@ -158,8 +197,10 @@ def _matches(page: _Page, i: int, steps) -> bool:
     return False
 
 
-def _find(page: _Page, steps) -> list[int]:
-    return [i for i in range(len(page.tag)) if _matches(page, i, steps)]
+def _find(page: _Page, steps, tag_index) -> list[int]:
+    tag = steps[-1][2]
+    candidates = tag_index.get(tag, ()) if tag else range(len(page.tag))
+    return [i for i in candidates if _matches(page, i, steps)]
 
 
 def _node(page, i):
@@ -186,7 +227,7 @@ def read_page(html: str | None, selects: list[Select], compiled: dict) -> dict:
         tag_index.setdefault(tag, []).append(i)
     out = {}
     for s in selects:
-        found = _find(page, compiled[s.name])
+        found = _find(page, compiled[s.name], tag_index)
         if s.kind == "nodes":
             out[s.name] = [_node(page, i) for i in found]
         elif s.kind == "rows":

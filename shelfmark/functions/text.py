@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -20,9 +22,18 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value computed once per row, however often the body uses it.
+
+    Inside higher-order functions Spark does not share common subexpressions.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def trim_space(c: Column | str) -> Column:
     """Strip Unicode white space from both ends."""
-    return F.regexp_replace(_col(c), rf"\A{_SPACE}+|{_SPACE}+\z", "")
+    # The look-behind tries each inner run of spaces once, not once per character.
+    return F.regexp_replace(_col(c), rf"\A{_SPACE}++|(?<!{_SPACE}){_SPACE}++\z", "")
 
 
 def blank_to_null(c: Column | str) -> Column:
@@ -83,14 +94,14 @@ def longer_than(c: Column | str, n_bytes: int) -> Column:
 
 def keyword_class(text: Column, onsite: str, offsite: str, labels=("apartment", "outcall", "both")) -> Column:
     """Which of two words the lower-cased text holds: one label each, one for both, else ''."""
-    low = F.lower(text)
-    on, off = low.contains(onsite), low.contains(offsite)
-    return (
-        F.when(on & off, F.lit(labels[2]))
-        .when(on, F.lit(labels[0]))
-        .when(off, F.lit(labels[1]))
-        .otherwise(F.lit(""))
-    )
+
+
+    def pick(low: Column) -> Column:
+        on, off = low.contains(onsite), low.contains(offsite)
+        only_one = F.when(on, F.lit(labels[0])).when(off, F.lit(labels[1])).otherwise(F.lit(""))
+        return F.when(on & off, F.lit(labels[2])).otherwise(only_one)
+
+    return let(F.lower(text), pick)
 
 
 def yyyymm(ts: Column | str) -> Column:

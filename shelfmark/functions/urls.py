@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from shelfmark.functions.text import _col, blank_to_null, trim_space
+from shelfmark.functions.text import _col, blank_to_null, let, trim_space
 
 # Words that, followed by digits, mark a link to one listing.
 LISTING_WORDS = ("profile", "user", "id", "listing")
@@ -54,13 +54,13 @@ def listing_key(url: Column | str, pattern: str = LISTING_KEY) -> Column:
 
 def resolve_href(href: Column | str, base: Column | str) -> Column:
     """Absolute form: ``/x`` and ``x`` go under the base, ``http…`` stays; blank gives ''."""
-    href = trim_space(href)
     base = _col(base)
-    return (
-        F.when(href == "", F.lit(""))
-        .when(href.startswith("/"), F.concat(base, href))
-        .when(href.startswith("http"), href)
-        .otherwise(F.concat(base, F.lit("/"), href))
+    return let(
+        trim_space(href),
+        lambda x: F.when(x == "", F.lit(""))
+        .when(x.startswith("/"), F.concat(base, x))
+        .when(x.startswith("http"), x)
+        .otherwise(F.concat(base, F.lit("/"), x)),
     )
 
 

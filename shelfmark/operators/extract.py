@@ -20,6 +20,7 @@ from shelfmark.functions.text import (
     checked_int,
     date_from_text,
     keyword_class,
+    let,
     longer_than,
     parse_price,
     strict_int,
@@ -113,26 +114,26 @@ def _from_row(rows: Column, label: str, pick) -> Column:
     return F.get(hits, F.lit(0))
 
 
-def _place(m: Column, text: Column, rules: SiteRules) -> Column:
+def _place(m: Column, low: Column, rules: SiteRules) -> Column:
     linked = _stations(_texts(m["stations"]), rules.station_bytes)
 
     def row_stations(r: Column) -> Column:
-        return _stations(F.transform(F.get(r["links"], F.lit(1)), trim_space), rules.station_bytes)
+        """NULL for a row without a usable station, so that the next labelled row counts."""
+        found = _stations(F.transform(F.get(r["links"], F.lit(1)), trim_space), rules.station_bytes)
+        return let(found, lambda names: F.when(F.size(names) > 0, names))
 
-    # NULL for a row without a usable station, so that the next labelled row counts.
-    listed = _from_row(m["rows"], rules.station_label, lambda r: F.when(F.size(row_stations(r)) > 0, row_stations(r)))
+    listed = _from_row(m["rows"], rules.station_label, row_stations)
     districts = F.filter(_texts(m["districts"]), lambda s: s != "")
     district = F.coalesce(
-        F.when(F.size(districts) > 0, F.element_at(districts, F.lit(-1))),
+        F.try_element_at(districts, F.lit(-1)),
         _from_row(m["rows"], rules.district_label, lambda r: blank_to_null(trim_space(F.get(r["cells"], F.lit(1))))),
         F.lit(""),
     )
-    low = F.lower(text)
     return F.struct(
-        F.when(F.size(linked) > 0, linked).otherwise(F.coalesce(listed, linked)).alias("stations"),
+        let(linked, lambda names: F.when(F.size(names) > 0, names).otherwise(F.coalesce(listed, names))).alias("stations"),
         district.alias("district"),
         # An element with only white space gives a blank city, one without text the default.
-        F.when(F.array_join(F.transform(m["city"], lambda n: n["text"]), "") != "", _all_text(m["city"]))
+        F.when(F.exists(m["city"], lambda n: n["text"] != ""), _all_text(m["city"]))
         .otherwise(F.lit(rules.default_city))
         .alias("city"),
         low.contains(rules.offsite_word).alias("offsite"),
@@ -198,9 +199,9 @@ def extract_listings(
     ``scraped_at`` the event-time column of the page.
     """
     m = F.col("_m")
-    text = page_text(html)
+    low = F.col("_low")
     photos = F.transform(F.col(images), lambda i: F.concat(F.lit(rules.image_prefix), i["BIMG"])) if images else F.array()
-    parsed = select_from_pages(pages, rules.selects(), html, partitions)
+    parsed = select_from_pages(pages, rules.selects(), html, partitions).withColumn("_low", F.lower(page_text(html)))
     return parsed.select(
         listing_key(url, rules.key_pattern).alias("id"),
         _all_text(m["title"]).alias("title"),
@@ -222,9 +223,9 @@ def extract_listings(
             ).alias("available"),
             F.array().cast("array<string>").alias("additional"),
             F.array().cast("array<string>").alias("restrictions"),
-            keyword_class(text, rules.onsite_word, rules.offsite_word).alias("meeting_type"),
+            keyword_class(low, rules.onsite_word, rules.offsite_word).alias("meeting_type"),
         ).alias("tags"),
-        _place(m, text, rules).alias("location"),
+        _place(m, low, rules).alias("location"),
         _description(m, rules).alias("description"),
         _last_updated(m).alias("last_updated"),
         photos.cast("array<string>").alias("photos"),

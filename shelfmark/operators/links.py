@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.functions.html import anchors, page_text
-from shelfmark.functions.text import blank_to_null, strict_int
+from shelfmark.functions.text import blank_to_null, let, strict_int
 from shelfmark.functions.urls import (
     LISTING_WORDS,
     is_listing_link,
@@ -83,7 +83,9 @@ def page_counts(pages: DataFrame, site: Column, html: str = "html", own_url: str
     if own_url:
         listed = F.greatest(listed, page_number(own_url))
     line = F.regexp_extract(page_text(html), r"\d+\s+\d+\s+\d+\s+\d+\s+\d+\s*\.\.\.\s*(\d+)", 1).try_cast("bigint")
-    per_page = pages.select(site.alias("site"), F.coalesce(F.when(listed > 0, listed), line).alias("_n"))
+    # The text is read only where the links name no page.
+    number = let(listed, lambda n: F.when(n > 0, n).otherwise(line))
+    per_page = pages.select(site.alias("site"), number.alias("_n"))
     return per_page.groupBy("site").agg(F.coalesce(F.max("_n"), F.lit(1)).cast("bigint").alias("pages"))
 
 

@@ -21,8 +21,9 @@ SPACE = r"[\s\p{Z}]"
 
 
 def sql_entities(x: str) -> str:
-    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&nbsp;", " "), ("&amp;", "&")):
-        x = f"replace({x}, '{entity}', '{char}')"
+    names = (("&copy;", "©"), ("&middot;", "·"), ("&lt;?", "<"), ("&gt;?", ">"), ("&quot;?", '"'), ("&amp;?", "&"))
+    for name, char in names:
+        x = f"regexp_replace({x}, '{name}', '{char}', 'g')"
     return x
 
 
@@ -31,7 +32,7 @@ def sql_trim(x: str) -> str:
 
 
 def sql_inner(x: str) -> str:
-    return sql_trim(sql_entities(f"regexp_replace({x}, '<!--.*?-->|<[^>]*>', '', 'gs')"))
+    return sql_trim(sql_entities(f"regexp_replace({x}, '<!--.*?-->|<[a-zA-Z/!?][^>]*>', '', 'gs')"))
 
 
 def sql_tag(tag: str, of: str = "html") -> str:
@@ -115,7 +116,7 @@ n AS (SELECT page_id, max(greatest(try_cast(nullif(regexp_extract(href, '(?i)(?:
       FROM links GROUP BY page_id),
 p AS (SELECT {BASE_SQL} AS site, page_id,
              try_cast(nullif(regexp_extract(url, '(?i)(?:page=|p=|страница=)(\d+)', 1), '') AS BIGINT) AS own,
-             try_cast(nullif(regexp_extract(regexp_replace(html, '<!--.*?-->|<[^>]*>', '', 'gs'),
+             try_cast(nullif(regexp_extract(regexp_replace(html, '<!--.*?-->|<[a-zA-Z/!?][^>]*>', '', 'gs'),
                '\d+\s+\d+\s+\d+\s+\d+\s+\d+\s*\.\.\.\s*(\d+)', 1), '') AS BIGINT) AS line FROM pages),
 c AS (SELECT site, coalesce(max(CASE WHEN greatest(own, n) > 0 THEN greatest(own, n) ELSE line END), 1) AS pages
       FROM p LEFT JOIN n USING (page_id) GROUP BY site)
@@ -176,7 +177,7 @@ def longest_paragraph(spark, sf_dir):
     )
 
 
-TEXT_SQL = sql_entities("regexp_replace(html, '<!--.*?-->|<[^>]*>', '', 'gs')")
+TEXT_SQL = sql_entities("regexp_replace(html, '<!--.*?-->|<[a-zA-Z/!?][^>]*>', '', 'gs')")
 
 
 @query(f"""
@@ -333,7 +334,7 @@ l AS (SELECT page_id, count(*) AS nav_links, string_agg(text, '|' ORDER BY pos)
              count(*) FILTER (WHERE starts_with(href, '/s')) AS slash_links FROM links GROUP BY page_id)
 SELECT page_id, {sql_tag("title")} AS title, {sql_tag("h1")} AS heading, nav_links, nav_text, slash_links,
        {sql_inner(r"regexp_extract(html, '<div class=\"ad\">(.*?)</div>', 1, 'is')")} AS ad,
-       replace(replace({sql_tag("footer")}, '&copy;', '©'), '&middot;', '·') AS footer, false AS has_contact
+       {sql_tag("footer")} AS footer, false AS has_contact
 FROM pages JOIN l USING (page_id)
 """)
 def page_elements(spark, sf_dir):
