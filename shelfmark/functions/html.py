@@ -120,6 +120,6 @@ def paragraphs(html: Column | str) -> Column:
     pieces = F.split(visible(html), r"(?i)<p(?:\s[^>]*)?>")
     ends = r"(?is)\A(.*?)(?:</p>|</?(?:article|div|ul|ol|table|h[1-6]|footer|section)\b|\z)"
     return F.transform(
-        F.slice(pieces, F.lit(2), F.lit(2**31 - 1)),
+        F.filter(pieces, lambda _, i: i > 0),
         lambda p: inner_text(F.regexp_extract(p, ends, 1)),
     )

@@ -39,6 +39,18 @@ def _change_rows(df: DataFrame, keep: Sequence[str], names: Sequence[str], kind:
     )
 
 
+def _hot_keys(df: DataFrame, keys: Sequence[str], share: float, at_least: int) -> DataFrame:
+    """Keys holding more than ``share`` of all rows, and more than ``at_least`` rows.
+
+    There can be at most ``1 / share`` of them, which makes the result safe to broadcast.
+    """
+    total = df.agg(F.count("*")).scalar()
+    counts = df.groupBy(*keys).agg(F.count("*").alias("_n"))
+    return counts.filter((F.col("_n") > F.lit(at_least)) & (F.col("_n") > total * F.lit(share))).select(
+        *(F.col(k).alias(f"_hot_{k}") for k in keys)
+    )
+
+
 def diff_versions(
     df: DataFrame,
     keys: Sequence[str],
@@ -46,16 +58,19 @@ def diff_versions(
     fields: Sequence[str] | dict[str, Column],
     tiebreak: str | Sequence[str] = (),
     split: str | None = "DAY",
+    hot_share: float = 1e-5,
+    hot_rows: int = 100_000,
 ) -> DataFrame:
     """Change rows of a version history: ``insert`` without a predecessor, else ``update``.
 
     An insert lists every field; an update only those that differ.  ``fields`` are names or
     ``{name: column}``; values are compared and stored as text.
 
-    ``split`` is the time unit a key's history is cut into, so a key with a third of all rows
-    is worked on by as many tasks as it has days.  The last row of each piece is carried
-    into the key's next piece, where it is the first row's predecessor.  ``None`` keeps every
-    key whole and saves the second pass; use it when no key is large.
+    The history of a key is one sorted window, except for hot keys (see :func:`_hot_keys`):
+    theirs is cut into pieces of one ``split`` unit, so a key with a third of all rows is
+    worked on by as many tasks as it has days.  The last row of each piece is carried into
+    the key's next piece, where it is the first row's predecessor.  Finding hot keys reads
+    the key columns once more; ``split=None`` skips all of this.
     """
     ties = [tiebreak] if isinstance(tiebreak, str) else list(tiebreak)
     texts = _texts(fields)
@@ -64,17 +79,27 @@ def diff_versions(
     piece: list[str] = []
     if split:
         piece = ["_piece"]
-        rows = rows.withColumn("_piece", F.date_trunc(split, F.col(version)))
+        hot = F.broadcast(_hot_keys(df, keys, hot_share, hot_rows).withColumn("_hot", F.lit(True)))
+        same = [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys]
+        # NULL for the keys that stay whole; a missing version sorts first, so it gets the first piece.
+        unit = F.coalesce(F.date_trunc(split, F.col(version)), F.lit("0001-01-01").cast("timestamp"))
+        rows = rows.join(hot, same, "left").select(
+            *keys, *order, "_new", F.when(F.col("_hot"), unit).alias("_piece"), F.lit(False).alias("_carried")
+        )
         position = F.struct(*order)
-        # One small row per key and piece, combined before the shuffle.
-        last = rows.groupBy(*keys, "_piece").agg(F.max_by(F.struct(*order, "_new"), position).alias("_last"))
+        # One row per hot key and piece, combined before the shuffle.
+        last = (
+            rows.filter(F.col("_piece").isNotNull())
+            .groupBy(*keys, "_piece")
+            .agg(F.max_by(F.struct(*order, "_new"), position).alias("_last"))
+        )
         following = Window.partitionBy(*keys).orderBy("_piece")
         carry = (
             last.withColumn("_piece", F.lead("_piece").over(following))
             .filter(F.col("_piece").isNotNull())
             .select(*keys, "_last.*", "_piece", F.lit(True).alias("_carried"))
         )
-        rows = rows.withColumn("_carried", F.lit(False)).unionByName(carry)
+        rows = rows.unionByName(carry)
 
     w = Window.partitionBy(*keys, *piece).orderBy(*order)
     compared = rows.withColumn("_old", F.lag("_new").over(w))
