@@ -113,7 +113,7 @@ def flatten(
     kept_null = {"created_at", "updated_at", "last_scraped"}
     return base.select(
         *(
-            (values[n] if n in kept_null else F.coalesce(values[n].cast(types[n]), zero_value(types[n]))).alias(n)
+            (values[n] if n in kept_null else F.coalesce(values[n].cast(types[n].simpleString()), zero_value(types[n]))).alias(n)
             for n in LISTING_COLUMNS
         )
     )

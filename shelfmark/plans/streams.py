@@ -86,17 +86,22 @@ def stream_seen_links(spark, sf_dir):
     return sinks.read_batch_table(spark, table, found.schema)
 
 
+def _ingest(spark, sf_dir):
+    table, checkpoint = _folders(spark, "ingest")
+    # The pages may come as one file; parsing them is spread over all cores.
+    cores = spark.sparkContext.defaultParallelism
+    pages = _stream(spark, sf_dir, "pages")
+    monitor.ingest_listings(pages, table, checkpoint, PAGE_RULES, partitions=cores).awaitTermination()
+    return table
+
+
 @query(f"SELECT * FROM ({LISTING_SQL}) WHERE id <> ''")
 def stream_pages(spark, sf_dir):
     """Arriving pages to stored listing rows; pages without a key become dead letters."""
-    table, checkpoint = _folders(spark, "ingest")
-    monitor.ingest_listings(_stream(spark, sf_dir, "pages"), table, checkpoint, PAGE_RULES).awaitTermination()
-    return listing_output(monitor.read_ingested(spark, table))
+    return listing_output(monitor.read_ingested(spark, _ingest(spark, sf_dir)))
 
 
 @query("SELECT url AS source_url, 'no_key' AS error_type FROM pages WHERE NOT regexp_matches(url, '/(\\d+)\\.htm')")
 def stream_dead_letters(spark, sf_dir):
     """The other half of the same ingest."""
-    table, checkpoint = _folders(spark, "ingest")
-    monitor.ingest_listings(_stream(spark, sf_dir, "pages"), table, checkpoint, PAGE_RULES).awaitTermination()
-    return monitor.read_ingested(spark, table, failed=True).select("source_url", "error_type")
+    return monitor.read_ingested(spark, _ingest(spark, sf_dir), failed=True).select("source_url", "error_type")

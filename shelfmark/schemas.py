@@ -155,11 +155,11 @@ def zero_value(dtype: T.DataType):
     if isinstance(dtype, T.BooleanType):
         return F.lit(False)
     if isinstance(dtype, T.ArrayType):
-        return F.array().cast(dtype)
+        return F.array().cast(dtype.simpleString())
     if isinstance(dtype, T.MapType):
-        return F.create_map().cast(dtype)
+        return F.create_map().cast(dtype.simpleString())
     if isinstance(dtype, T.NumericType):
-        return F.lit(0).cast(dtype)
+        return F.lit(0).cast(dtype.simpleString())
     raise ValueError(f"no zero value for {dtype.simpleString()}")
 
 
@@ -175,7 +175,7 @@ def fill_defaults(df: DataFrame, schema: T.StructType, defaults: dict | None = N
     out = []
     for f in schema.fields:
         if f.name in defaults:
-            default = F.lit(defaults[f.name]).cast(f.dataType)
+            default = F.lit(defaults[f.name]).cast(f.dataType.simpleString())
         elif isinstance(f.dataType, T.TimestampType):
             default = F.current_timestamp()
         elif f.name == "id" and "id" not in have:
@@ -185,7 +185,7 @@ def fill_defaults(df: DataFrame, schema: T.StructType, defaults: dict | None = N
         if f.name not in have:
             out.append(default.alias(f.name))
             continue
-        value = F.col(f.name).cast(f.dataType)
+        value = F.col(f.name).cast(f.dataType.simpleString())
         if blank and f.name in defaults and isinstance(f.dataType, T.StringType):
             value = blank_to_null(value)
         out.append(F.coalesce(value, default).alias(f.name))

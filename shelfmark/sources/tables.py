@@ -28,7 +28,8 @@ def write_rows(df: DataFrame, table: Table | str, path: str, mode: str = "append
     """
     t = _table(table)
     out = df.withColumn(MONTH, yyyymm(t.time)).hint("rebalance", MONTH).sortWithinPartitions(MONTH, *t.sort)
-    writer = out.write.mode(mode).partitionBy(MONTH)
+    # Replacing a table replaces all its months, whatever the session says.
+    writer = out.write.mode(mode).option("partitionOverwriteMode", "static").partitionBy(MONTH)
     for c in t.bloom:
         writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true").option(
             f"parquet.bloom.filter.fpp#{c}", "0.01"

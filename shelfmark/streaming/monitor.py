@@ -59,7 +59,8 @@ def collect_new_links(links: DataFrame, path: str, checkpoint: str, key: str = "
     def add(batch: DataFrame, batch_id: int) -> None:
         seen = batch.sparkSession.read.schema(stored).parquet(path).filter(F.col(BATCH) != batch_id)
         fresh = new_only(batch, seen, [key], list(order))
-        fresh.select(*batch.columns).write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+        writer = fresh.select(*batch.columns).write.mode("overwrite").option("partitionOverwriteMode", "static")
+        writer.parquet(f"{path}/{BATCH}={batch_id}")
 
     return for_each_batch(links, add, checkpoint, **options)
 

@@ -42,7 +42,8 @@ def to_batch_table(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         out = fn(batch, batch_id) if fn else batch
-        out.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/{BATCH}={batch_id}")
+        writer = out.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        writer.partitionBy(*partition_by).parquet(f"{path}/{BATCH}={batch_id}")
 
     return for_each_batch(stream, write, checkpoint, **options)
 

@@ -19,8 +19,8 @@ def one(spark, value, fn, dtype="string"):
 @pytest.mark.parametrize(
     "value, plain, tight",
     [
-        ("5 000₽", 5000, 5000),
-        ("5 000 ₽", 5000, 5000),
+        ("5\u202f000₽", 5000, 5000),
+        ("5\u2009000\u202f₽", 5000, 5000),
         ("5 000₽", 0, 5000),
         (" 700", 0, 700),
         ("+700", 700, 700),
@@ -47,13 +47,16 @@ def test_unsigned_wraps_or_is_null(spark, value, bits, wrapped, checked):
     assert one(spark, value, lambda c: T.checked_unsigned(c, bits), "bigint") == checked
 
 
+# Every character with the White_Space property, and some that only look like it.
+SPACES = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
+
 @settings(max_examples=5, deadline=None)
-@given(st.lists(st.text(alphabet=" \t\n\r\x0b\x85\xa0  　ax​", max_size=8), min_size=30, max_size=30))
+@given(st.lists(st.text(alphabet=SPACES + "ax\u200b\u180e", max_size=8), min_size=30, max_size=30))
 def test_trim_matches_unicode_white_space(spark, values):
-    space = " \t\n\r\x0b\x0c\x85\xa0                　"
     df = spark.createDataFrame(list(enumerate(values)), "i int, c string")
     got = {r.i: r.t for r in df.select("i", T.trim_space("c").alias("t")).collect()}
-    assert got == {i: v.strip(space) for i, v in enumerate(values)}
+    assert got == {i: v.strip(SPACES) for i, v in enumerate(values)}
 
 
 def test_byte_lengths_not_characters(spark):
