@@ -1,4 +1,7 @@
-"""Nested listing to one flat row: prefixed columns, price ladder, defaults, casts."""
+"""Nested listing to one flat row: prefixed columns, price ladder, defaults, casts.
+
+The projection is generated as Spark SQL text, one expression per table column.
+"""
 
 from __future__ import annotations
 
@@ -7,9 +10,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.functions.collections import array_or_empty, bucketize, has_key, map_get, size_of
-from shelfmark.functions.text import blank_to_null, checked_unsigned
-from shelfmark.schemas import FLAT_LISTING, LISTING_COLUMNS, PRICE_KEYS, zero_value
+from shelfmark.functions.collections import array_or_empty, bucketize, size_of
+from shelfmark.schemas import FLAT_LISTING, PRICE_KEYS, sql_text, zero_sql
 
 # Per derived price, the structured keys tried first (only above zero) and
 # the older duration labels tried next (any value).  A day reuses the two-hour keys.
@@ -22,25 +24,54 @@ PRICE_LADDERS = {
 BASE_PRICE_KEY = "base"
 
 
-def price_ladder(prices: Column, positives: Sequence[str], fallbacks: Sequence[str]) -> Column:
-    """First positive value among ``positives``, else the first present ``fallbacks`` key, else 0."""
-    above_zero = [F.when(map_get(prices, k) > 0, map_get(prices, k)) for k in positives]
-    return F.coalesce(*above_zero, *(map_get(prices, k) for k in fallbacks), F.lit(0).cast("bigint"))
+def _get(prices: str, key: str) -> str:
+    return f"try_element_at({prices}, {sql_text(key)})"
+
+
+def ladder_sql(prices: str, positives: Sequence[str], fallbacks: Sequence[str]) -> str:
+    above_zero = [f"CASE WHEN {_get(prices, k)} > 0 THEN {_get(prices, k)} END" for k in positives]
+    return f"coalesce({', '.join([*above_zero, *(_get(prices, k) for k in fallbacks), '0L'])})"
 
 
-def ladder_columns(prices: Column, ladders: dict | None = None) -> dict[str, Column]:
-    """The derived prices of one price map, base price included."""
-    out = {name: price_ladder(prices, *keys) for name, keys in (ladders or PRICE_LADDERS).items()}
-    out["price_base"] = F.when(has_key(prices, BASE_PRICE_KEY), map_get(prices, BASE_PRICE_KEY)).otherwise(
-        out["price_hour"]
+def price_ladder(prices: str, positives: Sequence[str], fallbacks: Sequence[str]) -> Column:
+    """First positive value among ``positives``, else the first present ``fallbacks`` key, else 0.
+
+    ``prices`` names a map column.
+    """
+    return F.expr(ladder_sql(prices, positives, fallbacks))
+
+
+def ladders_sql(prices: str, ladders: dict | None = None) -> dict[str, str]:
+    out = {name: ladder_sql(prices, *keys) for name, keys in (ladders or PRICE_LADDERS).items()}
+    base = sql_text(BASE_PRICE_KEY)
+    out["price_base"] = (
+        f"CASE WHEN map_contains_key({prices}, {base}) THEN {_get(prices, BASE_PRICE_KEY)} ELSE {out['price_hour']} END"
     )
     return out
 
 
-def unsigned_map(m: Column, bits: int = 32, policy: str = "null") -> Column:
-    """Map values widened from signed to unsigned; an empty map for NULL."""
-    cast = F.transform_values(m, lambda _, v: checked_unsigned(v, bits, policy))
-    return F.coalesce(cast, F.create_map().cast("map<string,bigint>"))
+def ladder_columns(prices: str, ladders: dict | None = None) -> dict[str, Column]:
+    """The derived prices of one price map column; the base price is its key, else the hour price."""
+    return {name: F.expr(sql) for name, sql in ladders_sql(prices, ladders).items()}
+
+
+def _unsigned_sql(value: str, bits: int, policy: str) -> str:
+    wide = f"CAST({value} AS BIGINT)"
+    if policy == "wrap":
+        return f"pmod({wide}, {1 << bits}L)"
+    if policy == "null":
+        return f"CASE WHEN {wide} BETWEEN 0 AND {(1 << bits) - 1}L THEN {wide} END"
+    raise ValueError(f"unknown policy {policy!r}")
+
+
+def _unsigned_map_sql(m: str, bits: int = 32, policy: str = "null") -> str:
+    cast = f"transform_values({m}, (k, v) -> {_unsigned_sql('v', bits, policy)})"
+    return f"coalesce({cast}, CAST(map() AS MAP<STRING, BIGINT>))"
+
+
+def unsigned_map(m: str, bits: int = 32, policy: str = "null") -> Column:
+    """Values of a map column widened from signed to unsigned; an empty map for NULL."""
+    return F.expr(_unsigned_map_sql(m, bits, policy))
 
 
 def range_error() -> Column:
@@ -76,47 +107,38 @@ def flatten(
     ``policy`` rules numbers outside their unsigned width: ``wrap`` around, or ``null``, where
     the number counts as missing (split such listings off first with :func:`range_error`).
     """
-    stamp = F.current_timestamp()
-    if version:
-        stamp = F.coalesce(F.col(version).cast("timestamp"), stamp)
-
-    # The cast price map becomes a column first: the ladder reads it many times.
-    base = listings.withColumn("_prices", unsigned_map(F.col("pricing.duration_prices"), 32, policy))
-    prices = F.col("_prices")
+    stamp = f"coalesce(CAST({version} AS TIMESTAMP), current_timestamp())" if version else "current_timestamp()"
     values = {
-        "id": F.col("id"),
-        "created_at": stamp,
-        "updated_at": stamp,
-        "last_scraped": stamp,
-        "source_url": F.col("source_url"),
-        "title": F.col("title"),
-        "attr_num": unsigned_map(F.col("attrs.num"), 16, policy),
-        "attr_str": F.col("attrs.str"),
-        "has_contact": F.col("has_contact"),
+        "id": "id",
+        **dict.fromkeys(("created_at", "updated_at", "last_scraped"), stamp),
+        "source_url": "source_url",
+        "title": "title",
+        "attr_num": _unsigned_map_sql("attrs.num", 16, policy),
+        "attr_str": "attrs.str",
+        "has_contact": "has_contact",
         # Without pricing the currency stays blank; the default applies to blank text only.
-        "pricing_currency": F.when(
-            F.col("pricing").isNotNull(), F.coalesce(blank_to_null(F.col("pricing.currency")), F.lit(currency))
-        ),
-        **{f"price_{k}": map_get(prices, k) for k in PRICE_KEYS},
-        **ladder_columns(prices),
-        "pricing_duration_prices": prices,
-        "pricing_service_prices": unsigned_map(F.col("pricing.service_prices"), 32, policy),
-        **{f"tags_{n}": F.col(f"tags.{n}") for n in ("available", "additional", "restrictions", "meeting_type")},
-        **{f"location_{n}": F.col(f"location.{n}") for n in ("stations", "district", "offsite", "onsite")},
-        "location_city": F.coalesce(blank_to_null(F.col("location.city")), F.lit(city)),
-        "description": F.col("description"),
-        "last_updated": F.col("last_updated"),
-        "photos": F.col("photos"),
-        "photos_count": checked_unsigned(size_of(F.col("photos")), 16, policy),
+        "pricing_currency": f"CASE WHEN pricing IS NOT NULL THEN coalesce(nullif(pricing.currency, ''), {sql_text(currency)}) END",
+        **{f"price_{k}": _get("_prices", k) for k in PRICE_KEYS},
+        **ladders_sql("_prices"),
+        "pricing_duration_prices": "_prices",
+        "pricing_service_prices": _unsigned_map_sql("pricing.service_prices", 32, policy),
+        **{f"tags_{n}": f"tags.{n}" for n in ("available", "additional", "restrictions", "meeting_type")},
+        **{f"location_{n}": f"location.{n}" for n in ("stations", "district", "offsite", "onsite")},
+        "location_city": f"coalesce(nullif(location.city, ''), {sql_text(city)})",
+        "description": "description",
+        "last_updated": "last_updated",
+        "photos": "photos",
+        "photos_count": _unsigned_sql("coalesce(size(photos), 0)", 16, policy),
     }
-    types = {f.name: f.dataType for f in FLAT_LISTING.fields}
-    kept_null = {"created_at", "updated_at", "last_scraped"}
-    return base.select(
-        *(
-            (values[n] if n in kept_null else F.coalesce(values[n].cast(types[n].simpleString()), zero_value(types[n]))).alias(n)
-            for n in LISTING_COLUMNS
-        )
-    )
+    columns = []
+    for f in FLAT_LISTING.fields:
+        sql = f"CAST({values[f.name]} AS {f.dataType.simpleString()})"
+        if values[f.name] != stamp:
+            sql = f"coalesce({sql}, {zero_sql(f.dataType)})"
+        columns.append(f"{sql} AS {f.name}")
+    # The cast price map becomes a column first: the ladder reads it many times.
+    cast_prices = f"{_unsigned_map_sql('pricing.duration_prices', 32, policy)} AS _prices"
+    return listings.selectExpr("*", cast_prices).selectExpr(*columns)
 
 
 def with_computed(

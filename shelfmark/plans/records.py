@@ -17,7 +17,7 @@ from shelfmark.functions.text import (
     parse_price,
     yyyymm,
 )
-from shelfmark.operators import analytics, changes, filters, flatten, versions
+from shelfmark.operators import analytics, changes, filters, flatten, reports, versions
 from shelfmark.plans.registry import money, ntz, query, read
 from shelfmark.schemas import LISTING, LONG, TEXT, fill_defaults, struct
 from shelfmark.sources import tables
@@ -234,69 +234,173 @@ def price_ladder(spark, sf_dir):
     )
     prices = F.create_map(*(x for k in per_type for x in (F.lit(k), F.col(f"`{k}`"))))
     mapped = days.select("user_id", "day", F.map_filter(prices, lambda _, v: v.isNotNull()).alias("prices"))
-    ladder = flatten.ladder_columns(F.col("prices"))
+    ladder = flatten.ladder_columns("prices")
     return mapped.select("user_id", "day", *(c.cast("bigint").alias(n) for n, c in ladder.items()))
 
 
-@query("""
-SELECT CAST(p_partkey AS VARCHAR) AS id, p_name AS title, CAST(p_size AS BIGINT) AS width, p_brand AS brand,
+# Parts as catalogue listings: two versions each, the later one dearer and half of them in another city.
+CATALOGUE_SQL = """
+WITH raw AS (
+  SELECT p.*, v, CASE WHEN p_size % 2 = 0 THEN 'Unknown' WHEN v = 1 AND p_size % 4 = 1 THEN 'Moved' ELSE p_brand END AS location_city,
+         TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST(p_partkey % 90 + 30 * v AS INTEGER)) AS updated_at
+  FROM part p, (SELECT unnest([0, 1]) AS v)
+), catalogue AS (
+  SELECT *, CAST(p_partkey AS VARCHAR) AS id, p_name AS title, CAST(p_size AS BIGINT) AS width, p_brand AS brand,
        CASE WHEN p_type = 'ECONOMY' THEN '' ELSE 'RUB' END AS pricing_currency,
-       CASE WHEN p_type = 'ECONOMY' THEN 0 ELSE CAST(floor(p_retailprice) AS BIGINT) * (p_size % 3) END AS price_apartments_day_hour,
+       CASE WHEN p_type = 'ECONOMY' THEN 0 ELSE (CAST(floor(p_retailprice) AS BIGINT) + v) * (p_size % 3) END AS price_apartments_day_hour,
        CASE WHEN p_type = 'ECONOMY' THEN 0 ELSE CAST(p_size AS BIGINT) END AS price_outcall_day_hour,
-       CASE WHEN p_type = 'ECONOMY' THEN 0 WHEN p_size % 3 > 0 AND p_retailprice >= 1 THEN CAST(floor(p_retailprice) AS BIGINT) * (p_size % 3)
+       CASE WHEN p_type = 'ECONOMY' THEN 0 WHEN p_size % 3 > 0 THEN (CAST(floor(p_retailprice) AS BIGINT) + v) * (p_size % 3)
             ELSE CAST(p_size AS BIGINT) END AS price_hour,
        CASE WHEN p_type = 'ECONOMY' THEN 0 ELSE CAST(p_partkey AS BIGINT) END AS price_night,
-       CASE WHEN p_type = 'ECONOMY' THEN 0 WHEN p_size % 3 > 0 AND p_retailprice >= 1 THEN CAST(floor(p_retailprice) AS BIGINT) * (p_size % 3)
-            ELSE CAST(p_size AS BIGINT) END AS price_base,
-       array_to_string(string_split(p_name, ' '), '|') AS tags_available,
-       CASE WHEN p_size % 2 = 0 THEN 'Unknown' ELSE p_brand END AS location_city,
-       CAST(len(string_split(p_name, ' ')) AS BIGINT) AS photos_count
-FROM part
-""")
-def listing_flat(spark, sf_dir):
-    """Parts shaped as nested listings, then flattened to the table columns."""
-    part = read(spark, sf_dir, "part")
-    words = F.split("p_name", " ")
+       string_split(p_name, ' ') AS words
+  FROM raw
+), newest AS (
+  SELECT * FROM catalogue QUALIFY row_number() OVER (PARTITION BY id, location_city ORDER BY updated_at DESC) = 1
+)
+"""
+
+
+def _catalogue(spark, sf_dir):
+    part = read(spark, sf_dir, "part").withColumn("v", F.explode(F.array(F.lit(0), F.lit(1))))
+    words, none = F.split("p_name", " "), F.lit(None)
     prices = F.create_map(
-        F.lit("apartments_day_hour"), (F.floor("p_retailprice") * (F.col("p_size") % 3)).cast("int"),
+        F.lit("apartments_day_hour"), ((F.floor("p_retailprice") + F.col("v")) * (F.col("p_size") % 3)).cast("int"),
         F.lit("outcall_day_hour"), F.col("p_size"),
         F.lit("night"), F.col("p_partkey").cast("int"),
     )
-    none = F.lit(None)
-    nested = part.select(
-        F.col("p_partkey").cast("string").alias("id"),
-        F.col("p_name").alias("title"),
-        F.struct(
+    city = (
+        F.when(F.col("p_size") % 2 == 0, F.lit(""))
+        .when((F.col("v") == 1) & (F.col("p_size") % 4 == 1), F.lit("Moved"))
+        .otherwise(F.col("p_brand"))
+    )
+    days = F.col("p_partkey") % 90 + F.col("v") * 30
+    pricing = F.struct(
+        prices.alias("duration_prices"),
+        F.create_map().cast("map<string,int>").alias("service_prices"),
+        F.lit("").alias("currency"),
+    )
+    columns = {
+        "id": F.col("p_partkey").cast("string"),
+        "title": F.col("p_name"),
+        "attrs": F.struct(
             F.create_map(F.lit("width"), F.col("p_size")).alias("num"),
             F.create_map(F.lit("brand"), F.col("p_brand")).alias("str"),
-        ).alias("attrs"),
-        F.lit(False).alias("has_contact"),
-        F.when(
-            F.col("p_type") != "ECONOMY",
-            F.struct(
-                prices.alias("duration_prices"),
-                F.create_map().cast("map<string,int>").alias("service_prices"),
-                F.lit("").alias("currency"),
-            ),
-        ).alias("pricing"),
-        F.struct(words.alias("available"), none.alias("additional"), none.alias("restrictions"), none.alias("meeting_type")).alias("tags"),
-        F.struct(
-            none.alias("stations"), none.alias("district"),
-            F.when(F.col("p_size") % 2 == 0, F.lit("")).otherwise(F.col("p_brand")).alias("city"),
-            none.alias("offsite"), none.alias("onsite"),
-        ).alias("location"),
-        none.alias("description"), none.alias("last_updated"), words.alias("photos"),
-        none.alias("source_url"), F.lit(AS_OF).alias("scraped_at"),
-    )
-    nested = nested.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in LISTING.fields))
-    flat = flatten.flatten(nested)
-    return flat.select(
+        ),
+        "has_contact": F.lit(False),
+        "pricing": F.when(F.col("p_type") != "ECONOMY", pricing),
+        "tags": F.struct(words.alias("available"), *(none.alias(n) for n in ("additional", "restrictions", "meeting_type"))),
+        "location": F.struct(
+            words.alias("stations"), none.alias("district"), city.alias("city"), none.alias("offsite"), none.alias("onsite")
+        ),
+        "description": none,
+        "last_updated": none,
+        "photos": words,
+        "source_url": none,
+        "scraped_at": F.timestamp_add("DAY", days.cast("int"), F.lit(dt.datetime(2024, 1, 1))),
+    }
+    nested = part.select(*(columns[f.name].cast(f.dataType.simpleString()).alias(f.name) for f in LISTING.fields))
+    return flatten.flatten(nested)
+
+
+@query(CATALOGUE_SQL + """
+SELECT id, title, width, brand, pricing_currency, price_apartments_day_hour, price_outcall_day_hour, price_hour, price_night,
+       price_hour AS price_base, array_to_string(words, '|') AS tags_available, location_city,
+       CAST(len(words) AS BIGINT) AS photos_count, updated_at
+FROM catalogue
+""")
+def listing_flat(spark, sf_dir):
+    """Nested listings flattened to the table columns."""
+    return _catalogue(spark, sf_dir).select(
         "id", "title", map_get("attr_num", "width").alias("width"), map_get("attr_str", "brand").alias("brand"),
         "pricing_currency", "price_apartments_day_hour", "price_outcall_day_hour", "price_hour", "price_night",
         "price_base", F.array_join("tags_available", "|").alias("tags_available"), "location_city", "photos_count",
+        ntz("updated_at").alias("updated_at"),
     )
 
 
+@query(CATALOGUE_SQL + """
+SELECT count(*) AS total, CAST(0 AS BIGINT) AS with_contact, count(*) FILTER (WHERE len(words) > 0) AS with_photos,
+       count(*) FILTER (WHERE price_hour > 0) AS with_price, CAST(0 AS BIGINT) AS with_description,
+       CAST(sum(price_hour) AS DOUBLE) / count(*) AS avg_price, count(DISTINCT location_city) AS cities
+FROM newest
+""")
+def report_summary(spark, sf_dir):
+    return reports.summary(_catalogue(spark, sf_dir))
+
+
+@query(CATALOGUE_SQL + """
+SELECT location_city, count(*) AS n, CAST(sum(price_hour) AS DOUBLE) / count(*) AS avg_value
+FROM newest WHERE price_hour > 0 GROUP BY ALL ORDER BY avg_value DESC, location_city
+""")
+def report_price_by_city(spark, sf_dir):
+    return reports.average_price_by_city(_catalogue(spark, sf_dir))
+
+
+@query(CATALOGUE_SQL + """
+SELECT CASE WHEN width < 10 THEN 'small' WHEN width < 25 THEN 'medium' ELSE 'large' END AS band, count(*) AS n,
+       CAST(sum(price_hour) AS DOUBLE) / count(*) AS avg_value
+FROM newest WHERE width > 0 GROUP BY ALL
+""")
+def report_attribute(spark, sf_dir):
+    return reports.attribute_distribution(_catalogue(spark, sf_dir), "width", (10, 25), ("small", "medium", "large"))
+
+
+@query(CATALOGUE_SQL + """
+SELECT CASE WHEN price_hour < 100 THEN 'low' WHEN price_hour < 1000 THEN 'middle' ELSE 'high' END AS price_range,
+       count(*) AS n, min(price_hour) AS min_value, max(price_hour) AS max_value
+FROM catalogue WHERE price_hour > 0 GROUP BY ALL
+""")
+def report_price_ranges(spark, sf_dir):
+    """Over every stored version."""
+    return reports.price_ranges(_catalogue(spark, sf_dir), (100, 1000), ("low", "middle", "high"), latest_only=False)
+
+
+@query(CATALOGUE_SQL + """
+SELECT id, price_hour, location_city FROM newest
+WHERE list_contains(words, 'red') AND location_city = 'Unknown' AND price_hour BETWEEN 20 AND 1500
+""")
+def report_tagged(spark, sf_dir):
+    return reports.tagged(_catalogue(spark, sf_dir), "red", "Unknown", 20, 1500)
+
+
+@query(CATALOGUE_SQL + """
+SELECT station, count(*) AS n, CAST(sum(price_hour) AS DOUBLE) / count(*) AS avg_value
+FROM (SELECT unnest(words) AS station, price_hour FROM newest) WHERE station <> ''
+GROUP BY ALL ORDER BY n DESC, station LIMIT 20
+""")
+def report_stations(spark, sf_dir):
+    return reports.station_popularity(_catalogue(spark, sf_dir))
+
+
+@query(CATALOGUE_SQL + """
+SELECT CAST(year(first) * 100 + month(first) AS INTEGER) AS yyyymm, count(*) AS n, CAST(sum(price) AS DOUBLE) / count(*) AS avg_value
+FROM (SELECT id, min(updated_at) AS first, arg_max(price_hour, updated_at) AS price FROM catalogue GROUP BY id) GROUP BY ALL
+""")
+def report_months(spark, sf_dir):
+    return reports.listings_per_month(_catalogue(spark, sf_dir))
+
+
+@query(CATALOGUE_SQL + """
+SELECT CAST(updated_at AS DATE) AS day, location_city, count(*) AS n, CAST(sum(price_hour) AS DOUBLE) / count(*) AS avg_value,
+       min(price_hour) AS min_value, max(price_hour) AS max_value
+FROM catalogue GROUP BY ALL
+""")
+def report_days(spark, sf_dir):
+    return reports.daily_city_stats(_catalogue(spark, sf_dir))
+
+
+@query(CATALOGUE_SQL + """
+SELECT id, location_city, title, price_hour, updated_at FROM catalogue
+QUALIFY row_number() OVER (PARTITION BY id ORDER BY updated_at DESC) = 1
+""")
+def catalogue_table(spark, sf_dir):
+    """Listings stored and read back, newest version per id across cities."""
+    path = shared_folder(spark, "listings")
+    tables.append(_catalogue(spark, sf_dir), "listings", path)
+    newest = versions.latest(tables.read(spark, "listings", path), ["id"], "updated_at")
+    return newest.select("id", "location_city", "title", "price_hour", ntz("updated_at").alias("updated_at"))
+
+
 BANDS = ("short", "medium", "long", "very long")
 BAND_EDGES = (500, 1000, 5000)
 BAND_SQL = "CASE WHEN {c} < 500 THEN 'short' WHEN {c} < 1000 THEN 'medium' WHEN {c} < 5000 THEN 'long' ELSE 'very long' END"
@@ -346,8 +450,8 @@ SELECT event_id, key, CAST(json_extract_string(props, '$.' || key) AS BIGINT) AS
 FROM (SELECT event_id, props, unnest(json_keys(props)) AS key FROM events)
 """)
 def map_cast(spark, sf_dir):
-    signed = F.from_json("props", "map<string,int>")
-    return read(spark, sf_dir, "events").select("event_id", F.explode(flatten.unsigned_map(signed)))
+    signed = read(spark, sf_dir, "events").select("event_id", F.from_json("props", "map<string,int>").alias("m"))
+    return signed.select("event_id", F.explode(flatten.unsigned_map("m")))
 
 
 @query("""

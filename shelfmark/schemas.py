@@ -148,18 +148,20 @@ TABLES = {
 SPECIAL_DEFAULTS = {"pricing_currency": "RUB", "location_city": "Unknown"}
 
 
-def zero_value(dtype: T.DataType):
-    """Column holding the type's zero: '', 0, false, empty array or empty map."""
+def sql_text(value: str) -> str:
+    """A Spark SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def zero_sql(dtype: T.DataType) -> str:
+    """The type's zero in Spark SQL: '', 0, false, empty array or empty map."""
     if isinstance(dtype, T.StringType):
-        return F.lit("")
+        return "''"
     if isinstance(dtype, T.BooleanType):
-        return F.lit(False)
-    if isinstance(dtype, T.ArrayType):
-        return F.array().cast(dtype.simpleString())
-    if isinstance(dtype, T.MapType):
-        return F.create_map().cast(dtype.simpleString())
-    if isinstance(dtype, T.NumericType):
-        return F.lit(0).cast(dtype.simpleString())
+        return "false"
+    for kind, empty in ((T.ArrayType, "array()"), (T.MapType, "map()"), (T.NumericType, "0")):
+        if isinstance(dtype, kind):
+            return f"CAST({empty} AS {dtype.simpleString()})"
     raise ValueError(f"no zero value for {dtype.simpleString()}")
 
 
@@ -181,7 +183,7 @@ def fill_defaults(df: DataFrame, schema: T.StructType, defaults: dict | None = N
         elif f.name == "id" and "id" not in have:
             default = F.uuid()
         else:
-            default = zero_value(f.dataType)
+            default = F.expr(zero_sql(f.dataType))
         if f.name not in have:
             out.append(default.alias(f.name))
             continue

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from shelfmark.functions.text import yyyymm
 from shelfmark.operators.filters import retain
+from shelfmark.operators.flatten import flatten
 from shelfmark.operators.versions import latest
-from shelfmark.schemas import INT, TABLES, Table, fill_defaults, plus
+from shelfmark.schemas import INT, LISTING, TABLES, Table, fill_defaults, plus
 
 MONTH = "yyyymm"
 
@@ -63,6 +64,16 @@ def read(spark: SparkSession, table: Table | str, path: str, since: dt.date | No
     return df.drop(MONTH)
 
 
+def read_listings(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """Nested listing records from Parquet, JSON or another file format with nested types."""
+    return spark.read.format(fmt).schema(LISTING).load(path)
+
+
+def append_listings(listings: DataFrame, path: str, **flatten_options) -> None:
+    """Flatten nested listings and append them as new versions."""
+    append(flatten(listings, **flatten_options), "listings", path)
+
+
 def compact(
     spark: SparkSession, table: Table | str, path: str, new_path: str, keys, version: str, tiebreak=()
 ) -> None:
