@@ -1,125 +1,135 @@
 """Regex columns over an HTML text column.
 
 They cover flat tags, where no tree is needed, and stay inside the JVM.  Nested selectors
-go through :mod:`shelfmark.functions.markup`.
+go through :mod:`shelfmark.functions.markup`.  Arguments name a column, or are any Spark SQL
+expression of text; the result is generated as SQL text and parsed once.
 """
 
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from html.entities import name2codepoint
+from itertools import count
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from shelfmark.functions.text import _col, let, trim_space
+from shelfmark.functions.text import SPACE_EDGES, sql_text
 
 # Unclosed parts end with the page (or, for a link, at the next one), as a browser has it; this
 # also keeps matching linear on broken pages.
 _HIDDEN = r"(?is)<(?:!--.*?(?:-->|\z)|script\b.*?(?:</script>|\z)|style\b.*?(?:</style>|\z))"
 _COMMENT_OR_TAG = r"(?s)<(?:!--.*?(?:-->|\z)|[a-zA-Z/!?][^>]*+(?:>|\z))"
 _ANCHOR = r"(?is)<a(?:\s[^>]*+)?(?:>|\z).*?(?:</a>|(?=<a[\s>])|\z)"
-
+_PARAGRAPH_START = r"(?i)<p(?:\s[^>]*)?>"
+_PARAGRAPH = r"(?is)\A(.*?)(?:</p>|</?(?:article|div|ul|ol|table|h[1-6]|footer|section)\b|\z)"
 
 # The names HTML gives to characters, from the standard library's table.
 NAMED = {name: chr(code) for name, code in name2codepoint.items()} | {"apos": "'"}
-_NUMERIC = "#[0-9]{1,8}|#[xX][0-9a-fA-F]{1,7}"
-_REFERENCE = rf"(?:{_NUMERIC}|[A-Za-z][A-Za-z0-9]*);"
+_REFERENCE = "(?:#[0-9]{1,8}|#[xX][0-9a-fA-F]{1,7}|[A-Za-z][A-Za-z0-9]*);"
 # Fixed values of HTML: names that count without their semicolon in text as well.
 _BARE = "(?:amp|lt|gt|quot|nbsp)"
 
+_fresh = count()
+
+
+def _let(value: str, body: Callable[[str], str]) -> str:
+    """``body`` over a value computed once; higher-order functions share no subexpressions."""
+    name = f"_v{next(_fresh)}"
+    return f"transform(array({value}), {name} -> {body(name)})[0]"
+
+
+def _replaced(x: str, pattern: str, by: str = "") -> str:
+    return f"regexp_replace({x}, {sql_text(pattern)}, {sql_text(by)})"
+
+
+def _extracted(x: str, pattern: str, group: int) -> str:
+    return f"regexp_extract({x}, {sql_text(pattern)}, {group})"
+
 
-def visible(html: Column | str) -> Column:
+def _visible(html: str) -> str:
     """The page without comments, scripts and styles (their content is not markup)."""
-    return F.regexp_replace(_col(html), _HIDDEN, "")
+    return _replaced(html, _HIDDEN)
 
 
-def _character(reference: Column) -> Column:
+def _character(reference: str) -> str:
     """Character of a reference without ``&`` and ``;``, NULL when the name is unknown."""
-    number = (
-        F.when(reference.rlike(r"\A#[xX]"), F.conv(F.substr(reference, F.lit(3)), 16, 10))
-        .when(reference.startswith("#"), F.substr(reference, F.lit(2)))
-        .try_cast("bigint")
+    digits = (
+        f"CASE WHEN {reference} RLIKE '^#[xX]' THEN conv(substr({reference}, 3), 16, 10) "
+        f"WHEN startswith({reference}, '#') THEN substr({reference}, 2) END"
     )
-    names = F.from_json(F.lit(json.dumps(NAMED, ensure_ascii=False)), "map<string,string>")
 
-    def numbered(n: Column) -> Column:
-        known = F.when((n > 0) & (n <= 0x10FFFF) & ~n.between(0xD800, 0xDFFF), n).otherwise(F.lit(0xFFFD))
+    def numbered(n: str) -> str:
+        known = f"CASE WHEN {n} BETWEEN 1 AND 55295 OR {n} BETWEEN 57344 AND 1114111 THEN {n} ELSE 65533 END"
         # Spark's char() knows Latin-1 only.
-        return F.when(n.isNotNull(), F.decode(F.unhex(F.lpad(F.hex(known), 8, "0")), "UTF-32"))
+        return f"CASE WHEN {n} IS NOT NULL THEN decode(unhex(lpad(hex({known}), 8, '0')), 'UTF-32') END"
 
-    return F.coalesce(let(number, numbered), F.element_at(names, reference))
+    names = f"from_json({sql_text(json.dumps(NAMED))}, 'map<string,string>')"
+    return f"coalesce({_let(f'try_cast({digits} AS BIGINT)', numbered)}, try_element_at({names}, {reference}))"
 
 
-def decode_entities(c: Column, bare: bool = True) -> Column:
-    """Decode named and numeric character references, each once.
-
-    ``bare`` also takes the basic names without a semicolon, as HTML does in text but not in
-    attributes.  Text without ``&`` is passed through.
-    """
+def _decoded(x: str, bare: bool = True) -> str:
     either = f"{_REFERENCE}|{_BARE}" if bare else _REFERENCE
 
-    def rebuilt(p: Column, reference: Column) -> Column:
-        char = _character(F.regexp_replace(reference, ";", ""))
-        rest = F.substr(p, F.length(reference) + 1)
-        return F.coalesce(F.concat(char, rest), F.concat(F.lit("&"), p))
-
-    def piece(p: Column) -> Column:
-        return let(F.regexp_extract(p, rf"\A(?:{either})", 0), lambda reference: rebuilt(p, reference))
+    def rebuilt(piece: str, reference: str) -> str:
+        character = _character(_replaced(reference, ";"))
+        known = f"concat({character}, substr({piece}, length({reference}) + 1))"
+        return f"coalesce({known}, concat('&', {piece}))"
 
-    def joined(pieces: Column) -> Column:
-        return F.array_join(F.transform(pieces, lambda p, i: F.when(i == 0, p).otherwise(piece(p))), "")
+    def joined(text: str) -> str:
+        piece, i = f"_v{next(_fresh)}", f"_i{next(_fresh)}"
+        tail = _let(_extracted(piece, rf"\A(?:{either})", 0), lambda reference: rebuilt(piece, reference))
+        pieces = f"split({text}, {sql_text(f'&(?={either})')})"
+        return f"array_join(transform({pieces}, ({piece}, {i}) -> CASE WHEN {i} = 0 THEN {piece} ELSE {tail} END), '')"
 
-    return let(c, lambda x: F.when(x.contains("&"), joined(F.split(x, f"&(?={either})"))).otherwise(x))
+    return _let(x, lambda text: f"CASE WHEN contains({text}, '&') THEN {joined(text)} ELSE {text} END")
 
 
-def inner_text(fragment: Column) -> Column:
+def _inner_text(fragment: str) -> str:
     """Text of a fragment: tags out, entities decoded, ends trimmed."""
-    return trim_space(decode_entities(F.regexp_replace(fragment, _COMMENT_OR_TAG, "")))
+    return _replaced(_decoded(_replaced(fragment, _COMMENT_OR_TAG)), SPACE_EDGES)
 
 
-def page_text(html: Column | str) -> Column:
+def _attr(open_tag: str, attr: str) -> str:
+    """Attribute of one opening tag: double-quoted, single-quoted or bare; '' when absent."""
+    value = rf"""(?is)\A<\w+\b[^>]*?\s{attr}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+    return _decoded(_replaced(_extracted(open_tag, value, 1), r"""\A["']|["']\z"""), bare=False)
+
+
+def decode_entities(text: str, bare: bool = True) -> Column:
+    """Decode named and numeric character references, each once.
+
+    ``bare`` also takes the basic names without a semicolon, as HTML does in text but not in
+    attributes.  Text without ``&`` is passed through.
+    """
+    return F.expr(_decoded(text, bare))
+
+
+def page_text(html: str) -> Column:
     """All text of a page, script and style text included."""
-    return decode_entities(F.regexp_replace(_col(html), _COMMENT_OR_TAG, ""))
+    return F.expr(_decoded(_replaced(html, _COMMENT_OR_TAG)))
 
 
-def tag_text(html: Column | str, tag: str) -> Column:
+def tag_text(html: str, tag: str) -> Column:
     """Text of the first ``tag`` element, '' when there is none."""
-    return inner_text(F.regexp_extract(_col(html), rf"(?is)<{tag}(?:\s[^>]*)?>(.*?)(?:</{tag}>|\z)", 1))
+    return F.expr(_inner_text(_extracted(html, rf"(?is)<{tag}(?:\s[^>]*)?>(.*?)(?:</{tag}>|\z)", 1)))
 
 
-def tag_attr(html: Column | str, tag: str, attr: str) -> Column:
+def tag_attr(html: str, tag: str, attr: str) -> Column:
     """Quoted attribute of the first ``tag`` that has it, '' when there is none."""
-    value = F.regexp_extract(_col(html), rf"""(?is)<{tag}\s[^>]*?\b{attr}\s*=\s*["']([^"'>]*)""", 1)
-    return decode_entities(value, bare=False)
-
+    value = _extracted(html, rf"""(?is)<{tag}\s[^>]*?\b{attr}\s*=\s*["']([^"'>]*)""", 1)
+    return F.expr(_decoded(value, bare=False))
 
-def _attr(open_tag: Column, attr: str) -> Column:
-    """Attribute of one opening tag: double-quoted, single-quoted or bare; '' when absent."""
-    value = rf"""(?is)\A<\w+\b[^>]*?\s{attr}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
-    found = F.regexp_replace(F.regexp_extract(open_tag, value, 1), r"""\A["']|["']\z""", "")
-    return decode_entities(found, bare=False)
 
-
-def anchors(html: Column | str) -> Column:
+def anchors(html: str) -> Column:
     """Every anchor in page order: ``array<struct<pos bigint, href, title, text>>``."""
-    found = F.regexp_extract_all(visible(html), F.lit(_ANCHOR), F.lit(0))
-    return F.transform(
-        found,
-        lambda a, i: F.struct(
-            i.cast("bigint").alias("pos"),
-            _attr(a, "href").alias("href"),
-            _attr(a, "title").alias("title"),
-            inner_text(a).alias("text"),
-        ),
-    )
+    found = f"regexp_extract_all({_visible(html)}, {sql_text(_ANCHOR)}, 0)"
+    fields = f"{_attr('_a', 'href')} AS href, {_attr('_a', 'title')} AS title, {_inner_text('_a')} AS text"
+    return F.expr(f"transform({found}, (_a, _pos) -> struct(CAST(_pos AS BIGINT) AS pos, {fields}))")
 
 
-def paragraphs(html: Column | str) -> Column:
+def paragraphs(html: str) -> Column:
     """Text of every ``<p>`` in page order; an unclosed one ends where the next block starts or ends."""
-    pieces = F.split(visible(html), r"(?i)<p(?:\s[^>]*)?>")
-    ends = r"(?is)\A(.*?)(?:</p>|</?(?:article|div|ul|ol|table|h[1-6]|footer|section)\b|\z)"
-    return F.transform(
-        F.filter(pieces, lambda _, i: i > 0),
-        lambda p: inner_text(F.regexp_extract(p, ends, 1)),
-    )
+    pieces = f"filter(split({_visible(html)}, {sql_text(_PARAGRAPH_START)}), (_p, _i) -> _i > 0)"
+    return F.expr(f"transform({pieces}, _p -> {_inner_text(_extracted('_p', _PARAGRAPH, 1))})")

@@ -15,6 +15,8 @@ CONTACT_PATTERN = r"\+?[0-9][0-9 ().-]{8,}[0-9]"
 
 # Every Unicode white-space character; Spark's own trim() removes U+0020 only.
 _SPACE = r"[\s\x0B\x85\p{Z}]"
+# The look-behind tries each inner run of spaces once, not once per character.
+SPACE_EDGES = rf"\A{_SPACE}++|(?<!{_SPACE}){_SPACE}++\z"
 _INTEGER = r"\A[+-]?[0-9]+\z"
 
 
@@ -22,6 +24,11 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def sql_text(value: str) -> str:
+    """A Spark SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with the value computed once per row, however often the body uses it.
 
@@ -32,8 +39,7 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def trim_space(c: Column | str) -> Column:
     """Strip Unicode white space from both ends."""
-    # The look-behind tries each inner run of spaces once, not once per character.
-    return F.regexp_replace(_col(c), rf"\A{_SPACE}++|(?<!{_SPACE}){_SPACE}++\z", "")
+    return F.regexp_replace(_col(c), SPACE_EDGES, "")
 
 
 def blank_to_null(c: Column | str) -> Column:

@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.functions.collections import array_or_empty, bucketize, size_of
-from shelfmark.schemas import FLAT_LISTING, PRICE_KEYS, sql_text, zero_sql
+from shelfmark.functions.text import sql_text
+from shelfmark.schemas import FLAT_LISTING, PRICE_KEYS, zero_sql
 
 # Per derived price, the structured keys tried first (only above zero) and
 # the older duration labels tried next (any value).  A day reuses the two-hour keys.

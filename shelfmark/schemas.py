@@ -148,11 +148,6 @@ TABLES = {
 SPECIAL_DEFAULTS = {"pricing_currency": "RUB", "location_city": "Unknown"}
 
 
-def sql_text(value: str) -> str:
-    """A Spark SQL string literal."""
-    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def zero_sql(dtype: T.DataType) -> str:
     """The type's zero in Spark SQL: '', 0, false, empty array or empty map."""
     if isinstance(dtype, T.StringType):
