@@ -48,7 +48,8 @@ def collect_new_links(links: DataFrame, path: str, checkpoint: str, key: str = "
 
     The batch is reduced to one row per address and matched against the addresses of earlier
     batches; a repeated batch overwrites what it wrote before.  Unlike state, the survivor of
-    an address is fixed: the first in ``order`` within its batch.
+    an address is fixed: the first in ``order`` within its batch.  Every batch reads the address
+    column of the whole table, so take long intervals here and :func:`new_links` for short ones.
     """
 
     # An empty first part, so that the table exists for the first batch.
