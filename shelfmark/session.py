@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,15 +31,8 @@ def build_session(app: str = "shelfmark", master: str | None = None, **extra: st
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder name under ``spark.checkpoint.dir``, which every executor can reach.
-
-    Only a local session may go without the setting; it gets a temporary folder.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="shelfmark-")
+    """A new folder name under ``spark.checkpoint.dir``, else under the warehouse: places that every executor can reach."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir") + "/shelfmark-work"
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
