@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfmark.llm import packing
+from shelfmark.llm import minhash, packing
 from shelfmark.llm.common import read_table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,3 +24,9 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces and their places in sequences of at most 2048 tokens."""
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
     return packing.pack(read_table(spark, sf_dir, "documents"), tokenizer, 2048, keep_ids=False)
+
+
+@query
+def op10_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of two-word shingles have a Jaccard similarity of 0.8 or more."""
+    return minhash.near_duplicates(read_table(spark, sf_dir, "documents"), k=2, percent=80)
