@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shelfmark.llm import minhash, packing
+from shelfmark.llm import minhash, packing, toxicity
 from shelfmark.llm.common import read_table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,3 +31,13 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose sets of two-word shingles have a Jaccard similarity of 0.8 or more."""
     return minhash.near_duplicates(read_table(spark, sf_dir, "documents"), k=2, percent=80)
+
+
+@query
+def op5_crf_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document by a field fitted to labels outside the held-out fifth."""
+    docs = read_table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity.fit_labelled(docs, read_table(spark, sf_dir, "labels")))
+    held_out = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 0, F.lit(False))
+    predicted = (F.col("score") >= 0.5).cast("int")
+    return scored.select("doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted"), "n_toxic", "spans")
