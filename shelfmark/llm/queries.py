@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import minhash, packing, toxicity
+from shelfmark.llm import linededup, minhash, packing, toxicity
 from shelfmark.llm.common import read_table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,3 +41,10 @@ def op5_crf_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 0, F.lit(False))
     predicted = (F.col("score") >= 0.5).cast("int")
     return scored.select("doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted"), "n_toxic", "spans")
+
+
+@query
+def op7_winnowed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the runs of lines that stand earlier in the corpus."""
+    kept = linededup.dedup_lines(read_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_cut", F.char_length("text").cast("long").alias("kept_chars"), "text")
