@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import linededup, minhash, packing, toxicity
+from shelfmark.llm import linededup, minhash, packing, pii, toxicity
 from shelfmark.llm.common import read_table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,3 +48,11 @@ def op7_winnowed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the runs of lines that stand earlier in the corpus."""
     kept = linededup.dedup_lines(read_table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_cut", F.char_length("text").cast("long").alias("kept_chars"), "text")
+
+
+@query
+def op3_weak_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: strict counts, their digest, and all spans."""
+    found = pii.find(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    counts = [F.size(f"base_{k}").cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(pii.listed("base"), 256).alias("base_sha256"), pii.listed("found").alias("spans"))
