@@ -236,43 +236,63 @@ def fit_labelled(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_c
     return fit([r[0] for r in rows], [r[1] for r in rows])
 
 
+def judge(texts: list[str], model: Field, known: dict[str, float]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Score of each text, and for each of its words whether it is toxic. ``known`` keeps emissions of words between calls."""
+    chains = []
+    for t in texts:
+        words = WORD.findall(t)
+        if len(known) > 400_000:
+            known.clear()
+        for w in words:
+            if w not in known:
+                known[w] = model.emission(w)
+        chains.append(np.fromiter(map(known.__getitem__, words), float, len(words)))
+    p = marginals(chains, model.moves)
+    s = model.score(np.array([x.sum() for x in p]), np.array([x.max(initial=0) for x in p]))
+    return s, [x >= 0.5 for x in p]
+
+
+def spans_of(text: str, toxic: np.ndarray) -> str:
+    """start:end of runs of toxic words, comma-joined."""
+    out: list[list[int]] = []
+    for i, m in enumerate(WORD.finditer(text)):
+        if toxic[i]:
+            if i and toxic[i - 1]:
+                out[-1][1] = m.end()
+            else:
+                out.append([m.start(), m.end()])
+    return ",".join(f"{a}:{b}" for a, b in out)
+
+
 def score(docs: DataFrame, model: Field) -> DataFrame:
     """doc_id, score (0 to 1), n_toxic (words with a marginal of at least 0.5), spans (start:end in code points, comma-joined).
 
     Neighbouring toxic words are one span. Null and empty texts get the score of a text without words. Rows are scored each for
-    itself, so repeated rows score alike; other columns are ignored.
+    itself, so repeated rows score alike; other columns are ignored. An empty table gives no rows.
     """
     schema = pa.schema([("doc_id", pa.int64()), ("score", pa.float64()), ("n_toxic", pa.int64()), ("spans", pa.string())])
 
-    def spans_of(text: str, toxic: np.ndarray) -> str:
-        out: list[list[int]] = []
-        for i, m in enumerate(WORD.finditer(text)):
-            if toxic[i]:
-                if i and toxic[i - 1]:
-                    out[-1][1] = m.end()
-                else:
-                    out.append([m.start(), m.end()])
-        return ",".join(f"{a}:{b}" for a, b in out)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, float] = {}
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            chains = []
-            for t in texts:
-                words = WORD.findall(t)
-                if len(known) > 400_000:
-                    known.clear()
-                for w in words:
-                    if w not in known:
-                        known[w] = model.emission(w)
-                chains.append(np.fromiter(map(known.__getitem__, words), float, len(words)))
-            p = marginals(chains, model.moves)
-            s = model.score(np.array([x.sum() for x in p]), np.array([x.max(initial=0) for x in p]))
-            hits = [x >= 0.5 for x in p]
+            s, hits = judge(texts, model, known)
             spans = [spans_of(t, h) if h.any() else "" for t, h in zip(texts, hits, strict=True)]
-            columns = [batch.column(0), s, [int(h.sum()) for h in hits], spans]
-            yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+            counts = pa.array([int(h.sum()) for h in hits], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(s), counts, pa.array(spans, pa.string())], schema=schema)
 
     ids = docs.select(F.col("doc_id").cast("long"), F.col("text"))
     return ids.mapInArrow(run, "doc_id long, score double, n_toxic long, spans string")
+
+
+def drop_toxic(docs: DataFrame, model: Field, threshold: float = 0.5) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, whose score is below ``threshold``."""
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, float] = {}
+        for batch in batches:
+            s, _ = judge([t or "" for t in batch.column(at).to_pylist()], model, known)
+            yield batch.filter(pa.array(s < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
