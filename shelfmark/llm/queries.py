@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import linededup, minhash, packing, pii, toxicity
+from shelfmark.llm import fingerprint, linededup, minhash, packing, pii, toxicity
 from shelfmark.llm.common import read_table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,3 +56,19 @@ def op3_weak_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     counts = [F.size(f"base_{k}").cast("long").alias(f"n_{k}") for k in pii.KINDS]
     return found.select("doc_id", *counts, F.sha2(pii.listed("base"), 256).alias("base_sha256"), pii.listed("found").alias("spans"))
+
+
+@query
+def op6_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches of every document and of its edited text, and their likeness to it and to the next document."""
+    rows = fingerprint.edited(fingerprint.with_next(read_table(spark, sf_dir, "documents")))
+    rows = fingerprint.add_sketch(rows, "edited", "edited_sketch")
+    return rows.select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        fingerprint.as_text("sketch").alias("fingerprint"),
+        fingerprint.as_text("edited_sketch").alias("edited_fingerprint"),
+        fingerprint.containment("sketch", "edited_sketch").alias("near_edited"),
+        fingerprint.containment("sketch", "next_sketch").alias("near_next"),
+    )
