@@ -173,8 +173,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
     members = materialize(shared.select("key", "doc_id", "first"), "members")
     pairs = members.where("doc_id <> first").select(F.col("first").alias("a"), F.col("doc_id").alias("b")).distinct()
     tried = materialize(pairs, "pairs")
-    links = materialize(links.union(verify(tried, docs, k, percent)), "verified")
-    components = connected_components(links)
+    components = connected_components(links.union(verify(tried, docs, k, percent)))
 
     rest, step = members.where("doc_id <> first").select("key", "doc_id"), 4
     while True:
@@ -190,8 +189,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
         pairs = rest.join(bases, "key").where("doc_id > a AND own <> _own").select("a", F.col("doc_id").alias("b")).distinct()
         pairs = materialize(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
         tried = tried.union(pairs)
-        links = materialize(links.union(verify(pairs, docs, k, percent)), "verified")
-        components = connected_components(links)
+        components = connected_components(components.toDF("a", "b").union(verify(pairs, docs, k, percent)))
         last = bases.groupBy("key").agg(F.max("a").alias("_last"))
         rest = rest.join(last, "key").where("doc_id > _last").select("key", "doc_id")
         step *= 4

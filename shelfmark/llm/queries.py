@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import fingerprint, linededup, minhash, packing, pii, toxicity
+from shelfmark.llm import egojoin, fingerprint, linededup, minhash, packing, pii, toxicity
 from shelfmark.llm.common import read_table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,3 +72,9 @@ def op6_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
         fingerprint.containment("sketch", "edited_sketch").alias("near_edited"),
         fingerprint.containment("sketch", "next_sketch").alias("near_next"),
     )
+
+
+@query
+def op4_epsilon_grid_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors at a cosine of 0.95 or more."""
+    return egojoin.similar(read_table(spark, sf_dir, "embeddings"), 0.95)
