@@ -5,10 +5,10 @@ the signature. A shingle's values under all shifts stand next to each other in t
 signature is the minimum over slices of one small array. Bands of coordinates are hashed; documents that share a band are
 candidates, and a candidate is a link only if the full sets of shingles say so.
 
-Documents of equal sets are one candidate. Inside a bucket candidates are compared with its smallest document first; what ends
-up in one component needs no further look, and buckets whose members stay apart go on with 4, 16, ... more documents to
-compare with until every pair is linked through others or has been checked. Nothing is capped, and no bucket is ever expanded
-into all of its pairs while they are copies of each other.
+Documents of equal sets are one candidate. Inside a bucket candidates are compared with its smallest document first, and what ends
+up in one component needs no further look. In a bucket that still holds several components, the documents outside its largest
+one meet all others of the bucket, cut into groups of bounded size; a group counts common shingles in place and returns at most
+one link from a document to a component, never its pairs. So every pair that shares a band is either connected or checked.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.llm.common import first_of_group, materialize, salt_of, ship
@@ -29,6 +29,8 @@ ship(__name__)
 UNIVERSE_BITS = 20
 #: Bands and rows of a band. A pair at Jaccard 0.8 shares no band with probability (1 - 0.8^6)^32 = 6e-5.
 BANDS, ROWS = 32, 6
+#: Documents of a bucket that meet in one group: so many outside its largest component, and so many of all.
+OUTSIDE, INSIDE = 500, 1000
 #: Buckets of document ids of which the wanted ones are broadcast: at most so many integers, whatever the input.
 ID_BUCKETS = 1 << 18
 
@@ -156,6 +158,69 @@ def verify(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
+class Held:
+    """Sets that wait for others to be compared with: for each shingle the sets that have it."""
+
+    def __init__(self, rows: list[tuple[int, int, np.ndarray]]):
+        self.ids, self.own, sets = (list(x) for x in zip(*rows, strict=True)) if rows else ([], [], [])
+        self.own = np.array(self.own, np.int64)
+        self.sizes = np.array([len(x) for x in sets], np.int64)
+        owners = np.repeat(np.arange(len(sets)), self.sizes)
+        values = np.concatenate(sets) if sets else np.empty(0, np.uint64)
+        order = np.argsort(values, kind="stable")
+        self.owners = owners[order]
+        self.values, self.starts = np.unique(values[order], return_index=True)
+        self.ends = np.append(self.starts[1:], len(values))
+
+    def common(self, hashes: np.ndarray) -> np.ndarray:
+        """Number of shingles each held set has in common with ``hashes``."""
+        at = np.intersect1d(self.values, hashes, assume_unique=True, return_indices=True)[1]
+        if not len(at):
+            return np.zeros(len(self.sizes), np.int64)
+        n = self.ends[at] - self.starts[at]
+        places = np.repeat(self.starts[at] - np.append(0, np.cumsum(n)[:-1]), n) + np.arange(n.sum())
+        return np.bincount(self.owners[places], minlength=len(self.sizes))
+
+
+def settle(members: DataFrame, components: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """Links (a, b) between components that share a bucket of ``members`` (key, doc_id), at most one for a document and component."""
+    rows = members.join(components.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+    rows = rows.select("key", "doc_id", F.coalesce("component", "doc_id").alias("own"))
+    whole = rows.groupBy("key", "own").agg(F.count("*").alias("n")).groupBy("key")
+    whole = whole.agg(F.sum("n").alias("n"), F.max(F.struct("n", "own")).alias("top"), F.count("*").alias("owns")).where("owns > 1")
+    cut = whole.select("key", F.col("top.own").alias("main"), F.expr(f"(n - top.n) div {OUTSIDE} + 1").alias("outs"), F.expr(f"n div {INSIDE} + 1").alias("ins"))
+    rows = materialize(rows.join(cut, "key"), "open")
+    held = rows.where("own <> main").select("key", F.pmod(F.xxhash64("doc_id"), "outs").alias("r"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("ins") - 1)).alias("m"), F.lit(0).alias("kind"), "doc_id", "own")
+    other = rows.select("key", F.explode(F.sequence(F.lit(0).cast("long"), F.col("outs") - 1)).alias("r"), F.pmod(F.xxhash64("doc_id", F.lit(1)), "ins").alias("m"), F.lit(1).alias("kind"), "doc_id", "own")
+    sets = materialize(sets_of(docs, rows, k), "sets")
+    dealt = held.union(other).join(sets, "doc_id").select("key", "r", "m", "kind", "doc_id", "own", "set")
+    dealt = dealt.repartition("key", "r", "m").sortWithinPartitions("key", "r", "m", "kind")
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, waiting, base, told = None, [], None, set()
+        for batch in batches:
+            found: tuple[list, list] = ([], [])
+            for key, r, m, kind, doc, own, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                hashes = np.frombuffer(raw, np.uint64)
+                if group != (key, r, m):
+                    group, waiting, base, told = (key, r, m), [], None, set()
+                if kind == 0:
+                    waiting.append((doc, own, hashes))
+                    continue
+                base = base or Held(waiting)
+                both = base.common(hashes)
+                linked = (100 * both >= percent * (base.sizes + len(hashes) - both)) & (base.own != own)
+                for i in np.flatnonzero(linked):
+                    if (i, own) not in told:
+                        told.add((i, own))
+                        found[0].append(base.ids[i])
+                        found[1].append(doc)
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in found], schema=schema)
+
+    return dealt.mapInArrow(run, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable by links), kept (doc_id = component_id), one row per row.
 
@@ -172,27 +237,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
     shared = first_of_group(banded, "key", "doc_id").where("size > 1")
     members = materialize(shared.select("key", "doc_id", "first"), "members")
     pairs = members.where("doc_id <> first").select(F.col("first").alias("a"), F.col("doc_id").alias("b")).distinct()
-    tried = materialize(pairs, "pairs")
-    components = connected_components(links.union(verify(tried, docs, k, percent)))
-
-    rest, step = members.where("doc_id <> first").select("key", "doc_id"), 4
-    while True:
-        named = components.withColumnRenamed("node", "doc_id")
-        rest = rest.join(named, "doc_id", "left").select("key", "doc_id", F.coalesce("component", "doc_id").alias("own"))
-        open_keys = rest.groupBy("key").agg(F.min("own").alias("_a"), F.max("own").alias("_b")).where("_a < _b").select("key")
-        rest = materialize(rest.join(open_keys, "key", "left_semi"), "open")
-        if rest.isEmpty():
-            break
-        nth = F.row_number().over(Window.partitionBy("key").orderBy("doc_id"))
-        bases = rest.withColumn("_nth", nth).where(F.col("_nth") <= step)
-        bases = materialize(bases.select("key", F.col("doc_id").alias("a"), F.col("own").alias("_own")), "bases")
-        pairs = rest.join(bases, "key").where("doc_id > a AND own <> _own").select("a", F.col("doc_id").alias("b")).distinct()
-        pairs = materialize(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
-        tried = tried.union(pairs)
-        components = connected_components(components.toDF("a", "b").union(verify(pairs, docs, k, percent)))
-        last = bases.groupBy("key").agg(F.max("a").alias("_last"))
-        rest = rest.join(last, "key").where("doc_id > _last").select("key", "doc_id")
-        step *= 4
+    components = connected_components(links.union(verify(materialize(pairs, "pairs"), docs, k, percent)))
+    components = connected_components(components.toDF("a", "b").union(settle(members.select("key", "doc_id"), components, docs, k, percent)))
 
     out = signed.select("doc_id", "n_shingles").join(components.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     component = F.coalesce("component", "doc_id")
