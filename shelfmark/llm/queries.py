@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import egojoin, fingerprint, linededup, minhash, packing, pii, toxicity
+from shelfmark.llm import egojoin, fingerprint, linededup, minhash, packing, pii, toxicity, warc
 from shelfmark.llm.common import read_table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,3 +78,11 @@ def op6_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_epsilon_grid_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of all vectors at a cosine of 0.95 or more."""
     return egojoin.similar(read_table(spark, sf_dir, "embeddings"), 0.95)
+
+
+@query
+def op2_sharded_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives of all pages, written and read back."""
+    path = warc.archive_folder(spark)
+    warc.write(read_table(spark, sf_dir, "pages"), path, roll_bytes=4 << 20)
+    return warc.read(spark, path, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
