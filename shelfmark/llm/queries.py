@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import egojoin, fingerprint, linededup, minhash, packing, pii, toxicity, warc
+from shelfmark.llm import chat, egojoin, fingerprint, linededup, minhash, packing, pii, toxicity, warc
 from shelfmark.llm.common import read_table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,3 +86,12 @@ def op2_sharded_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = warc.archive_folder(spark)
     warc.write(read_table(spark, sf_dir, "pages"), path, roll_bytes=4 << 20)
     return warc.read(spark, path, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query
+def op8_schema_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one of control strings, formatted and read back."""
+    rows = read_table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
+    text = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-7, 0, "user", text), (-7, 1, "assistant", text)], rows.schema)
+    return chat.digests(chat.format_records(chat.records_of(rows.union(extra)))).withColumnRenamed("record_id", "conv_id")
