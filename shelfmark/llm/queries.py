@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import chat, egojoin, fingerprint, linededup, minhash, packing, pii, toxicity, warc
+from shelfmark.llm import chat, egojoin, fingerprint, linededup, minhash, packing, pii, toxicity, unigram, warc
 from shelfmark.llm.common import read_table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,3 +95,11 @@ def op8_schema_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = "</s>[INST] ok [/INST]"
     extra = spark.createDataFrame([(-7, 0, "user", text), (-7, 1, "assistant", text)], rows.schema)
     return chat.digests(chat.format_records(chat.records_of(rows.union(extra)))).withColumnRenamed("record_id", "conv_id")
+
+
+@query
+def op9_unigram_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document, and the digest of the text decoded from them."""
+    model = unigram.Model.load(public_tokenizers.path("piece_bpe_32k.model"))
+    rows = unigram.decode(unigram.encode(read_table(spark, sf_dir, "documents"), model), model)
+    return rows.select("doc_id", F.size("ids").cast("long").alias("n_ids"), F.sha2("text", 256).alias("decoded_sha256"), "ids")

@@ -1,0 +1,80 @@
+"""Segmentation against the sentencepiece library in unigram mode, and exact round trips."""
+
+import random
+
+import public_tokenizers
+import sentencepiece
+
+from shelfmark.llm import unigram
+
+PATH = public_tokenizers.path("piece_bpe_32k.model")
+BITS = ["the", "ing", "  ", " ", "a", "Zwölf", "é", "日本", "😀", "\n", "\t", "x", "1234", ".", "ß", " ", "und", "tion", "́"]
+
+
+def library():
+    """The same pieces and scores read as a unigram model: field 3 of the trainer settings (field 2) says which."""
+    proto = open(PATH, "rb").read() + bytes([0x12, 0x02, 0x18, 0x01])
+    sp = sentencepiece.SentencePieceProcessor()
+    sp.LoadFromSerializedProto(proto)
+    return sp
+
+
+def ids(segmenter, text):
+    return [int.from_bytes(raw[i : i + 4], "little") for raw in [segmenter.encode(text)] for i in range(0, len(raw), 4)]
+
+
+def plain_search(sp, pieces, text):
+    """Best path by dictionary look-ups over whole texts, without trie, stretches or stores."""
+    t = "▁" + text.replace(" ", "▁")
+    low = min(s for s, _ in pieces.values()) - unigram.UNKNOWN_PENALTY
+    best = [(0.0, [])] + [None] * len(t)
+    for end in range(1, len(t) + 1):
+        for start in range(end):
+            found = pieces.get(t[start:end])
+            if found is None and end - start == 1:
+                found = low, [sp.piece_to_id(f"<0x{b:02X}>") for b in t[start:end].encode()]
+            if found and (best[end] is None or best[start][0] + found[0] > best[end][0]):
+                best[end] = best[start][0] + found[0], best[start][1] + list(found[1])
+    return best[-1][1]
+
+
+def test_equal_to_plain_search_and_library():
+    rng, sp, seg = random.Random(8), library(), unigram.Segmenter(unigram.Model.load(PATH), limit=50)
+    normal = [i for i in range(sp.get_piece_size()) if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or sp.is_unused(i))]
+    pieces = {sp.id_to_piece(i): (sp.get_score(i), [i]) for i in normal}
+    for _ in range(600):
+        text = "".join(rng.choice(BITS) for _ in range(rng.randint(1, 12)))
+        assert ids(seg, text) == plain_search(sp, pieces, text), repr(text)
+    # The library adds in single precision, so compare it where no piece of score -1e9 takes part.
+    for _ in range(600):
+        text = " ".join("".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(1, 9))) for _ in range(3))
+        mine = ids(seg, text)
+        theirs = sp.nbest_encode_as_ids(text, 1)[0]
+        assert sum(sp.get_score(i) for i in mine) >= sum(sp.get_score(i) for i in theirs)
+        assert mine == theirs or sum(map(sp.get_score, mine)) == sum(map(sp.get_score, theirs)), repr(text)
+
+
+def test_round_trip(spark):
+    rng = random.Random(9)
+    texts = ["".join(rng.choice([*BITS, "▁", "﷐", "\0"]) for _ in range(rng.randint(0, 30))) for _ in range(300)]
+    rows = [*enumerate(texts), (1000, None), (1001, ""), (None, "x"), (0, texts[0]), (1002, "word " * 40_000), (1003, "a" * 30_000)]
+    model = unigram.Model.load(PATH)
+    df = spark.createDataFrame([(d, t, [1]) for d, t in rows], "doc_id long, text string, ids array<int>")
+    encoded = unigram.encode(df, model)
+    got = unigram.decode(encoded, model).select("doc_id", "text").collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(((d, t or "") for d, t in rows), key=repr)
+    assert unigram.encode(df.limit(0), model).count() == 0
+    odd = spark.createDataFrame([(1, None), (2, []), (3, [model.byte_ids[0xE2]])], "doc_id long, ids array<int>")
+    assert [r.text for r in unigram.decode(odd, model).orderBy("doc_id").collect()] == [None, "", "�"]
+
+
+def test_trie():
+    keys = {w.encode(): i for i, w in enumerate(["a", "ab", "abc", "b", "é", "日", "日本", "zz"])}
+    trie = unigram.Trie.build(keys)
+    for text in (*keys, b"x", b"abcd", b"ac", b"\xff", b"z"):
+        node, ok = 0, True
+        for c in text:
+            child = int(trie.base[node]) + c + 1
+            ok = ok and trie.check[child] == node
+            node = child if ok else node
+        assert (int(trie.value[node]) if ok else -1) == keys.get(text, -1)
