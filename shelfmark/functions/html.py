@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
-from html.entities import name2codepoint
+from html.entities import html5
 from itertools import count
 
 from pyspark.sql import Column
@@ -26,10 +26,12 @@ _PARAGRAPH_START = r"(?i)<p(?:\s[^>]*)?>"
 _PARAGRAPH = r"(?is)\A(.*?)(?:</p>|</?(?:article|div|ul|ol|table|h[1-6]|footer|section)\b|\z)"
 
 # The names HTML gives to characters, from the standard library's table.
-NAMED = {name: chr(code) for name, code in name2codepoint.items()} | {"apos": "'"}
-_REFERENCE = "(?:#[0-9]{1,8}|#[xX][0-9a-fA-F]{1,7}|[A-Za-z][A-Za-z0-9]*);"
-# Fixed values of HTML: names that count without their semicolon in text as well.
-_BARE = "(?:amp|lt|gt|quot|nbsp)"
+NAMED = {name.removesuffix(";"): text for name, text in html5.items()}
+_REFERENCE = "(?:#[0-9]++|#[xX][0-9a-fA-F]++|[A-Za-z][A-Za-z0-9]*+);"
+# Names that count without their semicolon as well: in text always, in an attribute only where
+# neither ``=`` nor a letter or digit follows.
+_BARE = "(?:" + "|".join(sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n))) + ")"
+_BARE_ATTRIBUTE = f"{_BARE}(?![=A-Za-z0-9;])"
 
 _fresh = count()
 
@@ -55,9 +57,12 @@ def _visible(html: str) -> str:
 
 def _character(reference: str) -> str:
     """Character of a reference without ``&`` and ``;``, NULL when the name is unknown."""
+    # Zeros in front count for nothing; a number of more than eight digits is out of range anyway.
+    short = "CASE WHEN length({0}) > 8 THEN '99999999' WHEN {0} = '' THEN '0' ELSE {0} END"
+    plain = {n: _let(f"ltrim('0', substr({reference}, {n}))", short.format) for n in (2, 3)}
     digits = (
-        f"CASE WHEN {reference} RLIKE '^#[xX]' THEN conv(substr({reference}, 3), 16, 10) "
-        f"WHEN startswith({reference}, '#') THEN substr({reference}, 2) END"
+        f"CASE WHEN {reference} RLIKE '^#[xX]' THEN conv({plain[3]}, 16, 10) "
+        f"WHEN startswith({reference}, '#') THEN {plain[2]} END"
     )
 
     def numbered(n: str) -> str:
@@ -70,12 +75,15 @@ def _character(reference: str) -> str:
 
 
 def _decoded(x: str, bare: bool = True) -> str:
-    either = f"{_REFERENCE}|{_BARE}" if bare else _REFERENCE
+    either = f"{_REFERENCE}|{_BARE if bare else _BARE_ATTRIBUTE}"
+
+    def known(piece: str, reference: str) -> str:
+        return f"concat({_character(_replaced(reference, ';'))}, substr({piece}, length({reference}) + 1))"
 
     def rebuilt(piece: str, reference: str) -> str:
-        character = _character(_replaced(reference, ";"))
-        known = f"concat({character}, substr({piece}, length({reference}) + 1))"
-        return f"coalesce({known}, concat('&', {piece}))"
+        # An unknown name may still begin with an old one, which counts in text.
+        begins = _let(_extracted(piece, rf"\A{_BARE}", 0), lambda name: known(piece, name))
+        return f"coalesce({known(piece, reference)}, {begins + ', ' if bare else ''}concat('&', {piece}))"
 
     def joined(text: str) -> str:
         piece, i = f"_v{next(_fresh)}", f"_i{next(_fresh)}"
@@ -91,17 +99,21 @@ def _inner_text(fragment: str) -> str:
     return _replaced(_decoded(_replaced(fragment, _COMMENT_OR_TAG)), SPACE_EDGES)
 
 
-def _attr(open_tag: str, attr: str) -> str:
-    """Attribute of one opening tag: double-quoted, single-quoted or bare; '' when absent."""
+def _attr(open_tag: str, attr: str, absent: str = "''") -> str:
+    """Attribute of one opening tag: double-quoted, single-quoted or bare; ``absent`` when it has none."""
     value = rf"""(?is)\A<\w+\b[^>]*?\s{attr}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
-    return _decoded(_replaced(_extracted(open_tag, value, 1), r"""\A["']|["']\z"""), bare=False)
+
+    def text(raw: str) -> str:
+        return f"CASE WHEN {raw} = '' THEN {absent} ELSE {_decoded(_replaced(raw, r"""\A["']|["']\z"""), bare=False)} END"
+
+    return _let(_extracted(open_tag, value, 1), text)
 
 
 def decode_entities(text: str, bare: bool = True) -> Column:
     """Decode named and numeric character references, each once.
 
-    ``bare`` also takes the basic names without a semicolon, as HTML does in text but not in
-    attributes.  Text without ``&`` is passed through.
+    ``bare`` takes the old names without a semicolon wherever they stand, as HTML does in text;
+    without it only where it does so in attributes.  Text without ``&`` is passed through.
     """
     return F.expr(_decoded(text, bare))
 
@@ -123,9 +135,9 @@ def tag_attr(html: str, tag: str, attr: str) -> Column:
 
 
 def anchors(html: str) -> Column:
-    """Every anchor in page order: ``array<struct<pos bigint, href, title, text>>``."""
+    """Every anchor in page order: ``array<struct<pos bigint, href, title, text>>``; no href is NULL."""
     found = f"regexp_extract_all({_visible(html)}, {sql_text(_ANCHOR)}, 0)"
-    fields = f"{_attr('_a', 'href')} AS href, {_attr('_a', 'title')} AS title, {_inner_text('_a')} AS text"
+    fields = f"{_attr('_a', 'href', 'NULL')} AS href, {_attr('_a', 'title')} AS title, {_inner_text('_a')} AS text"
     return F.expr(f"transform({found}, (_a, _pos) -> struct(CAST(_pos AS BIGINT) AS pos, {fields}))")
 
 

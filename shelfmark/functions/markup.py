@@ -13,6 +13,7 @@ import sys
 from bisect import bisect_left, bisect_right
 from dataclasses import dataclass
 from html import unescape
+from html.entities import html5
 
 import pyarrow as pa
 from pyspark.cloudpickle import register_pickle_by_value
@@ -34,6 +35,7 @@ CLOSES = {
     "th": {"td", "th", "p"},
     "tr": {"tr", "td", "th", "p"},
     "tbody": {"tr", "td", "th", "thead", "tbody", "p"},
+    "tfoot": {"tr", "td", "th", "thead", "tbody", "p"},
 }
 SCOPES = {"table", "ul", "ol", "dl", "select", "html", "body"}
 
@@ -42,24 +44,48 @@ SCOPES = {"table", "ul", "ol", "dl", "select", "html", "body"}
 class Select:
     """What to read from a page.
 
-    ``kind`` is ``nodes`` (text, href and class of each match), ``rows`` (cell texts and the
-    link texts per cell of each matching table row) or ``flag`` (whether the first match,
-    or else the first telephone link of the page, holds a value; the value itself never
-    leaves the function).
+    ``kind`` says what to return:
+
+    * ``nodes``: text, href and class of each match;
+    * ``rows``: cell texts and link texts per cell of each matching table row;
+    * ``price_rows``: the cell texts of the matching rows numbered ``wanted``, counted in the
+      table body (rows of a head or foot are left out), None where there is none;
+    * ``labelled``: of the first matching row whose first cell holds ``word`` and whose second is
+      usable, that cell's text and link texts, trimmed; usable is a text, or with
+      ``least_bytes`` a link text longer than that, and only such ones are returned;
+    * ``longest``: the trimmed text with the most bytes, if more than ``least_bytes``;
+    * ``last_match``: what the pattern ``word`` finds first in the last match that has it;
+    * ``text``: the text of the whole page, lower-cased, without a selector;
+    * ``flag``: whether the first match, or else the first telephone link of the page, holds a
+      value; the value itself never leaves the function.
+
+    Cells may hold tables; all but ``nodes`` and ``rows`` return no more than the page is long.
     """
 
     name: str
-    selector: str
+    selector: str = ""
     kind: str = "nodes"
+    word: str = ""
+    least_bytes: int = 0
+    wanted: tuple[int, ...] = ()
 
 
 _NODE = pa.struct([("text", pa.string()), ("href", pa.string()), ("class", pa.string())])
 _ROW = pa.struct([("cells", pa.list_(pa.string())), ("links", pa.list_(pa.list_(pa.string())))])
-_ARROW = {"nodes": pa.list_(_NODE), "rows": pa.list_(_ROW), "flag": pa.bool_()}
+_LABELLED = pa.struct([("text", pa.string()), ("links", pa.list_(pa.string()))])
+_ARROW = {
+    "nodes": pa.list_(_NODE), "rows": pa.list_(_ROW), "flag": pa.bool_(), "price_rows": pa.list_(pa.list_(pa.string())),
+    "labelled": _LABELLED, "longest": pa.string(), "last_match": pa.string(), "text": pa.string(),
+}
 _DDL = {
     "nodes": "array<struct<text:string,href:string,class:string>>",
     "rows": "array<struct<cells:array<string>,links:array<array<string>>>>",
     "flag": "boolean",
+    "price_rows": "array<array<string>>",
+    "labelled": "struct<text:string,links:array<string>>",
+    "longest": "string",
+    "last_match": "string",
+    "text": "string",
 }
 
 
@@ -77,6 +103,23 @@ _TOKEN = re.compile(
 _ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+)))?""")
 
 
+_REFERENCE = re.compile(r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|([A-Za-z][A-Za-z0-9]*;?))")
+
+
+def _attribute_text(value: str) -> str:
+    """References in an attribute: a name without its semicolon counts only if neither = nor a letter or digit follows."""
+
+    def character(m: re.Match) -> str:
+        name = m[1]
+        if name is None:
+            return unescape(m[0])
+        if not name.endswith(";") and value[m.end() : m.end() + 1] == "=":
+            return m[0]
+        return html5.get(name, m[0])
+
+    return _REFERENCE.sub(character, value) if "&" in value else value
+
+
 class _Page:
     """Flat element table in page order: tag, attributes, parent, and where the element ends.
 
@@ -124,7 +167,7 @@ class _Page:
         found = {}
         for name, *values in _ATTRIBUTE.findall(attrs) if attrs else ():
             value = values[0] or values[1] or values[2]
-            found.setdefault(name.lower(), unescape(value) if "&" in value else value)
+            found.setdefault(name.lower(), _attribute_text(value))
         self.attrs.append(found)
         self.parent.append(self.open[-1] if self.open else -1)
         self.span.append([len(self.chunks), len(self.chunks), len(self.tag)])
@@ -213,6 +256,47 @@ def _row(page, i, tag_index):
     return {"cells": [page.text(c) for c in cells], "links": links}
 
 
+# What shelfmark.functions.text.trim_space strips.
+_SPACES = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
+
+def _trim(text: str) -> str:
+    return text.strip(_SPACES)
+
+
+def _price_rows(page, found, tag_index, s):
+    body = [i for i in found if page.parent[i] < 0 or page.tag[page.parent[i]] not in ("thead", "tfoot")]
+    rows = [body[n] if n < len(body) else None for n in s.wanted]
+    return [None if i is None else [page.text(c) for c in page.inside(i, tag_index.get("td", []))[:5]] for i in rows]
+
+
+def _labelled(page, found, tag_index, s):
+    for i in found:
+        cells = page.inside(i, tag_index.get("td", []))
+        if len(cells) < 2 or s.word not in page.text(cells[0]):
+            continue
+        text = _trim(page.text(cells[1]))
+        links = [_trim(page.text(a)) for a in page.inside(cells[1], tag_index.get("a", []))]
+        links = [x for x in links if len(x.encode()) > s.least_bytes]
+        if links if s.least_bytes else text:
+            return {"text": text, "links": links}
+    return None
+
+
+def _longest(page, found, s):
+    best, most = None, s.least_bytes
+    for i in found:
+        text = _trim(page.text(i))
+        if len(text.encode()) > most:
+            best, most = text, len(text.encode())
+    return best
+
+
+def _last_match(page, found, s):
+    pattern = re.compile(s.word)
+    return next((m[0] for i in reversed(found) if (m := pattern.search(page.text(i)))), None)
+
+
 def _flag(page, found, tag_index):
     tel = [i for i in tag_index.get("a", ()) if page.attrs[i].get("href", "").startswith("tel:")]
     first = page.attrs[found[0]].get("href", "") if found else ""
@@ -227,11 +311,22 @@ def read_page(html: str | None, selects: list[Select], compiled: dict) -> dict:
         tag_index.setdefault(tag, []).append(i)
     out = {}
     for s in selects:
+        if s.kind == "text":
+            out[s.name] = "".join(page.chunks).lower()
+            continue
         found = _find(page, compiled[s.name], tag_index)
         if s.kind == "nodes":
             out[s.name] = [_node(page, i) for i in found]
         elif s.kind == "rows":
             out[s.name] = [_row(page, i, tag_index) for i in found]
+        elif s.kind == "price_rows":
+            out[s.name] = _price_rows(page, found, tag_index, s)
+        elif s.kind == "labelled":
+            out[s.name] = _labelled(page, found, tag_index, s)
+        elif s.kind == "longest":
+            out[s.name] = _longest(page, found, s)
+        elif s.kind == "last_match":
+            out[s.name] = _last_match(page, found, s)
         else:
             out[s.name] = _flag(page, found, tag_index)
     return out
@@ -247,7 +342,7 @@ def select_elements(html: Column, selects: list[Select]) -> Column:
     ddl = "struct<" + ",".join(f"`{s.name}`:{_DDL[s.kind]}" for s in selects) + ">"
 
     def run(pages: pa.Array) -> pa.Array:
-        compiled = {s.name: _compile(s.selector) for s in selects}
+        compiled = {s.name: _compile(s.selector) for s in selects if s.kind != "text"}
         return pa.array([read_page(h, selects, compiled) for h in pages.to_pylist()], type=arrow_type)
 
     # Explicit types: with postponed annotations the function kind cannot be inferred.

@@ -12,8 +12,6 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.functions.collections import longest
-from shelfmark.functions.html import page_text
 from shelfmark.functions.markup import Select, select_elements
 from shelfmark.functions.text import (
     blank_to_null,
@@ -29,6 +27,9 @@ from shelfmark.functions.text import (
 from shelfmark.functions.urls import LISTING_KEY, listing_key
 from shelfmark.schemas import PRICE_KEYS
 
+# Fixed value: what date_from_text looks for, ASCII digits only.
+DATE_PATTERN = r"[0-9]{2}\.[0-9]{2}\.[0-9]{4}"
+
 
 @dataclass(frozen=True)
 class SiteRules:
@@ -68,14 +69,17 @@ class SiteRules:
     def selects(self) -> list[Select]:
         one = {
             "title": self.title, "tags": self.tag_links, "city": self.city, "stations": self.station_links,
-            "districts": self.district_links, "description": self.description,
-            "description_cells": self.description_cells, "updated": self.updated_cells, "cells": self.cells,
+            "districts": self.district_links, "description": self.description, "updated": self.updated_cells,
         }
         one |= {f"num_{k}": v for k, v in self.numbers.items()} | {f"str_{k}": v for k, v in self.strings.items()}
         return [
             *(Select(n, s) for n, s in one.items()),
-            Select("prices", self.price_rows, "rows"),
-            Select("rows", self.rows, "rows"),
+            Select("prices", self.price_rows, "price_rows", wanted=(self.onsite_row, self.offsite_row)),
+            Select("station_row", self.rows, "labelled", self.station_label, self.station_bytes),
+            Select("district_row", self.rows, "labelled", self.district_label),
+            Select("description_cell", self.description_cells, "longest", least_bytes=self.description_bytes),
+            Select("dated_cell", self.cells, "last_match", DATE_PATTERN),
+            Select("low", kind="text"),
             Select("contact", self.contact, "flag"),
         ]
 
@@ -91,11 +95,8 @@ def _texts(nodes: Column) -> Column:
 
 def _prices(rows: Column, rules: SiteRules) -> Column:
     """Cells 1 to 4 of the on-site and the off-site row under the fixed keys; absent is 0."""
-    cells = [(rules.onsite_row, i) for i in range(1, 5)] + [(rules.offsite_row, i) for i in range(1, 5)]
-    values = [
-        parse_price(F.coalesce(F.get(F.get(rows, F.lit(r))["cells"], F.lit(c)), F.lit("")), rules.strip_price_spaces)
-        for r, c in cells
-    ]
+    cells = [(r, c) for r in (0, 1) for c in range(1, 5)]
+    values = [parse_price(F.coalesce(F.get(F.get(rows, F.lit(r)), F.lit(c)), F.lit("")), rules.strip_price_spaces) for r, c in cells]
     return F.map_from_arrays(F.array(*(F.lit(k) for k in PRICE_KEYS)), F.array(*values))
 
 
@@ -103,30 +104,13 @@ def _stations(names: Column, n_bytes: int) -> Column:
     return F.filter(names, lambda s: longer_than(s, n_bytes))
 
 
-def _from_row(rows: Column, label: str, pick) -> Column:
-    """``pick(row)`` of the first labelled row with at least two cells where it is not NULL."""
-    hits = F.filter(
-        F.transform(
-            F.filter(rows, lambda r: (F.size(r["cells"]) >= 2) & F.get(r["cells"], F.lit(0)).contains(label)), pick
-        ),
-        lambda v: v.isNotNull(),
-    )
-    return F.get(hits, F.lit(0))
-
-
 def _place(m: Column, low: Column, rules: SiteRules) -> Column:
     linked = _stations(_texts(m["stations"]), rules.station_bytes)
-
-    def row_stations(r: Column) -> Column:
-        """NULL for a row without a usable station, so that the next labelled row counts."""
-        found = _stations(F.transform(F.get(r["links"], F.lit(1)), trim_space), rules.station_bytes)
-        return let(found, lambda names: F.when(F.size(names) > 0, names))
-
-    listed = _from_row(m["rows"], rules.station_label, row_stations)
+    listed = m["station_row"]["links"]
     districts = F.filter(_texts(m["districts"]), lambda s: s != "")
     district = F.coalesce(
         F.try_element_at(districts, F.lit(-1)),
-        _from_row(m["rows"], rules.district_label, lambda r: blank_to_null(trim_space(F.get(r["cells"], F.lit(1))))),
+        m["district_row"]["text"],
         F.lit(""),
     )
     return F.struct(
@@ -143,17 +127,15 @@ def _place(m: Column, low: Column, rules: SiteRules) -> Column:
 
 def _description(m: Column, rules: SiteRules) -> Column:
     """The first description element, even an empty one; else the longest wide cell."""
-    cells = F.filter(_texts(m["description_cells"]), lambda s: longer_than(s, rules.description_bytes))
     return F.when(
         F.size(m["description"]) > 0, trim_space(F.get(m["description"], F.lit(0))["text"])
-    ).otherwise(F.coalesce(longest(cells), F.lit("")))
+    ).otherwise(F.coalesce(m["description_cell"], F.lit("")))
 
 
 def _last_updated(m: Column) -> Column:
     """Date in the last marked cell, else the last date found in any table cell."""
     marked = date_from_text(F.coalesce(F.try_element_at(m["updated"], F.lit(-1))["text"], F.lit("")))
-    dates = F.filter(F.transform(m["cells"], lambda c: date_from_text(c["text"])), lambda d: d != "")
-    return F.coalesce(blank_to_null(marked), F.try_element_at(dates, F.lit(-1)), F.lit(""))
+    return F.coalesce(blank_to_null(marked), m["dated_cell"], F.lit(""))
 
 
 def _number_map(m: Column, names) -> Column:
@@ -199,9 +181,9 @@ def extract_listings(
     ``scraped_at`` the event-time column of the page.
     """
     m = F.col("_m")
-    low = F.col("_low")
+    low = m["low"]
     photos = F.transform(F.col(images), lambda i: F.concat(F.lit(rules.image_prefix), i["BIMG"])) if images else F.array()
-    parsed = select_from_pages(pages, rules.selects(), html, partitions).withColumn("_low", F.lower(page_text(html)))
+    parsed = select_from_pages(pages, rules.selects(), html, partitions)
     return parsed.select(
         listing_key(url, rules.key_pattern).alias("id"),
         _all_text(m["title"]).alias("title"),
@@ -232,16 +214,3 @@ def extract_listings(
         F.col(url).alias("source_url"),
         (F.col(scraped_at) if scraped_at else F.lit(None)).cast("timestamp").alias("scraped_at"),
     )
-
-
-def spread(pages: DataFrame) -> int | None:
-    """Partition count that keeps all cores parsing, None when the input has enough splits.
-
-    Parsing costs far more than moving a page, so input that would give fewer splits than
-    there are cores is spread once.  Large inputs are left where they are.
-    """
-    spark = pages.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
-    size = int(str(pages._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return cores if size < cores * split else None

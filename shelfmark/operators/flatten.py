@@ -100,8 +100,9 @@ def flatten(
     city: str = "Unknown",
     policy: str = "null",
     version: str | None = "scraped_at",
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Flat listing rows in table order.
+    """Flat listing rows in table order, then the ``keep`` columns as they are.
 
     ``version`` names the event-time column stamped into the three time columns, so a
     re-run gives the same rows; NULL there, or ``version=None``, stamps the query time.
@@ -139,7 +140,7 @@ def flatten(
         columns.append(f"{sql} AS {f.name}")
     # The cast price map becomes a column first: the ladder reads it many times.
     cast_prices = f"{_unsigned_map_sql('pricing.duration_prices', 32, policy)} AS _prices"
-    return listings.selectExpr("*", cast_prices).selectExpr(*columns)
+    return listings.selectExpr("*", cast_prices).selectExpr(*columns, *keep)
 
 
 def with_computed(

@@ -77,11 +77,14 @@ def page_counts(pages: DataFrame, site: Column, html: str = "html", own_url: str
     page number in the page's own address.
     """
     per_link = F.transform(
-        anchors(html), lambda a: F.greatest(page_number(a["href"]), strict_int(F.regexp_extract(a["text"], r"\A\d+\z", 0)))
+        # An anchor that leads nowhere names no page, whatever its text.
+        F.filter(anchors(html), lambda a: a["href"].isNotNull()),
+        lambda a: F.greatest(page_number(a["href"]), strict_int(F.regexp_extract(a["text"], r"\A\d+\z", 0))),
     )
     listed = F.array_max(per_link)
     if own_url:
         listed = F.greatest(listed, page_number(own_url))
+    # Fixed value: how a page writes its list of pages.
     line = F.regexp_extract(page_text(html), r"\d+\s+\d+\s+\d+\s+\d+\s+\d+\s*\.\.\.\s*(\d+)", 1).try_cast("bigint")
     # The text is read only where the links name no page.
     number = let(listed, lambda n: F.when(n > 0, n).otherwise(line))
@@ -90,7 +93,17 @@ def page_counts(pages: DataFrame, site: Column, html: str = "html", own_url: str
 
 
 def index_urls(counts: DataFrame, site: str = "site", pages: str = "pages") -> DataFrame:
-    """Every index page address of each site, with its alternate form."""
-    return counts.select(site, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(pages))).alias("page")).select(
+    """Every index page address of each site, with its alternate form.
+
+    The number of pages is read from page text and may be anything, so no array is as long as
+    it: pages come in blocks of a million, and blocks of blocks where there are more.
+    """
+    rows = counts.select(site, F.lit(0).cast("bigint").alias("_from"), F.col(pages).alias("_n"))
+    for width in (1 << 40, 1 << 20):
+        first = F.sequence(F.col("_from"), F.col("_from") + F.greatest(F.col("_n"), F.lit(1)) - 1, F.lit(width).cast("bigint"))
+        rows = rows.where("_n > 0").select(site, "_from", "_n", F.explode(first).alias("_at"))
+        rows = rows.select(site, F.col("_at").alias("_from"), F.least(F.col("_from") + F.col("_n") - F.col("_at"), F.lit(width)).alias("_n"))
+    page = F.explode(F.sequence(F.col("_from") + 1, F.col("_from") + F.col("_n")))
+    return rows.select(site, page.alias("page")).select(
         site, "page", page_url(site, "page").alias("url"), page_url_alternate(site, "page").alias("alternate_url")
     )

@@ -243,14 +243,14 @@ def url_export(spark, sf_dir):
 
 @query(f"""
 WITH {ANCHOR_SQL}
-SELECT page_id, pos + 1 AS num, 'https://img.example' || href AS photo FROM h WHERE pos < 100
+SELECT page_id, pos + 1 AS num, 'https://img.example' || href AS photo FROM h
 """)
 def image_list(spark, sf_dir):
-    """Image records in JSON, one array per page, parsed into the first hundred photo addresses."""
+    """Image records in JSON, one array per page, parsed into photo addresses."""
     body = F.to_json(
         F.transform(
             anchors("html"),
-            lambda a: F.struct(a["href"].alias("BIMG"), (a["pos"] + 1).cast("string").alias("NUM"), F.lit("x").alias("OTHER")),
+            lambda a: F.struct(F.coalesce(a["href"], F.lit("")).alias("BIMG"), (a["pos"] + 1).cast("string").alias("NUM"), F.lit("x").alias("OTHER")),
         )
     )
     pages = read(spark, sf_dir, "pages").select("page_id", page_source.image_records(body).alias("images"))
@@ -340,7 +340,7 @@ FROM pages JOIN l USING (page_id)
 def page_elements(spark, sf_dir):
     """Elements found by nested selectors, each page parsed once."""
     pages = read(spark, sf_dir, "pages").select("page_id", "html")
-    parsed = extract.select_from_pages(pages, ELEMENTS, partitions=extract.spread(pages))
+    parsed = extract.select_from_pages(pages, ELEMENTS, partitions=spark.sparkContext.defaultParallelism)
     m = F.col("_m")
     text = {n: trim_space(F.get(m[n], F.lit(0))["text"]) for n in ("title", "heading", "ad", "footer")}
     return parsed.select(
@@ -404,4 +404,4 @@ def listing_output(flat):
 def page_listings(spark, sf_dir):
     """Pages to nested records to flat rows."""
     pages = read(spark, sf_dir, "pages")
-    return listing_output(flatten(extract.extract_listings(pages, PAGE_RULES, partitions=extract.spread(pages))))
+    return listing_output(flatten(extract.extract_listings(pages, PAGE_RULES, partitions=spark.sparkContext.defaultParallelism)))

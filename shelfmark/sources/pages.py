@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gzip
+import re
 import sys
 
 import pyarrow as pa
@@ -15,6 +16,10 @@ from shelfmark.schemas import IMAGES
 # Tasks get this module's functions by value: executors need no copy of the package.
 register_pickle_by_value(sys.modules[__name__])
 
+# A page may declare its charset anywhere, in a meta tag or an XML head.
+_DECLARED = r"""(?i)(?:charset|encoding)\s*=\s*["']?\s*windows-1251"""
+_DECLARED_BYTES = re.compile(_DECLARED.encode())
+
 _DECODED = pa.struct([("html", pa.string()), ("error", pa.string())])
 
 
@@ -31,8 +36,7 @@ def _decode_slow(bodies: pa.Array, zipped: pa.Array, cyrillic: pa.Array, by_word
             continue
         if gz:
             # What the page declares is only readable now.
-            head = raw if word else raw[:1024]
-            cp1251 = cp1251 or (b"windows-1251" in (head if word else head.lower()))
+            cp1251 = cp1251 or (b"windows-1251" in raw if word else bool(_DECLARED_BYTES.search(raw)))
         # Undefined bytes become U+FFFD in the old code page and are deleted from UTF-8.
         html = raw.decode("cp1251", "replace") if cp1251 else raw.decode("utf-8", "ignore")
         out.append({"html": html, "error": None})
@@ -51,8 +55,8 @@ def decode_pages(
 
     ``encoding`` and ``status`` name the content-encoding and status columns.  A status other
     than 200 and a broken gzip body are errors.  ``charset`` selects when Windows-1251 is
-    assumed: ``declared`` when the head of the page names it, ``word`` when the name occurs
-    anywhere in the body.
+    assumed: ``declared`` when the page declares it as its charset, wherever it does so, ``word``
+    when the name occurs anywhere in the body.
 
     Plain UTF-8 is decoded in the JVM; only bodies that need more are sent to Python.
     """
@@ -66,8 +70,8 @@ def decode_pages(
     if charset == "word":
         cyrillic = F.contains(raw, F.lit("windows-1251").cast("binary"))
     else:
-        head = F.lower(F.make_valid_utf8(F.substring(raw, 1, 1024).cast("string")))
-        cyrillic = F.contains(head, F.lit("windows-1251"))
+        named = F.contains(raw, F.lit("1251").cast("binary"))
+        cyrillic = F.when(named, F.make_valid_utf8(raw.cast("string")).rlike(_DECLARED)).otherwise(F.lit(False))
     slow = ok & (gz | cyrillic | ~F.is_valid_utf8(text))
 
     decode = F.arrow_udf(_annotated(_decode_slow), "struct<html:string,error:string>").asNondeterministic()
@@ -98,12 +102,13 @@ def _annotated(fn):
     return fn
 
 
-def image_records(body: Column | str, limit: int = 100, offset: int = 0) -> Column:
-    """JSON array text to image records, an empty list when it does not parse; one window of them."""
+def image_records(body: Column | str, limit: int | None = None, offset: int | None = None) -> Column:
+    """JSON array text to image records, an empty list when it does not parse.
+
+    The whole list, or one window of it when both ``limit`` and ``offset`` are given.
+    """
     body = F.col(body) if isinstance(body, str) else body
     records = F.coalesce(F.from_json(body, IMAGES), F.array().cast(IMAGES))
+    if limit is None or offset is None:
+        return records
     return F.slice(records, F.lit(offset + 1), F.lit(limit))
-
-
-def image_urls(records: Column, prefix: str) -> Column:
-    return F.transform(records, lambda r: F.concat(F.lit(prefix), r["BIMG"]))

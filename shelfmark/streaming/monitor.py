@@ -8,12 +8,12 @@ from pyspark.sql.streaming import StreamingQuery
 
 from shelfmark.functions.text import yyyymm
 from shelfmark.operators.extract import SiteRules, extract_listings
-from shelfmark.operators.flatten import flatten
+from shelfmark.operators.flatten import flatten, range_error
 from shelfmark.operators.links import page_links
 from shelfmark.operators.versions import new_only
 from shelfmark.schemas import FLAG, FLAT_LISTING, INT, LONG, TEXT, plus
 from shelfmark.sources.quality import with_outcome
-from shelfmark.streaming.sinks import BATCH, for_each_batch, to_batch_table
+from shelfmark.streaming.sinks import BATCH, QUERY, batch_folder, for_each_batch, to_batch_table
 
 
 def monitor_links(pages: DataFrame, base: Column, **link_options) -> DataFrame:
@@ -52,24 +52,32 @@ def collect_new_links(links: DataFrame, path: str, checkpoint: str, key: str = "
     column of the whole table, so take long intervals here and :func:`new_links` for short ones.
     """
 
-    # An empty first part, so that the table exists for the first batch.
+    # One empty part, written once, so that the table exists for the first batch.
     spark = links.sparkSession
-    spark.createDataFrame([], links.schema).write.mode("append").parquet(f"{path}/{BATCH}=-1")
-    stored = plus(links.schema, batch_id=LONG)
+    spark.createDataFrame([], links.schema).write.mode("ignore").parquet(f"{path}/{QUERY}=none/{BATCH}=-1")
+    stored = plus(links.schema, query_id=TEXT, batch_id=LONG)
+    folder = batch_folder(spark, path, checkpoint)
 
     def add(batch: DataFrame, batch_id: int) -> None:
-        seen = batch.sparkSession.read.schema(stored).parquet(path).filter(F.col(BATCH) != batch_id)
+        own = folder(batch_id).removeprefix(f"{path}/{QUERY}=").partition("/")[0]
+        earlier = (F.col(QUERY) != own) | (F.col(BATCH) != batch_id)
+        seen = batch.sparkSession.read.schema(stored).parquet(path).filter(earlier)
         fresh = new_only(batch, seen, [key], list(order))
         writer = fresh.select(*batch.columns).write.mode("overwrite").option("partitionOverwriteMode", "static")
-        writer.parquet(f"{path}/{BATCH}={batch_id}")
+        writer.parquet(folder(batch_id))
 
     return for_each_batch(links, add, checkpoint, **options)
 
 
 def ingest_rows(pages: DataFrame, rules: SiteRules = SiteRules(), scraped_at: str | None = None, **extract_options) -> DataFrame:
-    """Pages to flat listing rows with an outcome: a page without a key is a dead letter."""
-    flat = flatten(extract_listings(pages, rules, scraped_at=scraped_at, **extract_options))
-    return with_outcome(flat, {"no_key": F.when(F.col("id") == "", F.lit("no listing key in the address"))})
+    """Pages to flat listing rows with an outcome.
+
+    A page without a key and one with a number out of range are dead letters; the check comes
+    before the numbers are narrowed.
+    """
+    records = extract_listings(pages, rules, scraped_at=scraped_at, **extract_options)
+    checks = {"no_key": F.when(F.col("id") == "", F.lit("no listing key in the address")), "range": range_error()}
+    return flatten(with_outcome(records, checks), keep=("error_type", "error_message"))
 
 
 def ingest_listings(
@@ -93,6 +101,6 @@ def ingest_listings(
 
 def read_ingested(spark: SparkSession, path: str, failed: bool = False) -> DataFrame:
     """Listings written by :func:`ingest_listings`, or its dead letters."""
-    stored = plus(FLAT_LISTING, error_type=TEXT, error_message=TEXT, batch_id=LONG, failed=FLAG, yyyymm=INT)
+    stored = plus(FLAT_LISTING, error_type=TEXT, error_message=TEXT, query_id=TEXT, batch_id=LONG, failed=FLAG, yyyymm=INT)
     rows = spark.read.schema(stored).parquet(path).filter(F.col("failed") == F.lit(failed))
     return rows.select(*FLAT_LISTING.fieldNames(), *(["error_type", "error_message"] if failed else []))

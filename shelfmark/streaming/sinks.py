@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-from shelfmark.schemas import LONG, plus
+from shelfmark.schemas import LONG, TEXT, plus
 
-BATCH = "batch_id"
+QUERY, BATCH = "query_id", "batch_id"
 
 
 def for_each_batch(stream: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint: str, **options) -> StreamingQuery:
@@ -27,6 +28,22 @@ def for_each_batch(stream: DataFrame, fn: Callable[[DataFrame, int], None], chec
     )
 
 
+def batch_folder(spark: SparkSession, path: str, checkpoint: str) -> Callable[[int], str]:
+    """Folder of each batch, below one of the query's own.
+
+    A query keeps its id as long as its checkpoint, so a repeated batch finds its folder again and a
+    query begun anew, which counts from 0, never writes over what an earlier one left.
+    """
+    known: list[str] = []
+
+    def folder(batch_id: int) -> str:
+        if not known:
+            known.append(spark.read.json(f"{checkpoint}/metadata").first()["id"])
+        return f"{path}/{QUERY}={known[0]}/{BATCH}={batch_id}"
+
+    return folder
+
+
 def to_batch_table(
     stream: DataFrame,
     path: str,
@@ -39,18 +56,19 @@ def to_batch_table(
 
     A repeated batch overwrites the folder it wrote before, so a retry adds nothing twice.
     """
+    folder = batch_folder(stream.sparkSession, path, checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         out = fn(batch, batch_id) if fn else batch
         writer = out.write.mode("overwrite").option("partitionOverwriteMode", "static")
-        writer.partitionBy(*partition_by).parquet(f"{path}/{BATCH}={batch_id}")
+        writer.partitionBy(*partition_by).parquet(folder(batch_id))
 
     return for_each_batch(stream, write, checkpoint, **options)
 
 
 def read_batch_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Rows of all batches."""
-    return spark.read.schema(plus(schema, batch_id=LONG)).parquet(path).drop(BATCH)
+    """Rows of all batches of all queries."""
+    return spark.read.schema(plus(schema, query_id=TEXT, batch_id=LONG)).parquet(path).drop(QUERY, BATCH)
 
 
 def to_files(stream: DataFrame, path: str, checkpoint: str, **options) -> StreamingQuery:
@@ -64,11 +82,43 @@ def to_files(stream: DataFrame, path: str, checkpoint: str, **options) -> Stream
     )
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows the watermark dropped, over the progress reports the query still holds."""
-    return sum(
-        op.get("numRowsDroppedByWatermark", 0) for p in query.recentProgress for op in p.get("stateOperators", [])
-    )
+class LateRows(StreamingQueryListener):
+    """Counts the rows that watermarks drop, by query, over all batches since it was attached.
+
+    Spark itself keeps the progress of the last hundred batches only. Attach it before the query
+    starts: ``late = LateRows.attach(spark)``, then ``late.of(query)``.
+    """
+
+    def __init__(self):
+        self.rows: dict[str, int] = {}
+        self.ended: dict[str, threading.Event] = {}
+
+    @classmethod
+    def attach(cls, spark: SparkSession) -> LateRows:
+        listener = cls()
+        spark.streams.addListener(listener)
+        return listener
+
+    def onQueryStarted(self, event):
+        self.rows.setdefault(str(event.id), 0)
+        self.ended[str(event.runId)] = threading.Event()
+
+    def onQueryProgress(self, event):
+        dropped = sum(op.numRowsDroppedByWatermark for op in event.progress.stateOperators)
+        self.rows[str(event.progress.id)] = self.rows.get(str(event.progress.id), 0) + dropped
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        if str(event.runId) in self.ended:
+            self.ended[str(event.runId)].set()
+
+    def of(self, query: StreamingQuery, timeout: float = 30) -> int:
+        """Rows dropped so far; for an ended query all of them, once its last reports have arrived."""
+        if not query.isActive and str(query.runId) in self.ended:
+            self.ended[str(query.runId)].wait(timeout)
+        return self.rows.get(str(query.id), 0)
 
 
 def observed(df: DataFrame, name: str, ok) -> DataFrame:

