@@ -13,6 +13,7 @@ recursions; words whose marginal is at least one half form the offending spans.
 from __future__ import annotations
 
 import re
+import sys
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -105,20 +106,23 @@ def marginals(chains: list[np.ndarray], moves: np.ndarray) -> list[np.ndarray]:
 def blame(words: list[list[str]], labels: np.ndarray, max_features: int, least: int) -> dict[str, float]:
     """Features that carry a document's label, with weights of a regularized logistic regression on their presence."""
     seen: tuple[Counter, Counter] = (Counter(), Counter())
-    present = []
     for own, y in zip(words, labels, strict=True):
-        f = {x for w in set(own) for x in word_features(w)}
-        seen[y].update(f)
-        present.append(f)
+        if y:
+            seen[1].update({x for w in set(own) for x in word_features(w)})
+    # Clean documents are counted for features that toxic ones have often enough.
+    some = {f for f, c in seen[1].items() if c >= least}
+    for own, y in zip(words, labels, strict=True):
+        if not y:
+            seen[0].update({x for w in set(own) for x in word_features(w)} & some)
     n0, n1 = max(1, int((labels == 0).sum())), max(1, int((labels == 1).sum()))
-    ratio = {f: (c / n1) / ((seen[0][f] + 0.5) / n0) for f, c in seen[1].items() if c >= least}
+    ratio = {f: (seen[1][f] / n1) / ((seen[0][f] + 0.5) / n0) for f in some}
     chosen = sorted((f for f, r in ratio.items() if r >= 4), key=lambda f: (-seen[1][f] * np.log(ratio[f]), f))[:max_features]
     if not chosen:
         return {}
     where = {f: i for i, f in enumerate(chosen)}
     x = np.zeros((len(words), len(chosen)), np.float32)
-    for i, f in enumerate(present):
-        x[i, [where[k] for k in f if k in where]] = 1
+    for i, own in enumerate(words):
+        x[i, [where[f] for w in set(own) for f in word_features(w) if f in where]] = 1
     y = labels.astype(np.float32)
     w, b = np.zeros(len(chosen), np.float32), float(np.log(n1 / n0))
     sizes_w, size_b = np.full(len(chosen), 1e-6, np.float32), 1e-6
@@ -183,7 +187,7 @@ def fit(texts: list[str], labels: list[int], max_features: int = 2000) -> Field:
     if not len(y) or y.min() == y.max():
         model.document = np.array([-3.0 if not len(y) or not y.max() else 3.0, 0.0, 0.0])
         return model
-    words = [WORD.findall(t or "") for t in texts]
+    words = [[sys.intern(w) for w in WORD.findall(t or "")] for t in texts]
     weights = blame(words, y, max_features, max(3, int(0.01 * (y == 1).sum())))
     if weights:
         top = sorted(weights.values())[-max(1, len(weights) // 200)]
