@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfmark.session import materialize
+
 CHANGE_COLUMNS = ("change_type", "field_name", "old_value", "new_value")
 
 
@@ -39,16 +41,21 @@ def _change_rows(df: DataFrame, keep: Sequence[str], names: Sequence[str], kind:
     )
 
 
-def _hot_keys(df: DataFrame, keys: Sequence[str], share: float, at_least: int) -> DataFrame:
-    """Keys holding more than ``share`` of all rows, and more than ``at_least`` rows.
+def _hot_keys(df: DataFrame, keys: Sequence[str], version: str, share: float, at_least: int, pieces: int) -> DataFrame:
+    """Keys holding more than ``share`` of all rows, and more than ``at_least`` rows, with the versions that cut them.
 
-    There can be at most ``1 / share`` of them, which makes the result safe to broadcast.
+    There can be at most ``1 / share`` of them, with ``pieces`` versions each, which makes the
+    result safe to broadcast.
     """
     total = df.agg(F.count("*")).scalar()
     counts = df.groupBy(*keys).agg(F.count("*").alias("_n"))
-    return counts.filter((F.col("_n") > F.lit(at_least)) & (F.col("_n") > total * F.lit(share))).select(
-        *(F.col(k).alias(f"_hot_{k}") for k in keys)
-    )
+    hot = counts.filter((F.col("_n") > F.lit(at_least)) & (F.col("_n") > total * F.lit(share)))
+    hot = F.broadcast(hot.select(*(F.col(k).alias(f"_hot_{k}") for k in keys)))
+    same = [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys]
+    at = [i / pieces for i in range(1, pieces)]
+    # Combined before the shuffle: a task sends one sketch for each hot key.
+    cuts = df.join(hot, same).groupBy(*(f"_hot_{k}" for k in keys))
+    return cuts.agg(F.percentile_approx(version, at, 10 * pieces).alias("_cuts"))
 
 
 def diff_versions(
@@ -57,7 +64,7 @@ def diff_versions(
     version: str,
     fields: Sequence[str] | dict[str, Column],
     tiebreak: str | Sequence[str] = (),
-    split: str | None = "DAY",
+    pieces: int = 64,
     hot_share: float = 1e-5,
     hot_rows: int = 100_000,
 ) -> DataFrame:
@@ -67,24 +74,27 @@ def diff_versions(
     ``{name: column}``; values are compared and stored as text.
 
     The history of a key is one sorted window, except for hot keys (see :func:`_hot_keys`):
-    theirs is cut into pieces of one ``split`` unit, so a key with a third of all rows is
-    worked on by as many tasks as it has days.  The last row of each piece is carried into
-    the key's next piece, where it is the first row's predecessor.  Finding hot keys reads
-    the key columns once more; ``split=None`` skips all of this.
+    theirs is cut at quantiles of its own versions, so a key with a third of all rows is worked
+    on by ``pieces`` tasks, also when all of it lies in one day.  The last row of each piece is
+    carried into the key's next piece, where it is the first row's predecessor.
+
+    The narrow rows are written once to the shared folder, and so are the few hot keys; both
+    steps read them there.  ``pieces=1`` keeps every key whole and writes nothing.
     """
     ties = [tiebreak] if isinstance(tiebreak, str) else list(tiebreak)
     texts = _texts(fields)
     keys, order = list(keys), [version, *ties]
     rows = df.select(*keys, *order, F.struct(*(c.alias(n) for n, c in texts.items())).alias("_new"))
     piece: list[str] = []
-    if split:
+    if pieces > 1:
         piece = ["_piece"]
-        hot = F.broadcast(_hot_keys(df, keys, hot_share, hot_rows).withColumn("_hot", F.lit(True)))
+        rows = materialize(rows, "versions")
+        hot = F.broadcast(materialize(_hot_keys(rows, keys, version, hot_share, hot_rows, pieces), "hot-keys"))
         same = [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys]
         # NULL for the keys that stay whole; a missing version sorts first, so it gets the first piece.
-        unit = F.coalesce(F.date_trunc(split, F.col(version)), F.lit("0001-01-01").cast("timestamp"))
+        nth = F.size(F.filter("_cuts", lambda c: F.coalesce(c < F.col(version), F.lit(False))))
         rows = rows.join(hot, same, "left").select(
-            *keys, *order, "_new", F.when(F.col("_hot"), unit).alias("_piece"), F.lit(False).alias("_carried")
+            *keys, *order, "_new", F.when(F.col("_cuts").isNotNull(), nth).alias("_piece"), F.lit(False).alias("_carried")
         )
         position = F.struct(*order)
         # One row per hot key and piece, combined before the shuffle.
@@ -103,7 +113,7 @@ def diff_versions(
 
     w = Window.partitionBy(*keys, *piece).orderBy(*order)
     compared = rows.withColumn("_old", F.lag("_new").over(w))
-    if split:
+    if piece:
         compared = compared.filter(~F.col("_carried"))
     kind = F.when(F.col("_old").isNull(), F.lit("insert")).otherwise(F.lit("update"))
     return _change_rows(compared, [*keys, *order], list(texts), kind)

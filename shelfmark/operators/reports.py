@@ -17,13 +17,16 @@ from shelfmark.operators.versions import latest
 
 KEYS = ("id", "location_city")
 VERSION = "updated_at"
+# Of equal versions the last loaded counts, where the rows say so (see shelfmark.sources.tables.read).
+LOAD = "load_seq"
 
 
 def current(listings: DataFrame, latest_only: bool = True, columns: Sequence[str] | None = None) -> DataFrame:
     """The rows a report counts; ``columns`` narrows them before the versions are compared."""
+    loaded = [LOAD] if LOAD in listings.columns else []
     if columns is not None:
-        listings = listings.select(*dict.fromkeys((*KEYS, VERSION, *columns)))
-    return latest(listings, KEYS, VERSION) if latest_only else listings
+        listings = listings.select(*dict.fromkeys((*KEYS, VERSION, *loaded, *columns)))
+    return latest(listings, KEYS, VERSION, loaded) if latest_only else listings
 
 
 def summary(listings: DataFrame) -> DataFrame:
@@ -79,8 +82,9 @@ def listings_per_month(listings: DataFrame, first_seen: bool = True) -> DataFram
     time, counts re-reads as new.
     """
     if first_seen:
+        newest = F.struct(VERSION, *([LOAD] if LOAD in listings.columns else []))
         listings = listings.groupBy("id").agg(
-            F.min("created_at").alias("created_at"), F.max_by("price_hour", VERSION).alias("price_hour")
+            F.min("created_at").alias("created_at"), F.max_by("price_hour", newest).alias("price_hour")
         )
     return analytics.monthly(listings, "created_at", F.col("price_hour"))
 

@@ -172,6 +172,20 @@ def change_log_table(spark, sf_dir):
     return tables.read(spark, "listing_changes", path).withColumn("change_timestamp", ntz("change_timestamp"))
 
 
+@query(DIFF_SQL.replace("PARTITION BY user_id, event_type", "PARTITION BY event_type") + "SELECT * FROM c")
+def change_log_hot(spark, sf_dir):
+    """The change log by event type alone: five keys, all of them hot, each cut into pieces."""
+    return changes.diff_versions(
+        read(spark, sf_dir, "events"),
+        ["event_type"],
+        "ts",
+        {"value": money("value"), "props": F.col("props")},
+        tiebreak=["event_id", "user_id"],
+        hot_share=1e-3,
+        hot_rows=20,
+    )
+
+
 @query(f"""
 WITH o AS (SELECT user_id, event_type, CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) AS value
       FROM (SELECT * FROM events WHERE ts < {CUT_SQL})
@@ -746,6 +760,21 @@ def table_upsert(spark, sf_dir):
     return _stored_output(versions.latest(tables.read(spark, "events", path), ["id", "event_type"], "timestamp"))
 
 
+@query("""
+SELECT CAST(user_id AS VARCHAR) AS id, date_trunc('day', ts)::TIMESTAMP AS timestamp, event_type, CAST(event_id AS VARCHAR) AS event_id
+FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY date_trunc('day', ts) DESC, event_id DESC) = 1
+""")
+def latest_ties(spark, sf_dir):
+    """Versions that tie, by the day: of those, the last loaded wins."""
+    path = shared_folder(spark, "ties")
+    rows = _stored_events(spark, sf_dir).withColumn("timestamp", F.date_trunc("day", "timestamp"))
+    loaded = map_get("metadata", "event_id").cast("bigint")
+    tables.append(rows.filter(loaded % 2 == 0), "events", path, load=loaded)
+    tables.append(rows.filter(loaded % 2 == 1), "events", path, load=loaded)
+    newest = versions.latest(tables.read(spark, "events", path, loads=True), ["id"], "timestamp", tables.LOAD)
+    return newest.select("id", ntz("timestamp").alias("timestamp"), "event_type", map_get("metadata", "event_id").alias("event_id"))
+
+
 @query(f"{STORED_SQL} FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) = 1")
 def table_compact(spark, sf_dir):
     path, compacted = shared_folder(spark, "events"), shared_folder(spark, "compacted")

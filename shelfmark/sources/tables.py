@@ -3,17 +3,20 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.functions.text import yyyymm
 from shelfmark.operators.filters import retain
 from shelfmark.operators.flatten import flatten
 from shelfmark.operators.versions import latest
-from shelfmark.schemas import INT, LISTING, TABLES, Table, fill_defaults, plus
+from shelfmark.schemas import INT, LISTING, LONG, TABLES, Table, fill_defaults, plus
 
 MONTH = "yyyymm"
+#: Order of loading, stored with every row; of equal versions the last loaded wins.
+LOAD = "load_seq"
 
 
 def _table(table: Table | str) -> Table:
@@ -38,30 +41,42 @@ def write_rows(df: DataFrame, table: Table | str, path: str, mode: str = "append
     writer.parquet(path)
 
 
-def create(df: DataFrame, table: Table | str, path: str) -> None:
+def _loaded(df: DataFrame, t: Table, load: Column | int | None) -> DataFrame:
+    """Rows in table order with their place in the order of loading, by default the time of the load."""
+    load = time.time_ns() // 1000 if load is None else load
+    numbered = df.withColumn(LOAD, (load if isinstance(load, Column) else F.lit(load)).cast("bigint"))
+    return fill_defaults(numbered, plus(t.schema, **{LOAD: LONG}))
+
+
+def create(df: DataFrame, table: Table | str, path: str, load: Column | int | None = None) -> None:
     """Replace the table by these rows, with column defaults filled in."""
     t = _table(table)
-    write_rows(fill_defaults(df, t.schema), t, path, "overwrite")
+    write_rows(_loaded(df, t, load), t, path, "overwrite")
 
 
-def append(df: DataFrame, table: Table | str, path: str) -> None:
+def append(df: DataFrame, table: Table | str, path: str, load: Column | int | None = None) -> None:
     """Append rows with column defaults filled in.  No rows is not an error; a failed row
-    fails the whole write and leaves nothing behind."""
+    fails the whole write and leaves nothing behind.
+
+    ``load`` numbers the rows in the order of loading, as one number or a column that also orders
+    the rows of one load; give what the source has (an offset, a batch number), so that a repeated
+    load stores the same.  Without it the time of the load counts.
+    """
     t = _table(table)
-    write_rows(fill_defaults(df, t.schema), t, path, "append")
+    write_rows(_loaded(df, t, load), t, path, "append")
 
 
 # A newer version is a row like any other; readers pick the winner with latest().
 upsert = append
 
 
-def read(spark: SparkSession, table: Table | str, path: str, since: dt.date | None = None) -> DataFrame:
-    """All stored versions; ``since`` skips whole months before that day."""
+def read(spark: SparkSession, table: Table | str, path: str, since: dt.date | None = None, loads: bool = False) -> DataFrame:
+    """All stored versions; ``since`` skips whole months before that day, ``loads`` adds the order of loading."""
     t = _table(table)
-    df = spark.read.schema(plus(t.schema, yyyymm=INT)).parquet(path)
+    df = spark.read.schema(plus(t.schema, **{LOAD: LONG}, yyyymm=INT)).parquet(path)
     if since:
         df = df.filter((F.col(MONTH) >= since.year * 100 + since.month) & (F.col(t.time) >= F.lit(since).cast("timestamp")))
-    return df.drop(MONTH)
+    return df.drop(MONTH) if loads else df.drop(MONTH, LOAD)
 
 
 def read_listings(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -77,9 +92,11 @@ def append_listings(listings: DataFrame, path: str, **flatten_options) -> None:
 def compact(
     spark: SparkSession, table: Table | str, path: str, new_path: str, keys, version: str, tiebreak=()
 ) -> None:
-    """Write the latest versions to a new folder.  Versions are compared across months."""
+    """Write the latest versions to a new folder.  Versions are compared across months; of equal ones,
+    also by ``tiebreak``, the last loaded stays."""
     t = _table(table)
-    write_rows(latest(read(spark, t, path), keys, version, tiebreak), t, new_path, "errorifexists")
+    ties = [tiebreak] if isinstance(tiebreak, str) else list(tiebreak)
+    write_rows(latest(read(spark, t, path, loads=True), keys, version, [*ties, LOAD]), t, new_path, "errorifexists")
 
 
 def purge(spark: SparkSession, table: Table | str, path: str, new_path: str, as_of=None) -> None:
@@ -87,4 +104,4 @@ def purge(spark: SparkSession, table: Table | str, path: str, new_path: str, as_
     t = _table(table)
     if t.retention_days is None:
         raise ValueError(f"{t.name} keeps its rows forever")
-    write_rows(retain(read(spark, t, path), t.retention_column, t.retention_days, as_of), t, new_path, "errorifexists")
+    write_rows(retain(read(spark, t, path, loads=True), t.retention_column, t.retention_days, as_of), t, new_path, "errorifexists")

@@ -61,7 +61,7 @@ HISTORY = [(1, 1, 1, "x"), (1, 2, 1, "y"), (1, 3, 2, None)]
 
 def test_change_rows(spark):
     df = spark.createDataFrame(HISTORY, "id int, t int, a int, b string")
-    got = changes.diff_versions(df, ["id"], "t", ["a", "b"], split=None).collect()
+    got = changes.diff_versions(df, ["id"], "t", ["a", "b"], pieces=1).collect()
     assert sorted((r.t, r.change_type, r.field_name, r.old_value, r.new_value) for r in got) == [
         (1, "insert", "a", None, "1"),
         (1, "insert", "b", None, "x"),
@@ -77,8 +77,10 @@ def test_split_history_equals_whole_history(spark, small):
         "user_id", F.when(F.col("event_id") % 3 == 0, F.lit(None)).otherwise(F.col("user_id"))
     )
     ev = ev.withColumns({"a": F.floor(F.col("value") / 30), "ts": F.when(F.col("event_id") % 40 != 0, F.col("ts"))})
-    whole = changes.diff_versions(ev, ["user_id"], "ts", ["a", "event_type"], "event_id", split=None)
+    whole = changes.diff_versions(ev, ["user_id"], "ts", ["a", "event_type"], "event_id", pieces=1)
     parts = changes.diff_versions(ev, ["user_id"], "ts", ["a", "event_type"], "event_id", hot_rows=100)
+    plan = parts._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan parquet") <= 4
     assert whole.exceptAll(parts).count() == 0 and parts.exceptAll(whole).count() == 0
 
 
