@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import gzip
+
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from shelfmark.functions.collections import longest, size_of
@@ -12,6 +15,7 @@ from shelfmark.functions.urls import is_listing_link, key_from_url, listing_key,
 from shelfmark.operators import analytics, extract, links
 from shelfmark.operators.flatten import flatten
 from shelfmark.plans.registry import query, read
+from shelfmark.schemas import PRICE_KEYS
 from shelfmark.session import shared_folder
 from shelfmark.sources import export, quality
 from shelfmark.sources import pages as page_source
@@ -405,3 +409,73 @@ def page_listings(spark, sf_dir):
     """Pages to nested records to flat rows."""
     pages = read(spark, sf_dir, "pages")
     return listing_output(flatten(extract.extract_listings(pages, PAGE_RULES, partitions=spark.sparkContext.defaultParallelism)))
+
+
+# ---------------------------------------------------------------- pages made from the tables
+
+CYRILLIC = "Привет"
+
+
+@query(f"""
+SELECT page_id, md5(regexp_replace(html, '[^\\x00-\\x7F]', '?', 'g') || repeat(' ', 2000) || '<meta charset="windows-1251">{CYRILLIC}') AS digest,
+       CAST(NULL AS VARCHAR) AS error_type
+FROM pages
+""")
+def page_charset(spark, sf_dir):
+    """Every page in the old code page, declared at its end; every third one zipped."""
+
+    def zipped(bodies: pa.Array) -> pa.Array:
+        return pa.array([gzip.compress(b, mtime=0) for b in bodies.to_pylist()], pa.binary())
+
+    zipped.__annotations__ = {"bodies": pa.Array, "return": pa.Array}
+    plain = F.concat(F.regexp_replace("html", r"[^\x00-\x7F]", "?"), F.repeat(F.lit(" "), F.lit(2000)), F.lit('<meta charset="windows-1251">'))
+    body = F.concat(F.encode(plain, "UTF-8"), F.lit(CYRILLIC.encode("cp1251")))
+    gz = F.col("page_id") % 3 == 0
+    fetched = read(spark, sf_dir, "pages").select("page_id", body.alias("_b"), F.when(gz, F.lit("gzip")).alias("encoding"))
+    fetched = fetched.withColumn("body", F.when(F.col("encoding") == "gzip", F.arrow_udf(zipped, "binary")("_b")).otherwise(F.col("_b")))
+    decoded = page_source.decode_pages(fetched.drop("_b"), encoding="encoding")
+    return decoded.select("page_id", F.md5("html").alias("digest"), "error_type")
+
+
+def _price_row(base):
+    """SQL for a row of five cells: a label and base to base + 3."""
+    return f"concat('<tr><td>r</td><td>', {base}, '</td><td>', {base} + 1, '</td><td>', {base} + 2, '</td><td>', {base} + 3, '</td></tr>')"
+
+
+DETAIL_SQL = f"""
+concat('<h1 class="breadcrumbs"><span>', p_name, '</span></h1><div id="attr-width"> ', p_size, ' </div><div id="attr-color">', p_brand, '</div>',
+  CASE WHEN p_partkey % 5 = 0 THEN '<div id="contact"><a href="tel:+1">call</a></div>' ELSE '<div id="contact"></div>' END,
+  '<table class="table-price"><tr><td><table class="table-price-inner">',
+  CASE WHEN p_partkey % 2 = 0 THEN '<thead><tr><td>head</td><td>9</td></tr></thead>' ELSE '' END,
+  {_price_row("p_size")}, {_price_row("p_size * 10")}, {_price_row("p_size * 100")}, {_price_row("p_size * 200")},
+  '</table></td></tr></table><table><tr><td>Метро</td><td><a href="/l?x=1&region=2&copy=3">', p_type, '</a></td></tr>',
+  '<tr><td>Район</td><td> ', p_brand, ' </td></tr><tr><td>01.01.2020</td><td>', 10 + p_partkey % 10, '.03.2024</td></tr></table>')
+"""
+
+
+@query("""
+SELECT CAST(p_partkey AS VARCHAR) AS id, p_name AS title, CAST(p_size AS INTEGER) AS width, p_brand AS color, p_partkey % 5 = 0 AS has_contact,
+       CAST(p_size * 100 AS INTEGER) AS onsite_first, CAST(p_size * 100 + 3 AS INTEGER) AS onsite_last,
+       CAST(p_size * 200 AS INTEGER) AS offsite_first, p_type AS stations, p_brand AS district,
+       CAST(10 + p_partkey % 10 AS VARCHAR) || '.03.2024' AS last_updated, '/l?x=1&region=2&copy=3' AS href
+FROM part
+""")
+def detail_pages(spark, sf_dir):
+    """Parts as detail pages, and what is read back from them: attributes, prices below a table head, labelled rows, dates."""
+    key = F.col("p_partkey").cast("string")
+    pages = read(spark, sf_dir, "part").select(F.concat(F.lit("https://h/listing"), key, F.lit(".htm")).alias("url"), F.expr(DETAIL_SQL).alias("html"))
+    listings = extract.extract_listings(pages, partitions=spark.sparkContext.defaultParallelism)
+    addresses = pages.select(F.regexp_extract("url", r"(\d+)\.htm", 1).alias("_id"), F.filter(anchors("html"), lambda a: a["href"].startswith("/l"))[0]["href"].alias("href"))
+    price = {n: F.element_at("pricing.duration_prices", F.lit(PRICE_KEYS[i])) for n, i in (("onsite_first", 0), ("onsite_last", 3), ("offsite_first", 4))}
+    return listings.join(addresses, F.col("id") == F.col("_id")).select(
+        "id",
+        "title",
+        F.element_at("attrs.num", "width").alias("width"),
+        F.element_at("attrs.str", "color").alias("color"),
+        "has_contact",
+        *(c.alias(n) for n, c in price.items()),
+        F.array_join("location.stations", "|").alias("stations"),
+        F.col("location.district").alias("district"),
+        "last_updated",
+        "href",
+    )
