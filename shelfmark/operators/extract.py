@@ -7,6 +7,7 @@ parameters of :class:`SiteRules`.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -174,8 +175,9 @@ def extract_listings(
     images: str | None = None,
     scraped_at: str | None = None,
     partitions: int | None = None,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """One nested listing per page.
+    """One nested listing per page, and the ``keep`` columns of the page as they are.
 
     ``images`` names a column of parsed image records (see :func:`shelfmark.sources.pages.image_records`),
     ``scraped_at`` the event-time column of the page.
@@ -213,4 +215,5 @@ def extract_listings(
         photos.cast("array<string>").alias("photos"),
         F.col(url).alias("source_url"),
         (F.col(scraped_at) if scraped_at else F.lit(None)).cast("timestamp").alias("scraped_at"),
+        *keep,
     )

@@ -105,3 +105,27 @@ def stream_pages(spark, sf_dir):
 def stream_dead_letters(spark, sf_dir):
     """The other half of the same ingest."""
     return monitor.read_ingested(spark, _ingest(spark, sf_dir), failed=True).select("source_url", "error_type")
+
+
+@query(r"""
+SELECT 'listing' AS kind, regexp_extract(url, '/(\d+)\.htm', 1) AS input, CAST(NULL AS VARCHAR) AS error_type
+FROM pages WHERE page_id % 10 <> 9 AND regexp_matches(url, '/(\d+)\.htm')
+UNION ALL
+SELECT 'error', url, CASE WHEN page_id % 10 = 9 THEN 'status' ELSE 'no_key' END
+FROM pages WHERE page_id % 10 = 9 OR NOT regexp_matches(url, '/(\d+)\.htm')
+""")
+def stream_ingest_bytes(spark, sf_dir):
+    """Fetched bytes, a file for each of five batches, to listings and rows of the error table, in one stream."""
+    kind = F.col("page_id") % 10
+    fetched = read(spark, sf_dir, "pages").select(
+        "url",
+        F.when(kind % 2 == 1, F.concat(F.encode("html", "UTF-8"), F.lit(b"\xc3"))).otherwise(F.encode("html", "UTF-8")).alias("body"),
+        F.when(kind == 9, F.lit(404)).otherwise(F.lit(200)).alias("status"),
+    )
+    arriving = shared_folder(spark, "fetched")
+    fetched.repartition(5).write.parquet(arriving)
+    table, checkpoint = _folders(spark, "ingest")
+    pages = stream_source(spark, "parquet", arriving, fetched.schema, maxFilesPerTrigger="1")
+    monitor.ingest_listings(pages, table, checkpoint, PAGE_RULES, body="body").awaitTermination()
+    good = monitor.read_ingested(spark, table).select(F.lit("listing").alias("kind"), F.col("id").alias("input"), F.lit(None).cast("string").alias("error_type"))
+    return good.union(monitor.read_errors(spark, table).select(F.lit("error"), "input_data", "error_type"))

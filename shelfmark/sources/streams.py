@@ -13,8 +13,12 @@ def stream_source(spark: SparkSession, fmt: str, path: str | None = None, schema
     """A streaming reader.
 
     File formats need ``path`` (a folder, or one file) and ``schema``.  Other formats, such as
-    ``kafka``, take their options as they are and need their connector on the class path.
+    ``kafka``, take their options as they are and need their connector on the class path.  Unless
+    the options say otherwise, a batch of a file stream takes 1000 files, so that a large folder
+    is not one batch.
     """
+    if path is not None and not {"maxFilesPerTrigger", "maxBytesPerTrigger"} & set(options):
+        options["maxFilesPerTrigger"] = "1000"
     reader = spark.readStream.format(fmt).options(**options)
     if schema is not None:
         reader = reader.schema(schema)

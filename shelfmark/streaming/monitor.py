@@ -12,7 +12,8 @@ from shelfmark.operators.flatten import flatten, range_error
 from shelfmark.operators.links import page_links
 from shelfmark.operators.versions import new_only
 from shelfmark.schemas import FLAG, FLAT_LISTING, INT, LONG, TEXT, plus
-from shelfmark.sources.quality import with_outcome
+from shelfmark.sources.pages import decode_pages
+from shelfmark.sources.quality import error_rows, with_outcome
 from shelfmark.streaming.sinks import BATCH, QUERY, batch_folder, for_each_batch, to_batch_table
 
 
@@ -69,15 +70,29 @@ def collect_new_links(links: DataFrame, path: str, checkpoint: str, key: str = "
     return for_each_batch(links, add, checkpoint, **options)
 
 
-def ingest_rows(pages: DataFrame, rules: SiteRules = SiteRules(), scraped_at: str | None = None, **extract_options) -> DataFrame:
+def ingest_rows(
+    pages: DataFrame, rules: SiteRules = SiteRules(), scraped_at: str | None = None, body: str | None = None, **extract_options
+) -> DataFrame:
     """Pages to flat listing rows with an outcome.
 
     A page without a key and one with a number out of range are dead letters; the check comes
-    before the numbers are narrowed.
+    before the numbers are narrowed.  With ``body``, pages are fetched bytes in that column (and
+    ``encoding`` and ``status`` columns where there are such), and what does not decode is a dead
+    letter too.
     """
-    records = extract_listings(pages, rules, scraped_at=scraped_at, **extract_options)
+    earlier: tuple[str, ...] = ()
+    if body:
+        named = {c: c for c in ("encoding", "status") if c in pages.columns}
+        pages = decode_pages(pages, body, out="html", **named)
+        earlier = ("error_type", "error_message")
+        pages = pages.withColumnsRenamed({c: f"_{c}" for c in earlier})
+    records = extract_listings(pages, rules, scraped_at=scraped_at, keep=[f"_{c}" for c in earlier], **extract_options)
     checks = {"no_key": F.when(F.col("id") == "", F.lit("no listing key in the address")), "range": range_error()}
-    return flatten(with_outcome(records, checks), keep=("error_type", "error_message"))
+    checked = with_outcome(records, checks)
+    if body:
+        failed = F.col("_error_type").isNotNull()
+        checked = checked.withColumns({c: F.when(failed, F.col(f"_{c}")).otherwise(F.col(c)) for c in earlier})
+    return flatten(checked, keep=("error_type", "error_message"))
 
 
 def ingest_listings(
@@ -99,6 +114,12 @@ def ingest_listings(
     return to_batch_table(rows, path, checkpoint, partition_by=("failed", "yyyymm"), **(trigger or {}))
 
 
+def read_errors(spark: SparkSession, path: str, source: str = "ingest") -> DataFrame:
+    """The dead letters of :func:`ingest_listings` in the shape of the error table; the address is the input."""
+    failed = read_ingested(spark, path, failed=True)
+    return error_rows(failed, F.col("source_url"), F.lit(source), F.col("created_at"))
+
+
 def read_ingested(spark: SparkSession, path: str, failed: bool = False) -> DataFrame:
     """Listings written by :func:`ingest_listings`, or its dead letters."""
     stored = plus(FLAT_LISTING, error_type=TEXT, error_message=TEXT, query_id=TEXT, batch_id=LONG, failed=FLAG, yyyymm=INT)
