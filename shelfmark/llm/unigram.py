@@ -109,7 +109,7 @@ class Model:
 class Segmenter(dict):
     """Ids of texts as bytes of 32-bit numbers. Stretches are kept up to ``limit``, then forgotten, which changes no result."""
 
-    def __init__(self, model: Model, limit: int = 500_000):
+    def __init__(self, model: Model, limit: int = 300_000):
         super().__init__()
         self.limit = limit
         self.model = model
@@ -204,13 +204,13 @@ def decode(rows: DataFrame, model: Model) -> DataFrame:
         table = model.texts
         for batch in batches:
             column = batch.column(at)
-            flat = column.flatten().to_numpy(zero_copy_only=False).tolist()
+            flat = column.flatten().to_numpy(zero_copy_only=False)
             texts, i = [], 0
             for n in column.value_lengths().to_pylist():
                 if n is None:
                     texts.append(None)
                     continue
-                texts.append(b"".join([table[x] for x in flat[i : i + n]]).decode("utf-8", "replace").removeprefix(" "))
+                texts.append(b"".join([table[x] for x in flat[i : i + n].tolist()]).decode("utf-8", "replace").removeprefix(" "))
                 i += n
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*own, "text"])
 
