@@ -68,9 +68,13 @@ def record(page_id: int | None, copy: int, url: str | None, payload: bytes, refe
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n", digest
 
 
-def bounds_of(keys: DataFrame, shards: int) -> list[int]:
-    """First page_id of every shard but the first, at equal payload sizes of a hash sample of about SAMPLE ids."""
-    n = keys.count()
+def bounds_of(keys: DataFrame, shards: int | None, shard_bytes: int) -> list[int]:
+    """First page_id of every shard but the first, at equal payload sizes of a hash sample of about SAMPLE ids.
+
+    Without ``shards`` there is one for every ``shard_bytes`` of payload, SAMPLE at most.
+    """
+    n, size = keys.agg(F.count("*"), F.sum("size")).first()
+    shards = shards or min(SAMPLE, (size or 0) // shard_bytes + 1)
     every = max(1, n // SAMPLE)
     picked = keys.where(F.col("page_id").isNotNull() & (F.pmod(F.xxhash64("page_id"), F.lit(every)) == 0))
     sample = sorted((r[0], r[1]) for r in picked.groupBy("page_id").agg(F.sum("size")).collect())
@@ -81,16 +85,17 @@ def bounds_of(keys: DataFrame, shards: int) -> list[int]:
     return sorted({sample[min(int(i), len(sample) - 1)][0] for i in at})
 
 
-def write(pages: DataFrame, path: str, shards: int | None = None, roll_bytes: int = 256 << 20, revisit_bytes: int = 0) -> DataFrame:
+def write(
+    pages: DataFrame, path: str, shards: int | None = None, shard_bytes: int = 16 << 20, roll_bytes: int = 256 << 20, revisit_bytes: int = 0
+) -> DataFrame:
     """Write one record for each row of ``pages`` (page_id, url, html; null html: empty) below ``path``; return the manifest.
 
     Other columns are ignored. Null page_ids sort first; a null id never gets revisits pointing to it unless all rows of its payload
     lack one. Rows that repeat a page_id each get a record. An empty table gives an empty manifest.
     """
-    spark = pages.sparkSession
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.encode(F.coalesce("html", F.lit("")), "utf-8").alias("payload"))
     keys = materialize(rows.select("page_id", F.sha1("payload").alias("digest"), F.octet_length("payload").cast("long").alias("size")), "digests")
-    bounds = np.array(bounds_of(keys, shards or 4 * slots(spark)), np.int64)
+    bounds = np.array(bounds_of(keys, shards, shard_bytes), np.int64)
     here = F.struct(F.coalesce("page_id", F.lit((1 << 63) - 1)).alias("page_id"))
     large = keys.where(F.col("size") >= revisit_bytes).select("digest", here.alias("here"))
     again = first_of_group(large, "digest", "here").where("size > 1").select(F.col("here.page_id").alias("page_id"), "digest", F.col("first.page_id").alias("refers_to"))
