@@ -13,7 +13,6 @@ recursions; words whose marginal is at least one half form the offending spans.
 from __future__ import annotations
 
 import re
-import sys
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -31,7 +30,7 @@ ship(__name__)
 WORD = re.compile(r"[^\W\d_]+")
 BEGINNINGS = (3, 4, 5, 6)
 #: Padded cells that chains of one group may take.
-CELLS = 2_000_000
+CELLS = 500_000
 
 
 def word_features(word: str) -> list[str]:
@@ -103,31 +102,32 @@ def marginals(chains: list[np.ndarray], moves: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-def blame(words: list[list[str]], labels: np.ndarray, max_features: int, least: int) -> dict[str, float]:
-    """Features that carry a document's label, with weights of a regularized logistic regression on their presence."""
+def blame(docs: list[np.ndarray], features: list[tuple[str, ...]], labels: np.ndarray, max_features: int, least: int) -> dict[str, float]:
+    """Features that carry a document's label, with weights of a regularized logistic regression on their presence.
+
+    ``docs`` hold word numbers, ``features`` those of each word.
+    """
     seen: tuple[Counter, Counter] = (Counter(), Counter())
-    for own, y in zip(words, labels, strict=True):
-        if y:
-            seen[1].update({x for w in set(own) for x in word_features(w)})
+    for own in (d for d, y in zip(docs, labels, strict=True) if y):
+        seen[1].update({f for w in np.unique(own) for f in features[w]})
     # Clean documents are counted for features that toxic ones have often enough.
     some = {f for f, c in seen[1].items() if c >= least}
-    for own, y in zip(words, labels, strict=True):
-        if not y:
-            seen[0].update({x for w in set(own) for x in word_features(w)} & some)
+    for own in (d for d, y in zip(docs, labels, strict=True) if not y):
+        seen[0].update({f for w in np.unique(own) for f in features[w] if f in some})
     n0, n1 = max(1, int((labels == 0).sum())), max(1, int((labels == 1).sum()))
     ratio = {f: (seen[1][f] / n1) / ((seen[0][f] + 0.5) / n0) for f in some}
     chosen = sorted((f for f, r in ratio.items() if r >= 4), key=lambda f: (-seen[1][f] * np.log(ratio[f]), f))[:max_features]
     if not chosen:
         return {}
     where = {f: i for i, f in enumerate(chosen)}
-    x = np.zeros((len(words), len(chosen)), np.float32)
-    for i, own in enumerate(words):
-        x[i, [where[f] for w in set(own) for f in word_features(w) if f in where]] = 1
+    x = np.zeros((len(docs), len(chosen)), np.float32)
+    for i, own in enumerate(docs):
+        x[i, [where[f] for w in np.unique(own) for f in features[w] if f in where]] = 1
     y = labels.astype(np.float32)
     w, b = np.zeros(len(chosen), np.float32), float(np.log(n1 / n0))
     sizes_w, size_b = np.full(len(chosen), 1e-6, np.float32), 1e-6
     for _ in range(150):  # adaptive gradient steps on the mean log-likelihood
-        d = (sigmoid(x @ w + b) - y) / len(y)
+        d = (sigmoid(x @ w + b) - y).astype(np.float32) / len(y)
         g, gb = x.T @ d + 2e-4 * w, float(d.sum())
         sizes_w += g * g
         size_b += gb * gb
@@ -136,9 +136,15 @@ def blame(words: list[list[str]], labels: np.ndarray, max_features: int, least:
     return {f: float(v) for f, v in zip(chosen, w, strict=True)}
 
 
-def fit_field(chains: list[list[tuple[int, ...]]], labels: list[np.ndarray], n_features: int, rounds: int = 40) -> tuple[np.ndarray, float, np.ndarray]:
-    """Feature weights, bias and transitions of the largest penalized likelihood of labelled chains."""
+def fit_field(
+    chains: list[np.ndarray], features: list[tuple[int, ...]], toxic: np.ndarray, labels: np.ndarray, n_features: int, rounds: int = 40
+) -> tuple[np.ndarray, float, np.ndarray]:
+    """Feature weights, bias and transitions of the largest penalized likelihood of labelled chains.
+
+    A token is labelled 1 where its word is ``toxic`` and its document's label is 1.
+    """
     lengths = np.array([len(c) for c in chains], np.int64)
+    counts = np.array([len(f) for f in features], np.int32)
     blocks = []
     for group in groups_of(lengths):
         own = lengths[group]
@@ -146,9 +152,10 @@ def fit_field(chains: list[list[tuple[int, ...]]], labels: list[np.ndarray], n_f
         there = np.zeros((own[0], len(group)), bool)
         cells, ids = [], []
         for j, g in enumerate(group):
-            y[: own[j], j] = labels[g]
+            y[: own[j], j] = toxic[chains[g]] * labels[g]
             there[: own[j], j] = True
-            for i, f in enumerate(chains[g]):
+            for i in np.flatnonzero(counts[chains[g]]):
+                f = features[chains[g][i]]
                 cells += [i * len(group) + j] * len(f)
                 ids += f
         blocks.append((own, y, there, np.array(cells, np.int64), np.array(ids, np.int64)))
@@ -187,26 +194,21 @@ def fit(texts: list[str], labels: list[int], max_features: int = 2000) -> Field:
     if not len(y) or y.min() == y.max():
         model.document = np.array([-3.0 if not len(y) or not y.max() else 3.0, 0.0, 0.0])
         return model
-    words = [[sys.intern(w) for w in WORD.findall(t or "")] for t in texts]
-    weights = blame(words, y, max_features, max(3, int(0.01 * (y == 1).sum())))
+    numbers: dict[str, int] = {}
+    docs = [np.array([numbers.setdefault(w, len(numbers)) for w in WORD.findall(t or "")], np.int32) for t in texts]
+    features = [tuple(word_features(w)) for w in numbers]
+    weights = blame(docs, features, y, max_features, max(3, int(0.01 * (y == 1).sum())))
     if weights:
         top = sorted(weights.values())[-max(1, len(weights) // 200)]
         where = {f: i for i, f in enumerate(weights)}
-        # Chains of two thirds of the documents fit the field; the last third judges whole documents.
-        fit_on = [i for i in range(len(words)) if zlib.crc32(texts[i].encode()) % 3]
-        known: dict[str, tuple[tuple[int, ...], float]] = {}
-        for own in words:
-            for w in own:
-                if w not in known:
-                    f = word_features(w)
-                    known[w] = tuple(where[x] for x in f if x in where), sum(weights.get(x, 0.0) for x in f)
-        chains = [[known[w][0] for w in words[i]] for i in fit_on]
-        tokens = [np.array([y[i] * (known[w][1] >= top) for w in words[i]], float) for i in fit_on]
-        w, model.bias, model.moves = fit_field(chains, tokens, len(weights))
+        toxic = np.array([sum(weights.get(x, 0.0) for x in f) >= top for f in features], float)
+        features = [tuple(where[x] for x in f if x in where) for f in features]
+        # Chains of two thirds of the documents fit the field; all of them, whole, fit the document scores.
+        fit_on = [i for i in range(len(docs)) if zlib.crc32((texts[i] or "").encode()) % 3]
+        w, model.bias, model.moves = fit_field([docs[i] for i in fit_on], features, toxic, y[fit_on], len(weights))
         model.weights = {f: float(w[i]) for f, i in where.items()}
-    emit: dict[str, float] = {}
-    chains = [np.array([emit[w] if w in emit else emit.setdefault(w, model.emission(w)) for w in own]) for own in words]
-    p = marginals(chains, model.moves)
+    emit = np.array([model.emission(w) for w in numbers])
+    p = marginals([emit[d] for d in docs], model.moves)
     total, most = np.array([x.sum() for x in p]), np.array([x.max(initial=0) for x in p])
     x = np.stack([np.ones(len(y)), np.log1p(total), most], 1)
     share = np.where(y == 1, 0.5 / (y == 1).mean(), 0.5 / (y == 0).mean()) / len(y)
@@ -234,7 +236,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, per_class: int
     return docs.select(F.col("doc_id").cast("long"), F.col("text")).join(some, "doc_id").select("text", "y")
 
 
-def fit_labelled(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = 1500) -> Field:
+def fit_labelled(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = 800) -> Field:
     """Fit on the bounded sample of ``training_rows``; only it reaches the driver."""
     rows = training_rows(docs, labels, label, per_class).where("text IS NOT NULL").collect()
     return fit([r[0] for r in rows], [r[1] for r in rows])
