@@ -6,6 +6,9 @@ interval of blocks, has a box around it, and two intervals whose boxes are furth
 join starts with the largest intervals and recursively splits those that are not, down to pairs of blocks, which are compared
 as matrices. Which dimensions lead is learned from a bounded sample; it decides what is skipped, never what is linked.
 
+Vectors of each length are joined among themselves: the length leads the sort order, a block holds one length, and the first dimension of
+its box is a multiple of the length that sets blocks of different lengths further apart than any eps.
+
 Equal vectors are one vector with a count. A pair of blocks returns, for each vector, how many it is linked to and the smallest
 vector it reaches inside the pair: never the pairs themselves.
 """
@@ -37,30 +40,43 @@ def unit(raw: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def principal(sample: list[list[float]], size: int) -> np.ndarray:
-    """The leading principal dimensions, as columns."""
-    if not sample:
-        return np.zeros((size, 0))
+def principal(sample: list[list[float]]) -> np.ndarray:
+    """The leading principal dimensions of vectors of one length, as LEADING columns; those that do not exist are zero."""
     u = unit(np.array(sample, float))
     u = u - u.mean(axis=0)
-    return np.linalg.eigh(u.T @ u)[1][:, ::-1][:, : min(LEADING, size)]
+    n, size = u.shape
+    found = np.linalg.svd(u, full_matrices=False)[2].T if n < size else np.linalg.eigh(u.T @ u)[1][:, ::-1]
+    axes = np.zeros((size, LEADING))
+    axes[:, : min(LEADING, found.shape[1])] = found[:, :LEADING]
+    return axes
+
+
+def turned(u: np.ndarray, axes: dict[int, np.ndarray]) -> np.ndarray:
+    """Unit vectors of one length on its leading dimensions; all at zero for a length that the sample does not hold."""
+    known = axes.get(u.shape[1])
+    return np.zeros((len(u), LEADING)) if known is None else u @ known
 
 
-def blocks_of(vectors: DataFrame, axes: np.ndarray, eps: float) -> DataFrame:
-    """Blocks of the sequence: place, box on the leading dimensions, and ids, counts and vectors as bytes."""
-    size, lead = axes.shape
-    sort_by = [f"c{i}" for i in range(lead)] + [f"y{i}" for i in range(min(2, lead))]
+def blocks_of(vectors: DataFrame, axes: dict[int, np.ndarray], eps: float) -> DataFrame:
+    """Blocks of the sequence: place, box on length and leading dimensions, and ids, counts and vectors as bytes."""
+    sort_by = ["dim"] + [f"c{i}" for i in range(LEADING)] + ["y0", "y1"]
 
     def locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw = np.array(batch.column(2).flatten().to_numpy(zero_copy_only=False), float).reshape(-1, size)
-            y = unit(raw) @ axes if len(raw) else np.zeros((0, lead))
+            flat = np.array(batch.column(2).flatten().to_numpy(zero_copy_only=False), float)
+            dims = np.array(batch.column(2).value_lengths().to_numpy(zero_copy_only=False), np.int32)
+            ends = np.cumsum(dims, dtype=np.int64)
+            y, packed = np.zeros((len(dims), LEADING)), np.empty(len(dims), object)
+            for size in np.unique(dims):
+                at = np.flatnonzero(dims == size)
+                raw = flat[(ends[at] - size)[:, None] + np.arange(size)]
+                y[at] = turned(unit(raw), axes)
+                packed[at] = [r.tobytes() for r in raw]
             cells = np.floor(y / eps).astype(np.int32)
-            packed = pa.array([r.tobytes() for r in raw], pa.binary())
-            columns = [batch.column(0), batch.column(1), packed, *(pa.array(cells[:, i]) for i in range(lead)), *(pa.array(y[:, i]) for i in range(min(2, lead)))]
+            columns = [batch.column(0), batch.column(1), pa.array(packed, pa.binary()), pa.array(dims), *(pa.array(cells[:, i]) for i in range(LEADING)), *(pa.array(y[:, i]) for i in range(2))]
             yield pa.RecordBatch.from_arrays(columns, ["vec_id", "n", "raw", *sort_by])
 
-    kinds = ", ".join([f"c{i} int" for i in range(lead)] + [f"y{i} double" for i in range(min(2, lead))])
+    kinds = ", ".join(["dim int"] + [f"c{i} int" for i in range(LEADING)] + ["y0 double", "y1 double"])
     placed = vectors.select("vec_id", "n", "embedding").mapInArrow(locate, f"vec_id long, n long, raw binary, {kinds}")
     ordered = materialize(placed, "located").repartitionByRange(*sort_by).sortWithinPartitions(*sort_by).select("vec_id", "n", "raw")
     schema = pa.schema([("block", pa.int64()), ("lo", pa.list_(pa.float64())), ("hi", pa.list_(pa.float64())), ("ids", pa.binary()), ("counts", pa.binary()), ("vectors", pa.binary())])
@@ -71,16 +87,18 @@ def blocks_of(vectors: DataFrame, axes: np.ndarray, eps: float) -> DataFrame:
 
         def block(rows: list[tuple]) -> pa.RecordBatch:
             ids, counts, raws = zip(*rows, strict=True)
-            raw = np.frombuffer(b"".join(raws)).reshape(-1, size)
-            y = unit(raw) @ axes
-            values = [[task << 32 | made], [y.min(axis=0)], [y.max(axis=0)], [np.array(ids, np.int64).tobytes()], [np.array(counts, np.int64).tobytes()], [raw.tobytes()]]
+            raw = np.frombuffer(b"".join(raws)).reshape(len(rows), -1)
+            y = turned(unit(raw), axes)
+            apart = 2.0 * raw.shape[1]  # eps is below 2
+            values = [[task << 32 | made], [[apart, *y.min(axis=0)]], [[apart, *y.max(axis=0)]], [np.array(ids, np.int64).tobytes()], [np.array(counts, np.int64).tobytes()], [raw.tobytes()]]
             return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(values, schema, strict=True)], schema=schema)
 
         for batch in batches:
-            waiting += zip(*(c.to_pylist() for c in batch.columns), strict=True)
-            while len(waiting) >= BLOCK:
-                yield block(waiting[:BLOCK])
-                waiting, made = waiting[BLOCK:], made + 1
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if waiting and (len(waiting) == BLOCK or len(row[2]) != len(waiting[0][2])):
+                    yield block(waiting)
+                    waiting, made = [], made + 1
+                waiting.append(row)
         if waiting:
             yield block(waiting)
 
@@ -110,11 +128,11 @@ def near_blocks(boxes: DataFrame, n: int, lead: int, eps: float) -> DataFrame:
     return pairs
 
 
-def compare(base: tuple, other: tuple, same: bool, axes: np.ndarray, eps: float, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def compare(base: tuple, other: tuple, same: bool, axes: dict[int, np.ndarray], eps: float, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(ids, linked vectors, smallest id reached) of two blocks, for the vectors that are linked."""
     (ids_a, n_a, u_a), (ids_b, n_b, u_b) = base, other
     small_a, small_b = u_a.astype(np.float32), u_b.astype(np.float32)
-    y_a, y_b = u_a @ axes, u_b @ axes
+    y_a, y_b = turned(u_a, axes), turned(u_b, axes)
     rows, cols = [], []
     for i in range(0, len(u_a), INNER):
         box = y_a[i : i + INNER]
@@ -151,12 +169,11 @@ def compare(base: tuple, other: tuple, same: bool, axes: np.ndarray, eps: float,
     return ids[some], links[some], top[some]
 
 
-def join_blocks(blocks: DataFrame, pairs: DataFrame, axes: np.ndarray, eps: float, least: float) -> DataFrame:
+def join_blocks(blocks: DataFrame, pairs: DataFrame, axes: dict[int, np.ndarray], eps: float, least: float) -> DataFrame:
     """(vec_id, links, reached) for each vector linked within a pair of blocks.
 
     Block a goes once to each of (a, b modulo 8), block b once for each pair; a task holds two blocks at a time.
     """
-    size = axes.shape[0]
     dealt = pairs.withColumn("part", F.col("b") % 8)
     data = blocks.select("at", "ids", "counts", "vectors")
     left = dealt.select("a", "part").distinct().join(data, F.col("a") == data["at"]).select("a", "part", F.lit(-1).cast("long").alias("b"), "ids", "counts", "vectors")
@@ -169,8 +186,8 @@ def join_blocks(blocks: DataFrame, pairs: DataFrame, axes: np.ndarray, eps: floa
         for batch in batches:
             for i in range(batch.num_rows):
                 a, _, b, ids, counts, raw = (batch.column(k)[i].as_py() for k in range(6))
-                u = unit(np.frombuffer(raw).reshape(-1, size))
-                own = np.frombuffer(ids, np.int64), np.frombuffer(counts, np.int64), u
+                known = np.frombuffer(ids, np.int64)
+                own = known, np.frombuffer(counts, np.int64), unit(np.frombuffer(raw).reshape(len(known), -1))
                 if b < 0:
                     base = own
                 else:
@@ -184,28 +201,30 @@ def similar(embeddings: DataFrame, least: float = 0.95, sample_rows: int = 10_00
     """vec_id, n_links, component_id, kept for every row of ``embeddings`` (vec_id, embedding; other columns are ignored).
 
     Links are pairs of rows with cosine >= ``least`` (above 0), in double precision. A repeated row is another vector, linked to the
-    first; different vectors of one vec_id share their links. Vectors that are null, zero, empty or hold null or non-finite components, rows without vec_id, and vectors of another
-    length than the longest link with nothing; a row without vec_id has a null component and is kept. An empty table gives no
-    rows. ``sample_rows`` bounds the vectors that the principal dimensions are learned from.
+    first; different vectors of one vec_id share their links. Vectors of different lengths are not linked, those of each length are joined.
+    Vectors that are null, zero, empty or hold null or non-finite components, and rows without vec_id, link with nothing; a row without
+    vec_id has a null component and is kept. An empty table gives no rows. ``sample_rows`` bounds the vectors, of all lengths
+    together, that the principal dimensions are learned from.
     """
     rows = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
-    size = rows.agg(F.max(F.size("embedding"))).first()[0] or 0
-    sound = F.expr(f"vec_id IS NOT NULL AND size(embedding) = {max(1, size)} AND forall(embedding, x -> x IS NOT NULL AND NOT isnan(x) AND abs(x) < double('inf')) AND exists(embedding, x -> x <> 0)")
+    sound = F.expr("vec_id IS NOT NULL AND forall(embedding, x -> x IS NOT NULL AND NOT isnan(x) AND abs(x) < double('inf')) AND exists(embedding, x -> x <> 0)")
     good = rows.where(F.coalesce(sound, F.lit(False)))
     # -0.0 equals 0.0.
     good = good.withColumn("embedding", F.transform("embedding", lambda x: x + F.lit(0.0)))
     groups = materialize(first_of_group(good, "embedding", "vec_id").select("vec_id", "first", "size", F.when(F.col("vec_id") == F.col("first"), F.col("embedding")).alias("embedding")), "vectors")
     vectors = groups.where("vec_id = first").dropDuplicates(["vec_id", "embedding"]).select("vec_id", F.col("size").alias("n"), "embedding")
     eps = float(np.sqrt(2 - 2 * least))
-    sample = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample_rows).select("embedding").collect()
-    axes = principal([r[0] for r in sample], max(1, size))
+    sample: dict[int, list[list[float]]] = {}
+    for r in vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample_rows).select("embedding").collect():
+        sample.setdefault(len(r[0]), []).append(r[0])
+    axes = {size: principal(some) for size, some in sample.items()}
 
     if sample:
         blocks = materialize(blocks_of(vectors, axes, eps), "blocks")
         # Places of blocks only: one narrow row for 2048 vectors.
         blocks = blocks.join(blocks.select("block", (F.row_number().over(Window.orderBy("block")) - 1).cast("long").alias("at")), "block")
         boxes = materialize(blocks.select("at", "lo", "hi"), "boxes")
-        pairs = materialize(near_blocks(boxes, boxes.count(), axes.shape[1], eps), "near")
+        pairs = materialize(near_blocks(boxes, boxes.count(), 1 + LEADING, eps), "near")
         found = materialize(join_blocks(blocks, pairs, axes, eps, least), "links")
     else:
         found = rows.sparkSession.createDataFrame([], "vec_id long, links long, reached long")

@@ -67,3 +67,16 @@ def test_empty_table(spark):
     assert egojoin.similar(df).collect() == []
     df = spark.createDataFrame([(1, [0.0]), (2, None)], "vec_id long, embedding array<float>")
     assert sorted(map(tuple, egojoin.similar(df).collect())) == [(1, 0, 1, True), (2, 0, 2, True)]
+
+
+def test_each_length_is_joined(spark, monkeypatch):
+    monkeypatch.setattr(egojoin, "BLOCK", 64)
+    monkeypatch.setattr(egojoin, "INNER", 16)
+    rows = [r for r in vectors() if r[1] is not None and len(r[1]) == 12]
+    short = [(200_000 + i, v[:7]) for i, v in rows[:700] if i is not None]
+    stray = [(300_000, [1.0] * 20), (300_001, [1.0] * 30 + [float("nan")]), (300_002, [0.0] * 40), (300_003, [2.0])]
+    alone = [(i, 0, i, True) for i, _ in stray]
+    for sample_rows in (10_000, 1):  # 1: only one length has leading dimensions
+        df = spark.createDataFrame([*rows, *short, *stray], "vec_id long, embedding array<double>")
+        got = sorted((tuple(r) for r in egojoin.similar(df, sample_rows=sample_rows).collect()), key=repr)
+        assert got == sorted(brute(rows, 0.95) + brute(short, 0.95) + alone, key=repr)
