@@ -1,8 +1,9 @@
 """Threshold-scaled sketches of documents: every shingle hash below a fixed fraction. DataFrame expressions only.
 
 A text's shingles are its runs of five words (the whole text where it has fewer); hashes below ``fraction`` of the hash range are kept. What is
-kept depends on the hash alone, so the sketch of a union is the union of sketches, sketches of very unequal texts can be
-compared, and containment is estimated without bias. A text with words but no hash below the fraction keeps its smallest one.
+kept depends on the hash alone, so sketches of very unequal texts can be compared, and containment is estimated from the hashes
+kept. A text with words but no hash below the fraction keeps its smallest one, which only names it: longer texts that hold that
+shingle need not keep it. ``likeness`` therefore compares the texts themselves, exactly, wherever a sketch holds a single hash.
 """
 
 from __future__ import annotations
@@ -14,14 +15,17 @@ WORDS = 5
 FRACTION = 1 / 8
 
 
+def words_of(text: str) -> Column:
+    return F.filter(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+
+
 def add_sketch(rows: DataFrame, text: str, name: str, fraction: float = FRACTION, k: int = WORDS) -> DataFrame:
     """Add ``name``: the sorted sketch of column ``text``. Null, empty and wordless texts have an empty one."""
     bound = -(1 << 63) + int((1 << 64) * fraction) - 1
-    words = F.filter(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"[\x20\x09-\x0D]+"), lambda w: w != "")
     some = ", ".join(f"_words[i + {j}]" for j in range(k))
     hashes = f"CASE WHEN size(_words) = 0 THEN CAST(array() AS array<bigint>) WHEN size(_words) < {k} THEN array(xxhash64(_words)) ELSE transform(sequence(0, size(_words) - {k}), i -> xxhash64({some})) END"
     below = F.filter("_hashes", lambda h: h <= bound)
-    rows = rows.withColumn("_words", words).withColumn("_hashes", F.expr(hashes)).withColumn("_below", below)
+    rows = rows.withColumn("_words", words_of(text)).withColumn("_hashes", F.expr(hashes)).withColumn("_below", below)
     least = F.filter(F.array(F.array_min("_hashes")), lambda h: h.isNotNull())
     return rows.withColumn(name, F.array_sort(F.array_distinct(F.when(F.size("_below") > 0, F.col("_below")).otherwise(least)))).drop("_words", "_hashes", "_below")
 
@@ -33,6 +37,33 @@ def containment(a: str, b: str) -> Column:
     return F.when(least > 0, both / least).when(F.size(a) == F.size(b), 1.0).otherwise(0.0)
 
 
+def shared_runs(text_a: str, text_b: str, k: int = WORDS) -> Column:
+    """Share of the distinct runs of ``k`` words of the text with fewer of them that stand in the other one too, exactly.
+
+    If a text has fewer than ``k`` words, runs are as long as the shorter text. Both texts have words.
+    """
+    # Arrays of one element bind what is used more than once.
+    words = F.array(F.struct(words_of(text_a).alias("a"), words_of(text_b).alias("b")))
+
+    def runs(words: Column, n: Column) -> Column:
+        return F.array_distinct(F.transform(F.sequence(F.lit(1), F.size(words) - n + 1), lambda i: F.xxhash64(F.slice(words, i, n))))
+
+    def both_runs(p: Column) -> Column:
+        n = F.least(F.lit(k), F.size(p["a"]), F.size(p["b"]))
+        return F.struct(runs(p["a"], n).alias("a"), runs(p["b"], n).alias("b"))
+
+    share = F.transform(F.transform(words, both_runs), lambda r: F.size(F.array_intersect(r["a"], r["b"])).cast("double") / F.least(F.size(r["a"]), F.size(r["b"])))
+    return share[0]
+
+
+def likeness(text_a: str, a: str, text_b: str, b: str) -> Column:
+    """``containment`` of sketches ``a`` and ``b``; where either holds a single hash, exactly from the texts they were made of.
+
+    A single hash may lie above the bound, or be that of a text of fewer than five words; both miss in the sketch of a longer text.
+    """
+    return F.when(F.least(F.size(a), F.size(b)) == 1, shared_runs(text_a, text_b)).otherwise(containment(a, b))
+
+
 def as_text(sketch: str) -> Column:
     return F.array_join(F.transform(sketch, lambda h: F.lower(F.hex(h))), ",")
 

@@ -69,8 +69,8 @@ def op6_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("edited", 256).alias("edited_sha256"),
         fingerprint.as_text("sketch").alias("fingerprint"),
         fingerprint.as_text("edited_sketch").alias("edited_fingerprint"),
-        fingerprint.containment("sketch", "edited_sketch").alias("near_edited"),
-        fingerprint.containment("sketch", "next_sketch").alias("near_next"),
+        fingerprint.likeness("text", "sketch", "edited", "edited_sketch").alias("near_edited"),
+        fingerprint.likeness("text", "sketch", "next_text", "next_sketch").alias("near_next"),
     )
 
 

@@ -2,7 +2,10 @@
 
 import hashlib
 
+from pyspark.sql import functions as F
+
 from shelfmark.llm import fingerprint as fp
+from shelfmark.llm.queries import LLM_QUERIES
 
 
 def test_next_and_edited(spark):
@@ -42,3 +45,25 @@ def test_empty_table_and_repeats(spark):
     got = fp.with_next(spark.createDataFrame([(1, "a"), (1, "a"), (None, "b")], "doc_id long, text string")).collect()
     assert sorted((r.doc_id or 0, r.next_text) for r in got) == [(0, "a"), (1, "a"), (1, "b")]
     assert len(hashlib.sha256(b"").hexdigest()) == 64
+
+
+def test_short_text_in_long_one(spark):
+    words = [f"w{i}" for i in range(4000)]
+    parts = [words[20 * i : 20 * i + n] for i in range(150) for n in (1, 3, 5, 6, 9, 15)]
+    rows = [(" ".join(words), " ".join(p)) for p in parts]
+    rows += [("a b c d e f g", "a b c d e x y"), ("a b c", "b c d"), ("a b", "c d"), ("a", ""), ("", ""), (None, "a"), ("a a a a a a a", "b a a a a a a")]
+    df = fp.add_sketch(fp.add_sketch(spark.createDataFrame(rows, "x string, y string"), "x", "a"), "y", "b")
+    got = df.select(fp.likeness("x", "a", "y", "b"), fp.likeness("y", "b", "x", "a"), F.size("b"), F.array_min("b")).collect()
+    assert all(r[0] == r[1] for r in got) and [r[0] for r in got[: len(parts)]] == [1.0] * len(parts)
+    bound = -(1 << 63) + (1 << 61) - 1
+    assert sum(r[3] > bound for r in got[: len(parts)]) > 300  # most have nothing below the bound
+    ends = [r[0] for r in got[len(parts) :]]
+    assert ends[1:] == [0.0, 0.0, 0.0, 1.0, 0.0, 1.0] and (got[len(parts)][2] > 1 or ends[0] == 1 / 3)
+
+
+def test_query_sees_short_documents(spark, tmp_path):
+    words = [f"v{i}" for i in range(300)]
+    rows = [t for i in range(40) for t in ((2 * i, " ".join(words)), (2 * i + 1, " ".join(words[5 * i : 5 * i + 6])))]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r.near_next for r in LLM_QUERIES["op6_scaled_sketch"](spark, str(tmp_path)).collect()}
+    assert got == dict.fromkeys(range(80), 1.0)
