@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import chat, egojoin, fingerprint, linededup, minhash, packing, pii, toxicity, unigram, warc
+from shelfmark.llm import binarypack, chat, egojoin, fingerprint, linededup, merkle, minhash, packing, pii, toxicity, unigram, warc, whitening
 from shelfmark.llm.common import read_table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,3 +103,30 @@ def op9_unigram_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = unigram.Model.load(public_tokenizers.path("piece_bpe_32k.model"))
     rows = unigram.decode(unigram.encode(read_table(spark, sf_dir, "documents"), model), model)
     return rows.select("doc_id", F.size("ids").cast("long").alias("n_ids"), F.sha2("text", 256).alias("decoded_sha256"), "ids")
+
+
+@query
+def op11_binary_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces of binary length, each a sequence of its own."""
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    packed = binarypack.pack(read_table(spark, sf_dir, "documents"), tokenizer, 2048)
+    return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+@query
+def op12_jacobi_davidson(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened coordinates of all sound vectors on the sixteen leading components."""
+    rows = whitening.whiten(read_table(spark, sf_dir, "embeddings"), components=16)
+    # Beyond the range of a long there is no value to give.
+    return rows.withColumn("deviation", F.expr("try_cast(deviation AS bigint)"))
+
+
+@query
+def op13_pointer_jumping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle proofs of all documents, verified after a change of case in a fifth of them."""
+    docs = read_table(spark, sf_dir, "documents")
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    chosen = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    proofs = merkle.manifest(docs, {"text": F.when(chosen, lower).otherwise(F.col("text"))})
+    digest = F.sha2(merkle.siblings_text(), 256).alias("proof_sha256")
+    return proofs.select("doc_id", "leaf", "subroot", "root", digest, "folded_root", "verified")
