@@ -148,7 +148,8 @@ def manifest(docs: DataFrame, changed: dict[str, Column] | None = None) -> DataF
     leaves = docs.select(
         key.alias("_key"), "doc_id", F.col("source").cast("string").alias("source"), leaf_of().alias("leaf"), leaf_of(**(changed or {})).alias("changed_leaf")
     )
-    leaves = numbered(leaves, ["_key", "doc_id", "leaf"], "leaves")
+    # Written first: finding the ranges would read and digest all texts once more.
+    leaves = numbered(materialize(leaves, "digests"), ["_key", "doc_id", "leaf"], "leaves")
     base = materialize(bases(leaves, "_key"), "bases")
 
     sources = base.groupBy("_key").agg(F.first("n").alias("n")).withColumn("_one", F.lit(0))
