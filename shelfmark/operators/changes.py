@@ -41,21 +41,37 @@ def _change_rows(df: DataFrame, keep: Sequence[str], names: Sequence[str], kind:
     )
 
 
-def _hot_keys(df: DataFrame, keys: Sequence[str], version: str, share: float, at_least: int, pieces: int) -> DataFrame:
-    """Keys holding more than ``share`` of all rows, and more than ``at_least`` rows, with the versions that cut them.
+def _hot_keys(df: DataFrame, keys: Sequence[str], share: float, at_least: int) -> DataFrame:
+    """Keys holding more than ``share`` of all rows, and more than ``at_least`` rows.
 
-    There can be at most ``1 / share`` of them, with ``pieces`` versions each, which makes the
-    result safe to broadcast.
+    There can be at most ``1 / share`` of them, which makes the result safe to broadcast.
     """
     total = df.agg(F.count("*")).scalar()
     counts = df.groupBy(*keys).agg(F.count("*").alias("_n"))
     hot = counts.filter((F.col("_n") > F.lit(at_least)) & (F.col("_n") > total * F.lit(share)))
-    hot = F.broadcast(hot.select(*(F.col(k).alias(f"_hot_{k}") for k in keys)))
+    return hot.select(*(F.col(k).alias(f"_hot_{k}") for k in keys))
+
+
+def _in_pieces(rows: DataFrame, hot: DataFrame, keys: Sequence[str], order: Sequence[str], pieces: int) -> DataFrame:
+    """``rows`` with ``_piece``, NULL for the keys that stay whole, and ``_carried`` rows: the last one of each piece once more in the next.
+
+    The rows of hot keys are cut into ranges of (key, order, content), so a key is divided even where most of its rows share one
+    version. Rows equal in all of that are one row: a repetition changes nothing.
+    """
     same = [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys]
-    at = [i / pieces for i in range(1, pieces)]
-    # Combined before the shuffle: a task sends one sketch for each hot key.
-    cuts = df.join(hot, same).groupBy(*(f"_hot_{k}" for k in keys))
-    return cuts.agg(F.percentile_approx(version, at, 10 * pieces).alias("_cuts"))
+    hot = F.broadcast(hot)
+    whole = rows.join(hot, same, "left_anti").withColumns({"_piece": F.lit(None).cast("int"), "_carried": F.lit(False)})
+    cut = rows.join(hot, same, "left_semi").distinct()
+    ranges = max(pieces, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    cut = cut.repartitionByRange(ranges, *keys, *order, "_tie").withColumn("_piece", F.spark_partition_id())
+    cut = materialize(cut, "pieces").withColumn("_carried", F.lit(False))
+    names = [c for c in rows.columns if c not in keys]
+    # One row per hot key and piece, combined before the shuffle.
+    last = cut.groupBy(*keys, "_piece").agg(F.max_by(F.struct(*names), F.struct(*order, "_tie")).alias("_last"))
+    following = Window.partitionBy(*keys).orderBy("_piece")
+    carry = last.withColumn("_piece", F.lead("_piece").over(following)).filter(F.col("_piece").isNotNull())
+    carry = carry.select(*keys, "_last.*", "_piece", F.lit(True).alias("_carried"))
+    return whole.unionByName(cut).unionByName(carry)
 
 
 def diff_versions(
@@ -67,6 +83,7 @@ def diff_versions(
     pieces: int = 64,
     hot_share: float = 1e-5,
     hot_rows: int = 100_000,
+    earlier: DataFrame | None = None,
 ) -> DataFrame:
     """Change rows of a version history: ``insert`` without a predecessor, else ``update``.
 
@@ -74,46 +91,43 @@ def diff_versions(
     ``{name: column}``; values are compared and stored as text.
 
     The history of a key is one sorted window, except for hot keys (see :func:`_hot_keys`):
-    theirs is cut at quantiles of its own versions, so a key with a third of all rows is worked
-    on by ``pieces`` tasks, also when all of it lies in one day.  The last row of each piece is
+    theirs is cut into ranges of its own versions, so a key with a third of all rows is worked
+    on by many tasks, also when all of it is of one version.  The last row of each piece is
     carried into the key's next piece, where it is the first row's predecessor.
 
-    The narrow rows are written once to the shared folder, and so are the few hot keys; both
-    steps read them there.  ``pieces=1`` keeps every key whole and writes nothing.
+    ``earlier`` holds at most one row per key (keys, version, tiebreak, and the field texts as a struct
+    ``fields``) that precedes all rows of the key here, whatever its version; it makes no rows itself.
+
+    The narrow rows are written once to the shared folder, and so are those of hot keys where there
+    are any.  ``pieces=1`` keeps every key whole and writes nothing.
     """
     ties = [tiebreak] if isinstance(tiebreak, str) else list(tiebreak)
     texts = _texts(fields)
     keys, order = list(keys), [version, *ties]
     rows = df.select(*keys, *order, F.struct(*(c.alias(n) for n, c in texts.items())).alias("_new"))
+    rows = rows.withColumn("_tie", F.xxhash64("_new"))
+    before = None
+    if earlier is not None:
+        before = earlier.select(*keys, *order, F.col("fields").alias("_new"), F.lit(0).cast("long").alias("_tie"), F.lit(True).alias("_carried"))
     piece: list[str] = []
     if pieces > 1:
-        piece = ["_piece"]
         rows = materialize(rows, "versions")
-        hot = F.broadcast(materialize(_hot_keys(rows, keys, version, hot_share, hot_rows, pieces), "hot-keys"))
-        same = [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys]
-        # NULL for the keys that stay whole; a missing version sorts first, so it gets the first piece.
-        nth = F.size(F.filter("_cuts", lambda c: F.coalesce(c < F.col(version), F.lit(False))))
-        rows = rows.join(hot, same, "left").select(
-            *keys, *order, "_new", F.when(F.col("_cuts").isNotNull(), nth).alias("_piece"), F.lit(False).alias("_carried")
-        )
-        position = F.struct(*order)
-        # One row per hot key and piece, combined before the shuffle.
-        last = (
-            rows.filter(F.col("_piece").isNotNull())
-            .groupBy(*keys, "_piece")
-            .agg(F.max_by(F.struct(*order, "_new"), position).alias("_last"))
-        )
-        following = Window.partitionBy(*keys).orderBy("_piece")
-        carry = (
-            last.withColumn("_piece", F.lead("_piece").over(following))
-            .filter(F.col("_piece").isNotNull())
-            .select(*keys, "_last.*", "_piece", F.lit(True).alias("_carried"))
-        )
-        rows = rows.unionByName(carry)
-
-    w = Window.partitionBy(*keys, *piece).orderBy(*order)
+        hot = materialize(_hot_keys(rows, keys, hot_share, hot_rows), "hot-keys")
+        if not hot.isEmpty():
+            piece = ["_piece"]
+            rows = _in_pieces(rows, hot, keys, order, pieces)
+            if before is not None:
+                first = rows.filter("_piece IS NOT NULL").groupBy(*(F.col(k).alias(f"_hot_{k}") for k in keys)).agg(F.min("_piece").alias("_piece"))
+                before = before.join(F.broadcast(first), [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys], "left").drop(*(f"_hot_{k}" for k in keys))
+    if before is not None:
+        if not piece:
+            rows = rows.withColumn("_carried", F.lit(False))
+        rows = rows.unionByName(before)
+
+    carried = [F.col("_carried").desc()] if "_carried" in rows.columns else []
+    w = Window.partitionBy(*keys, *piece).orderBy(*carried, *order, "_tie")
     compared = rows.withColumn("_old", F.lag("_new").over(w))
-    if piece:
+    if carried:
         compared = compared.filter(~F.col("_carried"))
     kind = F.when(F.col("_old").isNull(), F.lit("insert")).otherwise(F.lit("update"))
     return _change_rows(compared, [*keys, *order], list(texts), kind)

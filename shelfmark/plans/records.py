@@ -18,9 +18,10 @@ from shelfmark.functions.text import (
     yyyymm,
 )
 from shelfmark.operators import analytics, changes, filters, flatten, reports, versions
-from shelfmark.plans.registry import money, ntz, query, read
-from shelfmark.schemas import LISTING, LONG, TEXT, fill_defaults, struct
+from shelfmark.plans.registry import database, money, ntz, query, read
+from shelfmark.schemas import LISTING, LONG, TABLES, TEXT, fill_defaults, plus, struct
 from shelfmark.sources import tables
+from shelfmark.sources.keyed import Keyed
 from shelfmark.session import shared_folder
 from shelfmark.streaming.summaries import summary_per_minute
 
@@ -760,6 +761,17 @@ def table_upsert(spark, sf_dir):
     return _stored_output(versions.latest(tables.read(spark, "events", path), ["id", "event_type"], "timestamp"))
 
 
+@query(f"""{STORED_SQL} FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1""")
+def table_merge(spark, sf_dir):
+    """Three loads in no order of time, merged on write; the table holds the latest versions only."""
+    rows = _stored_events(spark, sf_dir).withColumn("event_id", map_get("metadata", "event_id").cast("bigint"))
+    table = Keyed(f"{database(spark)}.latest", plus(TABLES["events"].schema, event_id=LONG), ("id", "event_type"), 16, 8).create(spark)
+    for load in (2, 0, 1):
+        table.merge(rows.filter(F.col("event_id") % 3 == load), ["timestamp", "event_id"])
+    return _stored_output(table.read(spark))
+
+
 @query("""
 SELECT CAST(user_id AS VARCHAR) AS id, date_trunc('day', ts)::TIMESTAMP AS timestamp, event_type, CAST(event_id AS VARCHAR) AS event_id
 FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY date_trunc('day', ts) DESC, event_id DESC) = 1

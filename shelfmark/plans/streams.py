@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 from shelfmark.functions.collections import map_get
 from shelfmark.functions.urls import site_base
 from shelfmark.plans.pages import ANCHOR_SQL, LISTING_SQL, PAGE_RULES, listing_output
-from shelfmark.plans.records import MINUTE_SQL, SOURCE_SQL
-from shelfmark.plans.registry import ntz, query, read
+from shelfmark.plans.records import DIFF_SQL, MINUTE_SQL, SOURCE_SQL
+from shelfmark.plans.registry import database, money, ntz, query, read
 from shelfmark.schemas import METRICS
-from shelfmark.session import shared_folder
+from shelfmark.session import materialize, shared_folder
 from shelfmark.sources.streams import stream_source
-from shelfmark.streaming import monitor, sinks, summaries
+from shelfmark.streaming import changes, monitor, sinks, summaries
 
 
 def _stream(spark, sf_dir, table):
@@ -24,6 +24,16 @@ def _events(spark, sf_dir):
     return _stream(spark, sf_dir, "events").withColumn("source", F.concat(F.lit("s"), (k % 3).cast("string")))
 
 
+def _in_files(rows, name, order, files):
+    """A stream of ``rows`` that takes one of ``files`` ranges of ``order`` in each batch."""
+    spark, path = rows.sparkSession, shared_folder(rows.sparkSession, name)
+    stored = materialize(rows.repartitionByRange(files, order).withColumn("_file", F.spark_partition_id()), name)
+    # Written one after another: a file stream takes the oldest first.
+    for n in range(files):
+        stored.where(F.col("_file") == n).drop("_file").coalesce(1).write.mode("append").parquet(path)
+    return stream_source(spark, "parquet", path, rows.schema, maxFilesPerTrigger="1")
+
+
 def _folders(spark, name):
     path = shared_folder(spark, name)
     return f"{path}/table", f"{path}/checkpoint"
@@ -79,13 +89,27 @@ WITH {ANCHOR_SQL}
 SELECT href AS url, page_id, pos FROM links QUALIFY row_number() OVER (PARTITION BY href ORDER BY page_id, pos) = 1
 """)
 def stream_seen_links(spark, sf_dir):
-    """Each link path once, by a table of seen ones."""
+    """Each link path once, by a keyed table of seen ones that each of five batches reads and extends."""
     table, checkpoint = _folders(spark, "seen-links")
-    found = monitor.monitor_links(_stream(spark, sf_dir, "pages"), F.lit(""), words=None).select("url", "page_id", "pos")
-    monitor.collect_new_links(found, table, checkpoint).awaitTermination()
+    arriving = _in_files(read(spark, sf_dir, "pages").select("page_id", "html"), "pages", F.col("page_id"), 5)
+    found = monitor.monitor_links(arriving, F.lit(""), words=None).select("url", "page_id", "pos")
+    monitor.collect_new_links(found, table, checkpoint, f"{database(spark)}.seen", parts=8, buckets=4).awaitTermination()
     return sinks.read_batch_table(spark, table, found.schema)
 
 
+@query(DIFF_SQL + "SELECT * FROM c")
+def stream_change_log(spark, sf_dir):
+    """The change log of events that arrive in five files, equal to that of the whole table."""
+    events = read(spark, sf_dir, "events")
+    arriving = _in_files(events, "events", F.struct("ts", "event_id"), 5)
+    table, checkpoint = _folders(spark, "changes")
+    keys, order = ["user_id", "event_type"], ("ts", "event_id")
+    fields = {"value": money("value"), "props": F.col("props")}
+    state = f"{database(spark)}.versions"
+    changes.log_changes(arriving, table, checkpoint, state, keys, "ts", fields, "event_id", parts=8, buckets=4).awaitTermination()
+    return changes.read_changes(spark, table, arriving, keys, *order)
+
+
 def _ingest(spark, sf_dir):
     table, checkpoint = _folders(spark, "ingest")
     # The pages may come as one file; parsing them is spread over all cores.

@@ -10,11 +10,13 @@ from shelfmark.functions.text import yyyymm
 from shelfmark.operators.extract import SiteRules, extract_listings
 from shelfmark.operators.flatten import flatten, range_error
 from shelfmark.operators.links import page_links
-from shelfmark.operators.versions import new_only
-from shelfmark.schemas import FLAG, FLAT_LISTING, INT, LONG, TEXT, plus
+from shelfmark.operators.versions import first_occurrence
+from shelfmark.schemas import FLAG, FLAT_LISTING, INT, LONG, TEXT, plus, struct
+from shelfmark.session import materialize
+from shelfmark.sources.keyed import Keyed
 from shelfmark.sources.pages import decode_pages
 from shelfmark.sources.quality import error_rows, with_outcome
-from shelfmark.streaming.sinks import BATCH, QUERY, batch_folder, for_each_batch, to_batch_table
+from shelfmark.streaming.sinks import QUERY, batch_folder, for_each_batch, to_batch_table
 
 
 def monitor_links(pages: DataFrame, base: Column, **link_options) -> DataFrame:
@@ -44,28 +46,32 @@ def new_links(links: DataFrame, key: str = "url", salts: int = 8, watermark: tup
     return links.drop("_salt")
 
 
-def collect_new_links(links: DataFrame, path: str, checkpoint: str, key: str = "url", order=("page_id", "pos"), **options) -> StreamingQuery:
-    """Like :func:`new_links` with the seen addresses kept as a table at ``path``.
+def collect_new_links(
+    links: DataFrame, path: str, checkpoint: str, seen: str, key: str = "url", order=("page_id", "pos"), parts: int = 64, buckets: int = 16, **options
+) -> StreamingQuery:
+    """Like :func:`new_links` with the seen addresses kept as a keyed table, named ``seen``, beside the new links at ``path``.
 
-    The batch is reduced to one row per address and matched against the addresses of earlier
-    batches; a repeated batch overwrites what it wrote before.  Unlike state, the survivor of
-    an address is fixed: the first in ``order`` within its batch.  Every batch reads the address
-    column of the whole table, so take long intervals here and :func:`new_links` for short ones.
+    The batch is reduced to one row per address; the addresses it holds decide which parts of the seen table are read, and the
+    join shuffles the batch alone. The parts touched are written anew with the new addresses, so each stays one compact
+    generation. Unlike state, the survivor of an address is fixed: the first in ``order`` within its batch. A repeated
+    batch finds what was seen before its own first try and overwrites what it wrote. A row without address is new in every batch.
     """
-
-    # One empty part, written once, so that the table exists for the first batch.
     spark = links.sparkSession
-    spark.createDataFrame([], links.schema).write.mode("ignore").parquet(f"{path}/{QUERY}=none/{BATCH}=-1")
-    stored = plus(links.schema, query_id=TEXT, batch_id=LONG)
+    known = Keyed(seen, struct(**{key: links.schema[key].dataType}), (key,), parts, buckets).create(spark)
     folder = batch_folder(spark, path, checkpoint)
 
     def add(batch: DataFrame, batch_id: int) -> None:
-        own = folder(batch_id).removeprefix(f"{path}/{QUERY}=").partition("/")[0]
-        earlier = (F.col(QUERY) != own) | (F.col(BATCH) != batch_id)
-        seen = batch.sparkSession.read.schema(stored).parquet(path).filter(earlier)
-        fresh = new_only(batch, seen, [key], list(order))
-        writer = fresh.select(*batch.columns).write.mode("overwrite").option("partitionOverwriteMode", "static")
-        writer.parquet(folder(batch_id))
+        spark, out = batch.sparkSession, folder(batch_id)
+        writer = out.removeprefix(f"{path}/{QUERY}=").partition("/")[0]
+        gen = known.next_generation(spark, writer, batch_id)
+        fresh = materialize(first_occurrence(batch, [key], list(order)), "links")
+        touched = known.touched(fresh)
+        old = known.read(spark, before=gen, parts=touched)
+        new = fresh.join(old.select(key), key, "left_anti").select(*batch.columns)
+        new.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(out)
+        if touched:
+            added = spark.read.schema(links.schema).parquet(out).where(F.col(key).isNotNull())
+            known.replace(spark, known.merge_plan(old, added, (key,)), gen)
 
     return for_each_batch(links, add, checkpoint, **options)
 

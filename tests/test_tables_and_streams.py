@@ -9,6 +9,7 @@ from shelfmark.operators.analytics import event_summary
 from shelfmark.operators.links import page_links
 from shelfmark.plans.pages import PAGE_RULES
 from shelfmark.plans.records import events_with_source
+from shelfmark.plans.registry import database
 from shelfmark.schemas import METRICS, TABLES
 from shelfmark.session import shared_folder
 from shelfmark.sources import tables
@@ -157,7 +158,7 @@ def test_every_visit_emits_links_but_new_links_come_once(spark, page_files, fold
         sinks.to_files(monitor.new_links(found, salts=salts), folder(f"new{salts}"), folder(f"c2{salts}")).awaitTermination()
         new = spark.read.parquet(folder(f"new{salts}")).select("url")
         assert new.count() == urls.count() and urls.exceptAll(new).count() == 0
-    monitor.collect_new_links(found, folder("seen"), folder("c3")).awaitTermination()
+    monitor.collect_new_links(found, folder("seen"), folder("c3"), f"{database(spark)}.seen", parts=4, buckets=2).awaitTermination()
     seen = sinks.read_batch_table(spark, folder("seen"), found.schema)
     assert seen.count() == urls.count() and urls.exceptAll(seen.select("url")).count() == 0
 
