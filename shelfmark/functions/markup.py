@@ -12,9 +12,12 @@ import re
 import sys
 from bisect import bisect_left, bisect_right
 from dataclasses import dataclass
+from functools import cached_property
 from html import unescape
 from html.entities import html5
+from itertools import accumulate
 
+import numpy as np
 import pyarrow as pa
 from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.sql import Column
@@ -47,14 +50,16 @@ class Select:
     ``kind`` says what to return:
 
     * ``nodes``: text, href and class of each match;
+    * ``first``, ``last``: the text of the first or the last match;
     * ``rows``: cell texts and link texts per cell of each matching table row;
     * ``price_rows``: the cell texts of the matching rows numbered ``wanted``, counted in the
       table body (rows of a head or foot are left out), None where there is none;
     * ``labelled``: of the first matching row whose first cell holds ``word`` and whose second is
       usable, that cell's text and link texts, trimmed; usable is a text, or with
-      ``least_bytes`` a link text longer than that, and only such ones are returned;
+      ``least_bytes`` a link text longer than that, and only such ones are returned, none that
+      lies in another;
     * ``longest``: the trimmed text with the most bytes, if more than ``least_bytes``;
-    * ``last_match``: what the pattern ``word`` finds first in the last match that has it;
+    * ``last_match``: what the pattern ``word``, without anchors, finds first in the last match that has it;
     * ``text``: the text of the whole page, lower-cased, without a selector;
     * ``flag``: whether the first match, or else the first telephone link of the page, holds a
       value; the value itself never leaves the function.
@@ -75,7 +80,7 @@ _ROW = pa.struct([("cells", pa.list_(pa.string())), ("links", pa.list_(pa.list_(
 _LABELLED = pa.struct([("text", pa.string()), ("links", pa.list_(pa.string()))])
 _ARROW = {
     "nodes": pa.list_(_NODE), "rows": pa.list_(_ROW), "flag": pa.bool_(), "price_rows": pa.list_(pa.list_(pa.string())),
-    "labelled": _LABELLED, "longest": pa.string(), "last_match": pa.string(), "text": pa.string(),
+    "labelled": _LABELLED, **dict.fromkeys(("first", "last", "longest", "last_match", "text"), pa.string()),
 }
 _DDL = {
     "nodes": "array<struct<text:string,href:string,class:string>>",
@@ -83,12 +88,14 @@ _DDL = {
     "flag": "boolean",
     "price_rows": "array<array<string>>",
     "labelled": "struct<text:string,links:array<string>>",
-    "longest": "string",
-    "last_match": "string",
-    "text": "string",
+    **dict.fromkeys(("first", "last", "longest", "last_match", "text"), "string"),
 }
 
 
+# What shelfmark.functions.text.trim_space strips.
+_SPACES = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+_SPACE_CODES = np.array(sorted(map(ord, _SPACES)), np.uint32)
+
 # Comment or declaration; element whose content is text only; end tag; start tag; text.
 # Every alternative may also end with the page and none gives back what it took, so the time
 # is linear in the page whatever it holds.
@@ -124,45 +131,47 @@ class _Page:
     """Flat element table in page order: tag, attributes, parent, and where the element ends.
 
     ``span`` holds first and end text chunk and the end of the element's descendants, which
-    follow it directly, so "inside" is a range test.
+    follow it directly, so "inside" is a range test.  The page's text is joined once; the text of an
+    element is a range of it, whose trimmed ends and bytes are looked up, not counted.
     """
 
     def __init__(self, html: str):
-        self.tag, self.attrs, self.parent, self.span, self.chunks, self.open = [], [], [], [], [], []
-        self.count = {}  # open elements per tag
+        self.tag, self.attrs, self.parent, self.span, self.open = [], [], [], [], []
+        self.open_at, self.scopes = {}, []  # depths of the open elements, by tag, and of the open scopes
+        chunks = self.chunks = []
         for token in _TOKEN.finditer(html):
             raw, raw_attrs, content, end, start, attrs, text = token.groups()
             if text:
-                self.chunks.append(unescape(text) if "&" in text else text)
+                chunks.append(unescape(text) if "&" in text else text)
             elif start:
                 self._start(start.lower(), attrs)
             elif end:
                 self._end(end.lower())
             elif raw:
                 self._start(raw.lower(), raw_attrs)
-                self.chunks.append(unescape(content) if raw.lower() in ("title", "textarea") else content)
+                chunks.append(unescape(content) if raw.lower() in ("title", "textarea") else content)
                 self._pop()
         while self.open:
             self._pop()
+        self.full = "".join(chunks)
+        self.at = [0, *accumulate(map(len, chunks))]
 
     def _pop(self):
         i = self.open.pop()
-        self.count[self.tag[i]] -= 1
+        self.open_at[self.tag[i]].pop()
+        if self.tag[i] in SCOPES:
+            self.scopes.pop()
         self.span[i][1:] = len(self.chunks), len(self.tag)
 
     def _start(self, tag: str, attrs: str):
-        closes = CLOSES.get(tag, ())
-        if any(self.count.get(name) for name in closes):
-            # Close from the outermost element this tag ends, but not past a table or list.
-            cut = None
-            for depth in range(len(self.open) - 1, -1, -1):
-                name = self.tag[self.open[depth]]
-                if name in closes:
-                    cut = depth
-                elif name in SCOPES:
-                    break
-            while cut is not None and len(self.open) > cut:
-                self._pop()
+        # Close from the outermost element this tag ends, but not past a table or list.
+        inner, cut = self.scopes[-1] if self.scopes else -1, len(self.open)
+        for name in CLOSES.get(tag, ()):
+            depths = self.open_at.get(name)
+            if depths and depths[-1] > inner:
+                cut = min(cut, depths[bisect_right(depths, inner)])
+        while len(self.open) > cut:
+            self._pop()
         self.tag.append(tag)
         found = {}
         for name, *values in _ATTRIBUTE.findall(attrs) if attrs else ():
@@ -172,21 +181,54 @@ class _Page:
         self.parent.append(self.open[-1] if self.open else -1)
         self.span.append([len(self.chunks), len(self.chunks), len(self.tag)])
         if tag not in VOID:
+            self.open_at.setdefault(tag, []).append(len(self.open))
+            if tag in SCOPES:
+                self.scopes.append(len(self.open))
             self.open.append(len(self.tag) - 1)
-            self.count[tag] = self.count.get(tag, 0) + 1
 
     def _end(self, tag: str):
-        if self.count.get(tag):
+        if self.open_at.get(tag):
             while self.tag[self.open[-1]] != tag:
                 self._pop()
             self._pop()
 
+    def range(self, i) -> tuple[int, int]:
+        """Where the text of an element begins and ends."""
+        first, end, _ = self.span[i]
+        return self.at[first], self.at[end]
+
     def text(self, i):
-        return "".join(self.chunks[self.span[i][0] : self.span[i][1]])
+        begin, end = self.range(i)
+        return self.full[begin:end]
+
+    def inside(self, i, indexes, most=None):
+        """The members of an ascending index list that lie inside element ``i``, the first ``most`` of them."""
+        first, end = bisect_right(indexes, i), bisect_left(indexes, self.span[i][2])
+        return indexes[first : end if most is None else min(end, first + most)]
+
+    @cached_property
+    def codes(self):
+        return np.frombuffer(self.full.encode("utf-32-le", "surrogatepass"), "<u4")
+
+    @cached_property
+    def solid(self):
+        """Positions of the characters that trimming leaves."""
+        return np.flatnonzero(~np.isin(self.codes, _SPACE_CODES))
+
+    @cached_property
+    def bytes_at(self):
+        """Bytes of UTF-8 before each position."""
+        sizes = 1 + (self.codes >= 0x80) + (self.codes >= 0x800) + (self.codes >= 0x10000)
+        return np.concatenate([[0], np.cumsum(sizes)])
+
+    def trimmed(self, i) -> tuple[int, int]:
+        """Where the text of an element begins and ends without the white space around it."""
+        begin, end = self.range(i)
+        first, after = np.searchsorted(self.solid, (begin, end))
+        return (int(self.solid[first]), int(self.solid[after - 1]) + 1) if first < after else (begin, begin)
 
-    def inside(self, i, indexes):
-        """The members of an ascending index list that lie inside element ``i``."""
-        return indexes[bisect_right(indexes, i) : bisect_left(indexes, self.span[i][2])]
+    def n_bytes(self, begin: int, end: int) -> int:
+        return int(self.bytes_at[end] - self.bytes_at[begin])
 
 
 _SIMPLE = re.compile(r"""(\w+)|#([\w-]+)|\.([\w-]+)|\[([\w-]+)(?:([*^$]?=)["']?([^"'\]]*)["']?)?\]""")
@@ -220,30 +262,41 @@ def _compile(selector: str):
     return steps
 
 
-def _matches(page: _Page, i: int, steps) -> bool:
-    direct, tests, tag = steps[-1]
-    if tag and page.tag[i] != tag:
-        return False
-    attrs = page.attrs[i]
-    for test in tests:
-        if not test(attrs):
-            return False
-    if len(steps) == 1:
-        return True
-    i = page.parent[i]
-    while i != -1:
-        if _matches(page, i, steps[:-1]):
-            return True
-        if direct:
-            return False
-        i = page.parent[i]
-    return False
-
-
-def _find(page: _Page, steps, tag_index) -> list[int]:
-    tag = steps[-1][2]
-    candidates = tag_index.get(tag, ()) if tag else range(len(page.tag))
-    return [i for i in candidates if _matches(page, i, steps)]
+class _Matcher:
+    """All selectors at once: one bit for each step of each, set on an element that ends a match of the steps up to it.
+
+    Elements come in page order, parents first. A step is tried where the step before it stands among the element's ancestors
+    (or on its parent), which is one test of a bit set, so the time does not depend on how deep elements are nested.
+    """
+
+    def __init__(self, selectors: dict[str, list]):
+        self.by_tag, self.any_tag, self.last = {}, [], {}
+        bit = 1
+        for name, steps in selectors.items():
+            before = 0
+            for direct, tests, tag in steps:
+                (self.by_tag.setdefault(tag, []) if tag else self.any_tag).append((bit, before, direct, tests))
+                before, bit = bit, bit << 1
+            self.last[name] = before
+
+    def find(self, page: _Page) -> dict[str, list[int]]:
+        own, above = [], []  # bits of an element, and of it and all its ancestors
+        found = {name: [] for name in self.last}
+        ends = {bit: found[name] for name, bit in self.last.items()}
+        final = sum(ends)
+        for i, tag in enumerate(page.tag):
+            parent, attrs, bits = page.parent[i], page.attrs[i], 0
+            up, higher = (own[parent], above[parent]) if parent >= 0 else (0, 0)
+            for bit, before, direct, tests in (*self.by_tag.get(tag, ()), *self.any_tag):
+                if (not before or (up if direct else higher) & before) and all(test(attrs) for test in tests):
+                    bits |= bit
+            own.append(bits)
+            above.append(higher | bits)
+            if bits & final:
+                for bit, indexes in ends.items():
+                    if bits & bit:
+                        indexes.append(i)
+        return found
 
 
 def _node(page, i):
@@ -256,45 +309,68 @@ def _row(page, i, tag_index):
     return {"cells": [page.text(c) for c in cells], "links": links}
 
 
-# What shelfmark.functions.text.trim_space strips.
-_SPACES = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
-
-
-def _trim(text: str) -> str:
-    return text.strip(_SPACES)
+def _trimmed(page, i):
+    begin, end = page.trimmed(i)
+    return page.full[begin:end]
 
 
 def _price_rows(page, found, tag_index, s):
     body = [i for i in found if page.parent[i] < 0 or page.tag[page.parent[i]] not in ("thead", "tfoot")]
     rows = [body[n] if n < len(body) else None for n in s.wanted]
-    return [None if i is None else [page.text(c) for c in page.inside(i, tag_index.get("td", []))[:5]] for i in rows]
+    return [None if i is None else [page.text(c) for c in page.inside(i, tag_index.get("td", []), 5)] for i in rows]
+
+
+def _places(text: str, word: str) -> list[int]:
+    """Every place of ``word`` in ``text``, ascending."""
+    places, at = [], text.find(word)
+    while at >= 0:
+        places.append(at)
+        at = text.find(word, at + 1)
+    return places
 
 
 def _labelled(page, found, tag_index, s):
+    cells_of, places = tag_index.get("td", []), _places(page.full, s.word) if s.word else [0]
+    links = [a for a in tag_index.get("a", ()) if page.n_bytes(*page.trimmed(a)) > s.least_bytes]
     for i in found:
-        cells = page.inside(i, tag_index.get("td", []))
-        if len(cells) < 2 or s.word not in page.text(cells[0]):
+        cells = page.inside(i, cells_of, 2)
+        if len(cells) < 2:
             continue
-        text = _trim(page.text(cells[1]))
-        links = [_trim(page.text(a)) for a in page.inside(cells[1], tag_index.get("a", []))]
-        links = [x for x in links if len(x.encode()) > s.least_bytes]
-        if links if s.least_bytes else text:
-            return {"text": text, "links": links}
+        begin, end = page.range(cells[0])
+        at = bisect_left(places, begin)
+        if s.word and (at == len(places) or places[at] + len(s.word) > end):
+            continue
+        begin, end = page.trimmed(cells[1])
+        usable = page.inside(cells[1], links, 1) if s.least_bytes else end > begin
+        if usable:
+            outer, after = [], -1
+            for a in page.inside(cells[1], links):
+                if a >= after:
+                    outer.append(_trimmed(page, a))
+                    after = page.span[a][2]
+            return {"text": page.full[begin:end], "links": outer}
     return None
 
 
 def _longest(page, found, s):
     best, most = None, s.least_bytes
     for i in found:
-        text = _trim(page.text(i))
-        if len(text.encode()) > most:
-            best, most = text, len(text.encode())
-    return best
+        n = page.n_bytes(*page.trimmed(i))
+        if n > most:
+            best, most = i, n
+    return None if best is None else _trimmed(page, best)
 
 
 def _last_match(page, found, s):
     pattern = re.compile(s.word)
-    return next((m[0] for i in reversed(found) if (m := pattern.search(page.text(i)))), None)
+    # Where a match may begin, overlapping ones included; one that does not end inside the element is no match there.
+    starts = [m.start() for m in re.finditer(f"(?={s.word})", page.full)]
+    for i in reversed(found):
+        begin, end = page.range(i)
+        for at in range(bisect_left(starts, begin), bisect_left(starts, end)):
+            if m := pattern.match(page.full, starts[at], end):
+                return m[0]
+    return None
 
 
 def _flag(page, found, tag_index):
@@ -304,18 +380,21 @@ def _flag(page, found, tag_index):
     return bool(own.strip()) or bool(tel and page.attrs[tel[0]]["href"][4:].strip())
 
 
-def read_page(html: str | None, selects: list[Select], compiled: dict) -> dict:
+def read_page(html: str | None, selects: list[Select], matcher: _Matcher) -> dict:
     page = _Page(html or "")
+    matches = matcher.find(page)
     tag_index: dict[str, list[int]] = {}
     for i, tag in enumerate(page.tag):
         tag_index.setdefault(tag, []).append(i)
     out = {}
     for s in selects:
         if s.kind == "text":
-            out[s.name] = "".join(page.chunks).lower()
+            out[s.name] = page.full.lower()
             continue
-        found = _find(page, compiled[s.name], tag_index)
-        if s.kind == "nodes":
+        found = matches[s.name]
+        if s.kind in ("first", "last"):
+            out[s.name] = page.text(found[0 if s.kind == "first" else -1]) if found else None
+        elif s.kind == "nodes":
             out[s.name] = [_node(page, i) for i in found]
         elif s.kind == "rows":
             out[s.name] = [_row(page, i, tag_index) for i in found]
@@ -342,8 +421,8 @@ def select_elements(html: Column, selects: list[Select]) -> Column:
     ddl = "struct<" + ",".join(f"`{s.name}`:{_DDL[s.kind]}" for s in selects) + ">"
 
     def run(pages: pa.Array) -> pa.Array:
-        compiled = {s.name: _compile(s.selector) for s in selects if s.kind != "text"}
-        return pa.array([read_page(h, selects, compiled) for h in pages.to_pylist()], type=arrow_type)
+        matcher = _Matcher({s.name: _compile(s.selector) for s in selects if s.kind != "text"})
+        return pa.array([read_page(h, selects, matcher) for h in pages.to_pylist()], type=arrow_type)
 
     # Explicit types: with postponed annotations the function kind cannot be inferred.
     run.__annotations__ = {"pages": pa.Array, "return": pa.Array}

@@ -70,11 +70,13 @@ class SiteRules:
     def selects(self) -> list[Select]:
         one = {
             "title": self.title, "tags": self.tag_links, "city": self.city, "stations": self.station_links,
-            "districts": self.district_links, "description": self.description, "updated": self.updated_cells,
+            "districts": self.district_links,
         }
         one |= {f"num_{k}": v for k, v in self.numbers.items()} | {f"str_{k}": v for k, v in self.strings.items()}
         return [
             *(Select(n, s) for n, s in one.items()),
+            Select("description", self.description, "first"),
+            Select("updated", self.updated_cells, "last"),
             Select("prices", self.price_rows, "price_rows", wanted=(self.onsite_row, self.offsite_row)),
             Select("station_row", self.rows, "labelled", self.station_label, self.station_bytes),
             Select("district_row", self.rows, "labelled", self.district_label),
@@ -128,14 +130,12 @@ def _place(m: Column, low: Column, rules: SiteRules) -> Column:
 
 def _description(m: Column, rules: SiteRules) -> Column:
     """The first description element, even an empty one; else the longest wide cell."""
-    return F.when(
-        F.size(m["description"]) > 0, trim_space(F.get(m["description"], F.lit(0))["text"])
-    ).otherwise(F.coalesce(m["description_cell"], F.lit("")))
+    return F.coalesce(trim_space(m["description"]), m["description_cell"], F.lit(""))
 
 
 def _last_updated(m: Column) -> Column:
     """Date in the last marked cell, else the last date found in any table cell."""
-    marked = date_from_text(F.coalesce(F.try_element_at(m["updated"], F.lit(-1))["text"], F.lit("")))
+    marked = date_from_text(F.coalesce(m["updated"], F.lit("")))
     return F.coalesce(blank_to_null(marked), m["dated_cell"], F.lit(""))
 
 

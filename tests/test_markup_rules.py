@@ -1,9 +1,13 @@
 """HTML rules on literal pages: references, table sections, anchors without address, nested tables, declarations."""
 
 import gzip
+import time
+from random import Random
 
+import pytest
 from pyspark.sql import functions as F
 
+from shelfmark.functions import markup
 from shelfmark.functions.html import anchors, decode_entities, tag_text
 from shelfmark.functions.markup import Select, select_elements
 from shelfmark.operators import extract, links
@@ -59,6 +63,75 @@ def test_nested_tables_stay_linear(spark):
     assert row.last_updated == "01.02.2024" and row.location.stations == ["01.02.2024"]
 
 
+@pytest.mark.parametrize("unit, close", [
+    ("<table><tr><td>Метро</td><td>", "</td></tr></table>"),
+    ("<table><tr><td>x</td><td>", "</td></tr></table>"),
+    ("<table><tr class=noprint><td colspan='2'>Метро</td><td colspan='2'>12.3", "</td></tr></table>"),
+    ("<b><table><td><b>", ""),
+    ("<td>Метро<a>x", ""),
+])
+def test_time_grows_with_the_page_alone(unit, close):
+    """Deep nesting costs what flat pages of the length cost: 4000 tables in a second, ten times the page in ten times the time."""
+    selects = extract.SiteRules().selects()
+    matcher = markup._Matcher({s.name: markup._compile(s.selector) for s in selects if s.kind != "text"})
+    seconds = []
+    for n in (400, 4000):
+        html = unit * n + "<a href='/x'>01.02.2024</a>" + close * n
+        best = 9.0
+        for _ in range(3):
+            start = time.process_time()
+            markup.read_page(html, selects, matcher)
+            best = min(best, time.process_time() - start)
+        seconds.append(best)
+    assert seconds[1] < 1 and seconds[1] < 30 * max(seconds[0], 0.005)
+
+
+def matches(page, i, steps):
+    """Whether an element matches, by going up from it step by step."""
+    direct, tests, tag = steps[-1]
+    if (tag and page.tag[i] != tag) or not all(test(page.attrs[i]) for test in tests):
+        return False
+    if len(steps) == 1:
+        return True
+    ancestors, i = [], page.parent[i]
+    while i >= 0:
+        ancestors.append(i)
+        i = page.parent[i]
+    return any(matches(page, a, steps[:-1]) for a in ancestors[: 1 if direct else None])
+
+
+def test_matcher_equals_walking_up(small):
+    """All selectors at once against one element and one selector at a time, on made-up nests of tags."""
+    selectors = ["a", "div a", "div > a", "div.x p > a[href]", "ul li > a.y", "p.x", "#i a", "table tr td[colspan='2']", "div div > p", "[href^='/s']"]
+    compiled = {s: markup._compile(s) for s in selectors}
+    matcher, random, seen = markup._Matcher(compiled), Random(5), set()
+    starts = ["<div>", "<div class=x>", "<p>", "<p class='x y'>", "<a href='/s'>", "<a class=y>", "<ul>", "<li>", "<table>", "<tr>", "<td colspan=2>", "<b id=i>"]
+    ends = ["</div>", "</p>", "</a>", "</ul>", "</table>", "</b>", "text"]
+    for _ in range(300):
+        page = markup._Page("".join(random.choice(starts if random.random() < 0.6 else ends) for _ in range(60)))
+        found = matcher.find(page)
+        for s, steps in compiled.items():
+            assert found[s] == [i for i in range(len(page.tag)) if matches(page, i, steps)]
+            seen |= {s} if found[s] else set()
+    assert seen == set(selectors)
+
+
+def test_labelled_longest_and_dated_cells(spark):
+    html = (
+        "<table><tr><td>Метро</td><td> </td></tr><tr><td>a Метро b</td><td><a> ab </a><a>Дом\u2009</a><a>x</a></td></tr></table>"
+        "<table><tr><td colspan=2>\u00a0кратко кратко кратко кратко</td></tr><tr><td colspan=2>" + "w" * 51 + " </td></tr><tr><td>1.1.20 01.02.20233 03.04.2024</td><td>no</td></tr></table>"
+    )
+    selects = [
+        markup.Select("row", "table tr", "labelled", "Метро", 2), markup.Select("any", "table tr", "labelled", "Метро"),
+        markup.Select("wide", "td[colspan='2']", "longest", least_bytes=50), markup.Select("wider", "td[colspan='2']", "longest", least_bytes=51),
+        markup.Select("date", "td", "last_match", r"\d{2}\.\d{2}\.\d{4}"), markup.Select("none", "p", "last"), markup.Select("first", "td", "first"),
+    ]
+    got = page(spark, html).select(select_elements(F.col("html"), selects).alias("m")).first().m
+    assert got.row.links == ["Дом"] and got.row.text == "ab Дом\u2009x" and got.any.links == ["ab", "Дом", "x"]
+    assert got.wide == "кратко кратко кратко кратко" and got.wider is None
+    assert got.date == "01.02.2023" and got.none is None and got.first == "Метро"
+
+
 def test_charset_is_found_anywhere(spark):
     text = "<script>" + "x" * 5000 + "</script><meta charset={0}windows-1251>Привет"
     rows = [(i, b, e) for i, (b, e) in enumerate([
