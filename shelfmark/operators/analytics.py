@@ -39,8 +39,12 @@ def summary(
     return df.agg(*aggs)
 
 
-def listing_summary(latest_listings: DataFrame) -> DataFrame:
-    """Summary of the flat listing table (give it :func:`latest` rows)."""
+def listing_summary(latest_listings: DataFrame, attribute: str | None = None) -> DataFrame:
+    """Summary of the flat listing table (give it :func:`latest` rows).
+
+    With a numeric ``attribute``: also how many listings have it above zero, and its average with zeros.
+    """
+    value = F.coalesce(F.element_at("attr_num", F.lit(attribute)), F.lit(0)) if attribute else None
     return summary(
         latest_listings,
         counts={
@@ -48,8 +52,9 @@ def listing_summary(latest_listings: DataFrame) -> DataFrame:
             "with_photos": F.col("photos_count") > 0,
             "with_price": F.col("price_hour") > 0,
             "with_description": F.length("description") > 0,
+            **({f"with_{attribute}": value > 0} if attribute else {}),
         },
-        averages={"avg_price": F.col("price_hour")},
+        averages={"avg_price": F.col("price_hour"), **({f"avg_{attribute}": value} if attribute else {})},
         distinct={"cities": F.col("location_city")},
     )
 

@@ -29,10 +29,10 @@ def current(listings: DataFrame, latest_only: bool = True, columns: Sequence[str
     return latest(listings, KEYS, VERSION, loaded) if latest_only else listings
 
 
-def summary(listings: DataFrame) -> DataFrame:
-    """Totals, completeness counts, average price with zeros, number of cities."""
-    needed = ("has_contact", "photos_count", "price_hour", "description")
-    return analytics.listing_summary(current(listings, columns=needed))
+def summary(listings: DataFrame, attribute: str | None = None) -> DataFrame:
+    """Totals, completeness counts, average price with zeros, number of cities; for a numeric attribute its count above zero and average."""
+    needed = ("has_contact", "photos_count", "price_hour", "description", *(["attr_num"] if attribute else []))
+    return analytics.listing_summary(current(listings, columns=needed), attribute)
 
 
 def average_price_by_city(listings: DataFrame, latest_only: bool = True) -> DataFrame:
@@ -60,12 +60,16 @@ def price_ranges(listings: DataFrame, edges: Sequence, labels: Sequence[str], la
     return analytics.grouped(rows, band, price, ("count", "min", "max"), gate=price > 0)
 
 
-def tagged(listings: DataFrame, tag: str, city: str, low: int, high: int, latest_only: bool = True) -> DataFrame:
-    """Listings in one city that carry a tag and cost between two prices, both included."""
+def tagged(
+    listings: DataFrame, tag: str, city: str, low: int, high: int, latest_only: bool = True, attribute: str | None = None
+) -> DataFrame:
+    """Listings in one city that carry a tag and cost between two prices, both included, with a numeric attribute if one is named."""
     # City is part of the key, so it may narrow the versions that are compared.
-    rows = current(listings.filter(F.col("location_city") == city), latest_only, ["tags_available", "price_hour"])
+    needed = ["tags_available", "price_hour", *(["attr_num"] if attribute else [])]
+    rows = current(listings.filter(F.col("location_city") == city), latest_only, needed)
     found = filters.tagged_in_range(rows, "tags_available", tag, "location_city", city, "price_hour", low, high)
-    return found.select("id", "price_hour", "location_city")
+    more = [F.coalesce(F.element_at("attr_num", F.lit(attribute)), F.lit(0)).alias(attribute)] if attribute else []
+    return found.select("id", *more, "price_hour", "location_city")
 
 
 def station_popularity(listings: DataFrame, limit: int | None = 20, latest_only: bool = True) -> DataFrame:

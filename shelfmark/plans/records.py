@@ -193,7 +193,6 @@ WITH o AS (SELECT user_id, event_type, CAST(CAST(value AS DECIMAL(18,2)) AS VARC
       QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1),
 n AS (SELECT user_id, event_type, CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) AS value
       FROM (SELECT * FROM events WHERE ts >= {CUT_SQL})
-      WHERE event_type <> 'signup'
       QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1),
 j AS (SELECT coalesce(o.user_id, n.user_id) AS user_id,
              CASE WHEN o.user_id IS NULL THEN 'insert' WHEN n.user_id IS NULL THEN 'delete' ELSE 'update' END AS change_type,
@@ -207,8 +206,7 @@ SELECT user_id, change_type, 'value', ov, nv FROM j WHERE change_type <> 'update
 def snapshot_diff(spark, sf_dir):
     rows = read(spark, sf_dir, "events").withColumn("value", money("value"))
     old = versions.latest(rows.filter(F.col("ts") < CUT), ["user_id"], "ts", "event_id")
-    later = rows.filter((F.col("ts") >= CUT) & (F.col("event_type") != "signup"))
-    new = versions.latest(later, ["user_id"], "ts", "event_id")
+    new = versions.latest(rows.filter(F.col("ts") >= CUT), ["user_id"], "ts", "event_id")
     return changes.diff_snapshots(old, new, ["user_id"], ["event_type", "value"])
 
 
@@ -336,11 +334,12 @@ def listing_flat(spark, sf_dir):
 @query(CATALOGUE_SQL + """
 SELECT count(*) AS total, CAST(0 AS BIGINT) AS with_contact, count(*) FILTER (WHERE len(words) > 0) AS with_photos,
        count(*) FILTER (WHERE price_hour > 0) AS with_price, CAST(0 AS BIGINT) AS with_description,
-       CAST(sum(price_hour) AS DOUBLE) / count(*) AS avg_price, count(DISTINCT location_city) AS cities
+       count(*) FILTER (WHERE width > 0) AS with_width, CAST(sum(price_hour) AS DOUBLE) / count(*) AS avg_price,
+       CAST(sum(width) AS DOUBLE) / count(*) AS avg_width, count(DISTINCT location_city) AS cities
 FROM newest
 """)
 def report_summary(spark, sf_dir):
-    return reports.summary(_catalogue(spark, sf_dir))
+    return reports.summary(_catalogue(spark, sf_dir), "width")
 
 
 @query(CATALOGUE_SQL + """
@@ -371,11 +370,11 @@ def report_price_ranges(spark, sf_dir):
 
 
 @query(CATALOGUE_SQL + """
-SELECT id, price_hour, location_city FROM newest
+SELECT id, width, price_hour, location_city FROM newest
 WHERE list_contains(words, 'red') AND location_city = 'Unknown' AND price_hour BETWEEN 20 AND 1500
 """)
 def report_tagged(spark, sf_dir):
-    return reports.tagged(_catalogue(spark, sf_dir), "red", "Unknown", 20, 1500)
+    return reports.tagged(_catalogue(spark, sf_dir), "red", "Unknown", 20, 1500, attribute="width")
 
 
 @query(CATALOGUE_SQL + """
@@ -801,3 +800,47 @@ def table_purge(spark, sf_dir):
     tables.append(_stored_events(spark, sf_dir), "events", path)
     tables.purge(spark, "events", path, kept, as_of=dt.datetime(2024, 4, 10))
     return _stored_output(tables.read(spark, "events", kept))
+
+
+def _over_months(rows):
+    """Stored events spread over five months by their number, and that number."""
+    n = map_get("metadata", "event_id").cast("bigint")
+    later = F.timestamp_add("MONTH", (n % 4).cast("int"), F.col("timestamp"))
+    return rows.withColumns({"timestamp": later, "created_at": later}), n
+
+
+OVER_MONTHS_SQL = "(SELECT * REPLACE (ts + to_months(CAST(event_id % 4 AS INTEGER)) AS ts) FROM events)"
+
+
+@query(f"{STORED_SQL} FROM {OVER_MONTHS_SQL} WHERE ts > TIMESTAMP '2024-06-13 12:00:00' - INTERVAL 90 DAY")
+def table_expire(spark, sf_dir):
+    """Events of several months: those behind the bound are dropped as folders, the bound's own month is written anew."""
+    path = shared_folder(spark, "events")
+    rows, _ = _over_months(_stored_events(spark, sf_dir))
+    tables.append(rows, "events", path)
+    tables.expire(spark, "events", path, as_of=dt.datetime(2024, 6, 13, 12))
+    return _stored_output(tables.read(spark, "events", path))
+
+
+@query(f"""{STORED_SQL} FROM {OVER_MONTHS_SQL}
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY timestamp DESC, event_id DESC) = 1""")
+def table_compact_months(spark, sf_dir):
+    """Versions over five months in two loads; each is compacted in place, by the months that hold replaced versions."""
+    path = shared_folder(spark, "events")
+    rows, n = _over_months(_stored_events(spark, sf_dir))
+    for load in (1, 0):
+        tables.append(rows.filter(n % 2 == load), "events", path, load=n)
+        tables.compact_months(spark, "events", path, ["id"], "timestamp")
+    return _stored_output(tables.read(spark, "events", path))
+
+
+@query(CATALOGUE_SQL + """
+SELECT id, location_city, price_hour, updated_at FROM catalogue WHERE price_hour BETWEEN 900 AND 1000
+""")
+def table_cluster(spark, sf_dir):
+    """Listings stored along a curve through city, price and time, and found by price alone."""
+    path, clustered = shared_folder(spark, "listings"), shared_folder(spark, "clustered")
+    tables.append(_catalogue(spark, sf_dir), "listings", path)
+    tables.cluster(spark, "listings", path, clustered)
+    found = tables.read(spark, "listings", clustered).filter(F.col("price_hour").between(900, 1000))
+    return found.select("id", "location_city", "price_hour", ntz("updated_at").alias("updated_at"))

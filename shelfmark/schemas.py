@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -122,7 +122,7 @@ def plus(schema: T.StructType, **columns: T.DataType) -> T.StructType:
 
 @dataclass(frozen=True)
 class Table:
-    """A stored table: schema, month partition source, sort order, retention, bloom columns."""
+    """A stored table: schema, month partition source, sort order, retention, bloom columns, columns to cluster by."""
 
     name: str
     schema: T.StructType
@@ -131,6 +131,7 @@ class Table:
     retention_days: int | None = None
     retention_column: str = "created_at"
     bloom: tuple[str, ...] = ()
+    cluster: tuple[str, ...] = ()
 
 
 TABLES = {
@@ -139,8 +140,11 @@ TABLES = {
         Table("events", EVENTS, "timestamp", ("timestamp", "event_type", "source"), 90),
         Table("metrics", METRICS, "timestamp", ("timestamp", "metric_name"), 30),
         Table("parsing_errors", PARSING_ERRORS, "timestamp", ("timestamp", "error_type", "source"), 30),
-        Table("listings", FLAT_LISTING, "created_at", ("id", "location_city"), bloom=("location_city",)),
-        Table("listing_changes", LISTING_CHANGES, "change_timestamp", ("listing_id", "change_timestamp")),
+        Table(
+            "listings", FLAT_LISTING, "created_at", ("id", "location_city"), bloom=("location_city",),
+            cluster=("location_city", "price_hour", "updated_at"),
+        ),
+        Table("listing_changes", LISTING_CHANGES, "change_timestamp", ("listing_id", "change_timestamp"), 180, "change_timestamp"),
     )
 }
 
@@ -160,6 +164,15 @@ def zero_sql(dtype: T.DataType) -> str:
     raise ValueError(f"no zero value for {dtype.simpleString()}")
 
 
+def default_of(f: T.StructField, defaults: dict, new_id: bool = False) -> Column:
+    """What a missing value of a column becomes."""
+    if f.name in defaults:
+        return F.lit(defaults[f.name]).cast(f.dataType.simpleString())
+    if isinstance(f.dataType, T.TimestampType):
+        return F.current_timestamp()
+    return F.uuid() if new_id else F.expr(zero_sql(f.dataType))
+
+
 def fill_defaults(df: DataFrame, schema: T.StructType, defaults: dict | None = None, blank: bool = False) -> DataFrame:
     """Project to ``schema`` with a default for every missing column and every NULL.
 
@@ -171,14 +184,7 @@ def fill_defaults(df: DataFrame, schema: T.StructType, defaults: dict | None = N
     have = set(df.columns)
     out = []
     for f in schema.fields:
-        if f.name in defaults:
-            default = F.lit(defaults[f.name]).cast(f.dataType.simpleString())
-        elif isinstance(f.dataType, T.TimestampType):
-            default = F.current_timestamp()
-        elif f.name == "id" and "id" not in have:
-            default = F.uuid()
-        else:
-            default = F.expr(zero_sql(f.dataType))
+        default = default_of(f, defaults, f.name == "id" and "id" not in have)
         if f.name not in have:
             out.append(default.alias(f.name))
             continue

@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Unlike the default, this form has minima and maxima in files, which scans prune by.
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     # Streaming state (seen links, open windows) may outgrow the heap.
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # Whole pages travel to Python; bound a batch by size as well as by rows.
@@ -36,6 +38,12 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store Spark reads it from; none is not an error."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 

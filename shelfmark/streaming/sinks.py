@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from shelfmark.schemas import LONG, TEXT, plus
+from shelfmark.session import drop_folder, materialize
+from shelfmark.sources.quality import error_rows
 
 QUERY, BATCH = "query_id", "batch_id"
 
@@ -124,3 +126,70 @@ class LateRows(StreamingQueryListener):
 def observed(df: DataFrame, name: str, ok) -> DataFrame:
     """Attach processed and succeeded counters to a job; read them from the query progress."""
     return df.observe(name, F.count(F.lit(1)).alias("processed"), F.count_if(ok).alias("succeeded"))
+
+
+def _message(error: Exception) -> str:
+    return str(error).partition("\n")[0][:500]
+
+
+def to_isolated_table(
+    stream: DataFrame,
+    path: str,
+    errors_path: str,
+    checkpoint: str,
+    fn: Callable[[DataFrame], DataFrame],
+    attempts: int = 2,
+    most_bad: int = 1000,
+    **options,
+) -> StreamingQuery:
+    """Write ``fn`` of every micro-batch, without the rows it fails on: these go to an error table below ``errors_path``.
+
+    A batch that fails ``attempts`` times is halved by a hash of its rows, and so is each half that fails, until a failing piece
+    holds one row (or copies of one). That takes about two jobs for each halving and bad row; the other rows are stored once each.
+    ``fn`` must work row by row: on a piece it has to give what it gives on the whole.
+
+    More than ``most_bad`` different bad rows in a batch are taken for a fault of something else, and the query fails with the last
+    error instead of emptying the batch into the error table. A repeated batch begins anew with its folders.
+    """
+    spark = stream.sparkSession
+    folder, bad_folder = batch_folder(spark, path, checkpoint), batch_folder(spark, errors_path, checkpoint)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark, out, bad_out = batch.sparkSession, folder(batch_id), bad_folder(batch_id)
+        drop_folder(spark, out)
+        rows = materialize(batch.withColumn("_hash", F.xxhash64(F.to_json(F.struct("*")))), "batch")
+        bad: dict[int, str] = {}
+        pieces = [(-(1 << 63), (1 << 63) - 1, attempts)]
+        while pieces:
+            low, high, tries = pieces.pop()
+            piece = rows.filter(F.col("_hash").between(low, high))
+            for left in reversed(range(tries)):
+                try:
+                    fn(piece.drop("_hash")).write.mode("overwrite").parquet(f"{out}/piece={low}_{high}")
+                    break
+                except Exception as error:  # noqa: BLE001  (whatever a row can raise in a job)
+                    if left:
+                        continue
+                    drop_folder(spark, f"{out}/piece={low}_{high}")
+                    span = piece.agg(F.min("_hash"), F.max("_hash")).first()
+                    if span[0] is None:
+                        raise  # it fails without rows
+                    if span[0] == span[1]:
+                        bad[span[0]] = _message(error)
+                        if len(bad) > most_bad:
+                            raise
+                    else:
+                        middle = (span[0] + span[1]) >> 1
+                        pieces += [(span[0], middle, 1), (middle + 1, span[1], 1)]
+        known = spark.createDataFrame([*bad.items()], "_hash long, error_message string")
+        letters = rows.join(F.broadcast(known), "_hash").withColumn("error_type", F.lit("poison"))
+        record = F.to_json(F.struct(*batch.columns))
+        letters = error_rows(letters, record, F.lit("batch"))
+        letters.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(bad_out)
+
+    return for_each_batch(stream, write, checkpoint, **options)
+
+
+def read_isolated(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The rows stored by :func:`to_isolated_table`; its error table is read by :func:`read_batch_table`."""
+    return spark.read.schema(plus(schema, query_id=TEXT, batch_id=LONG, piece=TEXT)).parquet(path).drop(QUERY, BATCH, "piece")

@@ -48,11 +48,14 @@ def summary_per_batch(
     """Per micro-batch: metric rows over that batch's events of the last minute.
 
     Each batch sees only itself and appends its own counts.  ``width=None`` takes every event
-    of the batch, for replaying history.
+    of the batch; ``as_of="newest"`` counts the minute back from the batch's newest event, where history is replayed.
     """
 
     def summarize(batch: DataFrame, _: int) -> DataFrame:
-        rows = batch if width is None else recent(batch, ts, width, as_of)
+        at = batch.agg(F.max(F.col(ts).cast("timestamp"))).first()[0] if as_of == "newest" else as_of
+        if as_of == "newest" and at is None:
+            return as_metrics(event_summary(batch))
+        rows = batch if width is None else recent(batch, ts, width, at)
         return as_metrics(event_summary(rows))
 
     return to_batch_table(events, path, checkpoint, summarize, **options)

@@ -57,7 +57,9 @@ def test_purge_and_tables_without_retention(spark, folder):
     tables.append(df, "events", folder("events"))
     tables.purge(spark, "events", folder("events"), folder("kept"), dt.datetime(2024, 4, 1))
     assert [r.id for r in tables.read(spark, "events", folder("kept")).collect()] == ["b"]
-    assert {t.name: t.retention_days for t in TABLES.values() if t.retention_days} == {"events": 90, "metrics": 30, "parsing_errors": 30}
+    assert {t.name: t.retention_days for t in TABLES.values() if t.retention_days} == {
+        "events": 90, "metrics": 30, "parsing_errors": 30, "listing_changes": 180,
+    }
     with pytest.raises(ValueError):
         tables.purge(spark, "listings", folder("events"), folder("x"))
 
