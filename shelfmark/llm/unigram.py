@@ -1,7 +1,8 @@
-"""Unigram segmentation of texts: the most probable sequence of pieces, by Viterbi over a double-array trie.
+"""Unigram segmentation of texts: the sequence of pieces with the greatest sum of scores, by Viterbi over a double-array trie.
 
-Spaces become the marker U+2581 and a text begins with one. Pieces and their log scores come from a model file; a character that is no
-piece costs ten less than the least score and is written as its UTF-8 bytes. Scores are added in double precision; of equally good
+Spaces become the marker U+2581 and a text begins with one. Pieces and their scores come from a model file and are taken as they are. They
+are log probabilities where the model was trained as a unigram one; a model of merges holds negated merge ranks, whose greatest sum
+is no likelihood and differs from that model's own merging. A character that is no piece costs ten less than the least score and is written as its UTF-8 bytes. Scores are added in double precision; of equally good
 segmentations the one with the longer last piece wins, at every place.
 
 A marker after another character begins a new stretch that no piece crosses (checked when the model is read), so a text is segmented
@@ -25,6 +26,9 @@ ship(__name__)
 
 MARKER = "▁"
 UNKNOWN_PENALTY = 10.0
+#: Bounds of work at once: characters of text, cells of a group of stretches, bytes of a stretch that still joins a group.
+CHUNK_CHARS, GROUP_CELLS, LONG = 4 << 20, 1 << 20, 96
+
 
 @dataclass
 class Trie:
@@ -117,7 +121,10 @@ class Segmenter(dict):
         self.scores = model.scores.tolist()
         kept = [s for s, t in zip(self.scores, model.texts, strict=True) if t]
         self.unknown_score = min(kept, default=0.0) - UNKNOWN_PENALTY
+        self.score_array = model.scores
         self.cut = re.compile(model.stretch)
+        self.marker = np.array(self.spell(MARKER.encode()), "<i4").tobytes()
+        self[None] = self.marker
 
     def spell(self, raw: bytes) -> list[int]:
         return [self.model.byte_ids[b] for b in raw] if self.model.byte_ids else [self.model.unknown]
@@ -155,28 +162,127 @@ class Segmenter(dict):
             at = back[at]
         return [i for x in reversed(out) for i in x]
 
-    def __missing__(self, stretch: str) -> bytes:
-        found = np.array(self.segment(stretch.encode()), "<i4").tobytes()
-        if len(self) >= self.limit:
-            self.clear()
-        if len(stretch) < 200:
-            self[stretch] = found
-        return found
+    def segment_all(self, stretches: list[str]) -> list[bytes]:
+        """:meth:`segment` of many stretches at once, in groups of similar length and at most GROUP_CELLS bytes of padding and text."""
+        raws = [s.encode() for s in stretches]
+        order = sorted(range(len(raws)), key=lambda i: len(raws[i]))
+        out: list[bytes] = [b""] * len(raws)
+        at = 0
+        while at < len(order):
+            end = at
+            while end < len(order) and (end - at + 1) * len(raws[order[end]]) <= GROUP_CELLS and len(raws[order[end]]) <= LONG:
+                end += 1
+            if end == at:  # a long stretch is worked on by itself
+                out[order[at]] = np.array(self.segment(raws[order[at]]), "<i4").tobytes()
+                at += 1
+                continue
+            for i, ids in zip(order[at:end], self._segment_group([raws[i] for i in order[at:end]]), strict=True):
+                out[i] = ids
+            at = end
+        return out
 
-    def encode(self, text: str | None) -> bytes:
-        """Ids of a text; null and empty have none."""
-        if not text:
-            return b""
-        out, begin = [], MARKER
+    def _segment_group(self, raws: list[bytes]) -> list[bytes]:
+        """Viterbi over stretches sorted by length, all at one place at a time, in the order of :meth:`segment`."""
+        trie, m = self.model.trie, len(raws)
+        sizes = np.array([len(r) for r in raws])
+        width = int(sizes[-1])
+        text = np.zeros((width, m), np.int32)  # one column for each stretch
+        text[np.arange(width)[:, None] < sizes] = -1
+        joined = np.frombuffer(b"".join(raws), np.uint8).astype(np.int32)
+        text.T[text.T == -1] = joined
+        starts = (text & 0xC0) != 0x80
+        best = np.full((width + 1, m), -np.inf)
+        best[0] = 0.0
+        back, piece = np.zeros((width + 1, m), np.int32), np.full((width + 1, m), -1, np.int32)
+        for at in range(width):
+            first = int(np.searchsorted(sizes, at, "right"))  # stretches that reach beyond this place
+            rows = first + np.flatnonzero(starts[at, first:])
+            if not len(rows):
+                continue
+            lead = text[at, rows]
+            char = 1 + (lead >= 0xC0) + (lead >= 0xE0) + (lead >= 0xF0)
+            here = best[at, rows]
+            single = np.zeros(len(rows), bool)
+            live, node = np.arange(len(rows)), np.zeros(len(rows), np.int32)
+            for end in range(at, width):
+                inside = sizes[rows[live]] > end
+                live, node = live[inside], node[inside]
+                child = trie.base[node] + text[end, rows[live]] + 1
+                found = trie.check[child] == node
+                live, node = live[found], child[found]
+                if not len(live):
+                    break
+                v = trie.value[node]
+                has = v >= 0
+                own = live[has]
+                if len(own):
+                    v, to = v[has], rows[own]
+                    s = here[own] + self.score_array[v]
+                    better = s > best[end + 1, to]
+                    to = to[better]
+                    best[end + 1, to], back[end + 1, to], piece[end + 1, to] = s[better], at, v[better]
+                    single[own] |= char[own] == end + 1 - at
+            rest = ~single
+            if rest.any():
+                to, end, s = rows[rest], at + char[rest], here[rest] + self.unknown_score
+                better = s > best[end, to]
+                to, end = to[better], end[better]
+                best[end, to], back[end, to], piece[end, to] = s[better], at, -1
+        # The ways back, all stretches a step at a time; then the pieces in order of their places.
+        live, at = np.arange(m), sizes.copy()
+        steps = []
+        while len(live):
+            before = back[at, live]
+            steps.append((live, before, at, piece[at, live]))
+            live, at = live[before > 0], before[before > 0]
+        owner, begin, end, ids = (np.concatenate(c) for c in zip(*steps, strict=True))
+        order = np.lexsort((begin, owner))
+        owner, begin, end, ids = owner[order], begin[order], end[order], ids[order]
+        spelled = (ids < 0) & bool(self.model.byte_ids)
+        n = np.where(spelled, end - begin, 1)
+        each = np.repeat(np.arange(len(ids)), n)
+        byte = np.arange(len(each)) - np.repeat(np.cumsum(n) - n, n)
+        flat = np.where(ids[each] < 0, self.model.unknown, ids[each])
+        by_byte = spelled[each]
+        if by_byte.any():
+            flat[by_byte] = np.array(self.model.byte_ids)[text[begin[each] + byte, owner[each]][by_byte]]
+        ends = 4 * np.cumsum(np.bincount(owner, n, m).astype(np.int64))
+        raw = flat.astype("<i4").tobytes()
+        return [raw[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
+
+    def stretches(self, text: str) -> list[str | None]:
+        """The stretches of a text in order; None for a literal marker, which is spelled and which nothing crosses."""
+        out: list[str | None] = []
+        begin = MARKER
         for i, part in enumerate(text.split(MARKER)):
-            if i:  # a literal marker is spelled, and nothing crosses it
-                out += [self[begin]] if begin else []
-                out.append(np.array(self.spell(MARKER.encode()), "<i4").tobytes())
+            if i:
+                out += [begin, None] if begin else [None]
                 begin = ""
             if part:
-                out += map(self.__getitem__, self.cut.findall(begin + part.replace(" ", MARKER)))
+                out += self.cut.findall(begin + part.replace(" ", MARKER))
                 begin = ""
-        return b"".join(out)
+        return out
+
+    def encode_all(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of texts as bytes of 32-bit numbers; null and empty have none. New stretches of some texts are segmented together."""
+        out, at = [], 0
+        while at < len(texts):
+            cut, size = [], 0
+            while at < len(texts) and (not cut or size + len(texts[at] or "") <= CHUNK_CHARS):
+                cut.append(self.stretches(texts[at]) if texts[at] else [])
+                size += len(texts[at] or "")
+                at += 1
+            if len(self) >= self.limit:
+                self.clear()
+                self[None] = self.marker
+            new = list({s for c in cut for s in c if s not in self})
+            own = dict(zip(new, self.segment_all(new), strict=True))
+            self.update((s, ids) for s, ids in own.items() if len(s) < 200)
+            out += [b"".join([self.get(s) or own[s] for s in c]) for c in cut]
+        return out
+
+    def encode(self, text: str | None) -> bytes:
+        return self.encode_all([text])[0]
 
 
 def encode(docs: DataFrame, model: Model) -> DataFrame:
@@ -185,7 +291,7 @@ def encode(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         segmenter = Segmenter(model)
         for batch in batches:
-            raw = [segmenter.encode(t) for t in batch.column(1).to_pylist()]
+            raw = segmenter.encode_all(batch.column(1).to_pylist())
             offsets = np.concatenate([[0], np.cumsum([len(r) // 4 for r in raw])]).astype(np.int32)
             ids = pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(raw), "<i4")))
             yield pa.RecordBatch.from_arrays([batch.column(0), ids], ["doc_id", "ids"])

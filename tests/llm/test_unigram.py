@@ -78,3 +78,16 @@ def test_trie():
             ok = ok and trie.check[child] == node
             node = child if ok else node
         assert (int(trie.value[node]) if ok else -1) == keys.get(text, -1)
+
+
+def test_stretches_at_once_equal_one_by_one(monkeypatch):
+    """Groups of many sizes, long stretches and chunks of texts against the search of one stretch."""
+    monkeypatch.setattr(unigram, "GROUP_CELLS", 300)
+    monkeypatch.setattr(unigram, "LONG", 40)
+    monkeypatch.setattr(unigram, "CHUNK_CHARS", 100)
+    rng, model = random.Random(10), unigram.Model.load(PATH)
+    seg = unigram.Segmenter(model, limit=20)
+    words = list({"".join(rng.choice(BITS) for _ in range(rng.randint(1, 25))) for _ in range(700)})
+    assert seg.segment_all(words) == [b"".join(i.to_bytes(4, "little") for i in seg.segment(w.encode())) for w in words]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randint(0, 9))) for _ in range(60)] + [None, "", "▁", "a▁ ▁b"]
+    assert seg.encode_all(texts) == [unigram.Segmenter(model).encode(t) for t in texts]
