@@ -25,11 +25,11 @@ from shelfmark.llm.common import ship
 ship(__name__)
 
 # The layouts known. ``turns`` names the array of turns, ``order`` a field to sort them by; ``fields`` gives roles to
-# top-level fields in order, joined where two share a role.
+# top-level fields in order, joined where two share a role; with ``names`` other names of roles are put into the usual ones.
 MAPPINGS = [
     {"paths": ["turns[].role", "turns[].text", "turns[].turn"], "turns": "turns", "role": "role", "text": "text", "order": "turn"},
-    {"paths": ["messages[].content", "messages[].role"], "turns": "messages", "role": "role", "text": "content"},
-    {"paths": ["conversations[].from", "conversations[].value"], "turns": "conversations", "role": "from", "text": "value"},
+    {"paths": ["messages[].content", "messages[].role"], "turns": "messages", "role": "role", "text": "content", "names": True},
+    {"paths": ["conversations[].from", "conversations[].value"], "turns": "conversations", "role": "from", "text": "value", "names": True},
     {"paths": ["prompt", "response"], "fields": [("user", "prompt"), ("assistant", "response")]},
     {"paths": ["completion", "prompt"], "fields": [("user", "prompt"), ("assistant", "completion")]},
     {"paths": ["instruction", "output"], "fields": [("user", "instruction"), ("assistant", "output")]},
@@ -44,8 +44,10 @@ TOKEN = re.compile("|".join(sorted(map(re.escape, CONTROL), key=len, reverse=Tru
 
 
 def paths_of(value: object, at: str = "") -> set[str]:
+    """Paths of all fields. A name that holds a sign of the paths is quoted, so it is not taken for one."""
     if isinstance(value, dict):
-        return {p for k, v in value.items() for p in paths_of(v, f"{at}.{k}" if at else k)}
+        named = ((k if not re.search(r'[.\[\]"]', k) else json.dumps(k), v) for k, v in value.items())
+        return {p for k, v in named for p in paths_of(v, f"{at}.{k}" if at else k)}
     if isinstance(value, list):
         return {p for v in value for p in paths_of(v, f"{at}[]")} or {f"{at}[]"}
     return {at}
@@ -62,8 +64,18 @@ def plain(value: object) -> str:
     return "" if value is None else value if isinstance(value, str) else json.dumps(value, ensure_ascii=False)
 
 
+def place_of(value: object) -> tuple:
+    """Sorts turns: nulls first, numbers by value, anything else after them by its text."""
+    if value is None:
+        return 0, 0, ""
+    return (1, value, "") if isinstance(value, int | float) else (2, 0, plain(value))
+
+
 def turns_of(record: object) -> tuple[str, list[tuple[str, str]] | None]:
-    """Fingerprint of a record and its turns (role, text); None where no mapping fits. Null roles and texts are empty."""
+    """Fingerprint of a record and its turns (role, text); None where no mapping fits. Null roles and texts are empty.
+
+    A fingerprint is that of all turns together; a record whose turns do not each have all fields fits no mapping.
+    """
     mark = fingerprint_of(paths_of(record))
     mapping = BY_FINGERPRINT.get(mark)
     if mapping is None:
@@ -77,10 +89,14 @@ def turns_of(record: object) -> tuple[str, list[tuple[str, str]] | None]:
             out.append((role, text))
         return mark, out
     rows = record[mapping["turns"]]
+    needed = {mapping["role"], mapping["text"], mapping.get("order", mapping["role"])}
+    if not all(isinstance(r, dict) and needed <= set(r) for r in rows):
+        return mark, None
     if "order" in mapping:
-        rows = sorted(rows, key=lambda r: (r[mapping["order"]] is not None, r[mapping["order"]] or 0))
+        rows = sorted(rows, key=lambda r: place_of(r[mapping["order"]]))
+    names = ROLES if mapping.get("names") else {}
     roles = [plain(r[mapping["role"]]) for r in rows]
-    return mark, [(ROLES.get(role, role), plain(r[mapping["text"]])) for role, r in zip(roles, rows, strict=True)]
+    return mark, [(names.get(role, role), plain(r[mapping["text"]])) for role, r in zip(roles, rows, strict=True)]
 
 
 def escape(text: str) -> str:
@@ -128,7 +144,9 @@ def format_records(records: DataFrame) -> DataFrame:
     """record_id, fingerprint, formatted, mask (start, end of assistant texts) of JSON records (record_id, record).
 
     ``record_id`` keeps its type; other columns are ignored. Records that are null, no JSON or of an unknown layout come back with null
-    ``formatted`` and ``mask`` (the fingerprint tells layouts apart; it is null without JSON). Repeated rows are formatted each for itself.
+    ``formatted`` and ``mask`` (the fingerprint tells layouts apart; it is null without JSON). JSON nested too deeply to be read counts as
+    none, a text with half a surrogate pair as an unknown layout. Turns with equal numbers stay in the order of the record.
+    Repeated rows are formatted each for itself.
     """
     kind = records.schema["record_id"].dataType.simpleString()
     spans = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
@@ -139,9 +157,13 @@ def format_records(records: DataFrame) -> DataFrame:
             for raw in batch.column(1).to_pylist():
                 try:
                     mark, turns = turns_of(json.loads(raw)) if raw is not None else (None, None)
-                except ValueError:
+                except (ValueError, RecursionError):
                     mark, turns = None, None
                 text, mask = render(turns) if turns is not None else (None, None)
+                try:
+                    (text or "").encode()
+                except UnicodeEncodeError:
+                    text, mask = None, None
                 marks.append(mark)
                 texts.append(text)
                 masks.append(None if mask is None else [{"start": a, "end": b} for a, b in mask])

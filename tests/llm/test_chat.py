@@ -58,3 +58,23 @@ def test_table_of_turns(spark):
     assert (got[2].n_turns, got[2].turns_sha256, got[2].loss_sha256) == (1, sha("\n\n"), sha(""))
     assert got[3].loss_chars == 100_000 and got[None].n_turns == 1
     assert chat.records_of(df.limit(0)).count() == 0
+
+
+def test_odd_records_have_no_turns_and_do_no_harm(spark):
+    turns = [{"turn": "b", "role": "user", "text": "4"}, {"turn": 2.5, "role": "human", "text": "2"}, {"turn": None, "role": "user", "text": "1"}, {"turn": 3, "role": "user", "text": "3"}]
+    odd = [
+        json.dumps({"messages": [{"role": "user", "content": "x"}, {"role": "assistant"}]}),
+        json.dumps({"messages[].role": "user", "messages[].content": "x"}),
+        json.dumps({"messages": [["role"], "content"]}),
+        json.dumps({"prompt": "\ud800", "response": "x"}),
+        json.dumps({"\ud800": "x"}),
+        "[" * 100_000 + "]" * 100_000,
+        '{"a":' * 100_000 + "1" + "}" * 100_000,
+        "1" * 5000,
+    ]
+    records = [*odd, json.dumps({"turns": turns}), json.dumps({"conversations": [{"from": "human", "value": "x"}]})]
+    got = {r.record_id: r for r in chat.format_records(spark.createDataFrame([*enumerate(records)], "record_id long, record string")).collect()}
+    assert all(got[i].formatted is None and got[i].mask is None for i in range(len(odd)))
+    # Turn numbers of several kinds are put in order; the table's own roles stay as they are.
+    assert chat.parse(got[len(odd)].formatted) == [("user", "1"), ("human", "2"), ("user", "3"), ("user", "4")]
+    assert chat.parse(got[len(odd) + 1].formatted) == [("user", "x")]
