@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.llm.common import first_of_group, materialize, shared_folder, ship, slots
+from shelfmark.session import drop_folder
 
 ship(__name__)
 
@@ -176,17 +177,25 @@ def write(
 
 
 def commit(report: DataFrame, path: str) -> DataFrame:
-    """Rename the reported files into place, then write the manifest; both can be repeated."""
+    """Rename the reported files into place, then write the manifest; both can be repeated.
+
+    A file that is neither where it was written nor, with the reported size, in its place fails the commit before there is a manifest.
+    Files of failed and repeated attempts go with the temporary folder in the end.
+    """
 
     def move(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         disk, folder = store(path)
         for batch in batches:
-            for temporary, name in zip(batch.column("temporary").to_pylist(), batch.column("name").to_pylist(), strict=True):
+            for temporary, name, size in zip(*(batch.column(c).to_pylist() for c in ("temporary", "name", "bytes")), strict=True):
                 if disk.get_file_info(f"{folder}/{temporary}").type != fs.FileType.NotFound:
                     disk.move(f"{folder}/{temporary}", f"{folder}/{name}")
+                found = disk.get_file_info(f"{folder}/{name}")
+                if found.type != fs.FileType.File or found.size != size:
+                    raise OSError(f"{name}: the reported file of {size} bytes is lost")
             yield batch
 
     report.mapInArrow(move, MANIFEST).write.mode("overwrite").parquet(f"{path}/manifest")
+    drop_folder(report.sparkSession, f"{path}/_temporary")
     return report.sparkSession.read.parquet(f"{path}/manifest")
 
 

@@ -4,6 +4,8 @@ import base64
 import hashlib
 import random
 
+import pytest
+
 from shelfmark.llm import warc
 
 
@@ -28,7 +30,7 @@ def test_round_trip(spark, tmp_path):
     for r in manifest:
         raw = (tmp_path / "a" / r.name).read_bytes()
         assert hashlib.sha256(raw).hexdigest() == r.sha256 and len(raw) == r.bytes
-    assert not list((tmp_path / "a" / "_temporary").iterdir())
+    assert not (tmp_path / "a" / "_temporary").exists()
     got = warc.read(spark, path).collect()
     payload = [(p, (h or "").encode()) for p, _, h in rows]
     first = {}
@@ -61,3 +63,16 @@ def test_empty_table_and_repeated_commit(spark, tmp_path):
     report = warc.write(spark.createDataFrame([(1, "u", "x")], "page_id long, url string, html string"), path)
     report = spark.createDataFrame(report.collect(), report.schema)
     assert warc.commit(report, path).count() == 1 and warc.read(spark, path).count() == 1
+
+
+def test_a_lost_file_fails_the_commit(spark, tmp_path):
+    (tmp_path / "shard-1.warc.gz").write_bytes(b"whole")
+    (tmp_path / "shard-2.warc.gz").write_bytes(b"cut")
+    rows = {"whole": ("shard-1.warc.gz", 5), "cut": ("shard-2.warc.gz", 5), "lost": ("shard-3.warc.gz", 5)}
+    for case, (name, size) in rows.items():
+        report = spark.createDataFrame([(0, 0, f"_temporary/x-{name}", name, 1, size, "")], warc.MANIFEST)
+        if case == "whole":
+            assert warc.commit(report, tmp_path.as_uri()).count() == 1
+        else:
+            with pytest.raises(Exception, match="is lost"):
+                warc.commit(report, tmp_path.as_uri())
