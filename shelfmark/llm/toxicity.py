@@ -224,7 +224,8 @@ def fit(texts: list[str], labels: list[int], max_features: int = 2000) -> Field:
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, per_class: int) -> DataFrame:
     """At most ``per_class`` documents of label 1 and twice as many of label 0, those with the smallest hash of their id.
 
-    Ids whose crc32, as text, is divisible by 5 are held out. A document with several labels takes the highest.
+    Ids whose crc32, as text, is divisible by 5 are held out. A document with several labels takes the highest. Of rows that share an
+    id the one with the smallest hash of its text counts, so the bound holds for rows as well.
     """
     ids = docs.select(F.col("doc_id").cast("long")).distinct()
     marked = labels.select(F.col("doc_id").cast("long"), F.col(label).cast("int").alias("y")).where("doc_id IS NOT NULL")
@@ -233,12 +234,14 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, per_class: int
     chosen = [marked.where(F.col("y") == y).orderBy("_h", "doc_id").limit(per_class * (2 - y)) for y in (0, 1)]
     # At most 3 * per_class integers are broadcast.
     some = F.broadcast(chosen[0].union(chosen[1]).select("doc_id", "y"))
-    return docs.select(F.col("doc_id").cast("long"), F.col("text")).join(some, "doc_id").select("text", "y")
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text")).where("text IS NOT NULL").join(some, "doc_id")
+    # One row per id is left by each task, before the shuffle.
+    return rows.groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"), F.first("y").alias("y")).select("text", "y")
 
 
 def fit_labelled(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = 800) -> Field:
     """Fit on the bounded sample of ``training_rows``; only it reaches the driver."""
-    rows = training_rows(docs, labels, label, per_class).where("text IS NOT NULL").collect()
+    rows = sorted(training_rows(docs, labels, label, per_class).collect())
     return fit([r[0] for r in rows], [r[1] for r in rows])
 
 

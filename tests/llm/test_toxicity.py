@@ -6,6 +6,8 @@ import zlib
 
 import numpy as np
 
+from pyspark.sql import functions as F
+
 from shelfmark.llm import toxicity
 
 
@@ -70,3 +72,14 @@ def test_without_labels(spark):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert toxicity.score(df, toxicity.fit_labelled(df, none)).first().score < 0.5
     assert toxicity.score(df.limit(0), toxicity.Field()).collect() == []
+
+
+def test_the_sample_is_bounded_by_rows(spark):
+    """An id on many rows gives one of them, the same in every order of the rows."""
+    docs = spark.createDataFrame([(1, f"text {i}") for i in range(500)] + [(i, "other") for i in range(2, 60)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
+    rows = toxicity.training_rows(docs, labels, "toxic", 10).collect()
+    assert len(rows) <= 30
+    again = toxicity.training_rows(docs.orderBy(F.rand(3)), labels, "toxic", 10).collect()
+    assert sorted(rows) == sorted(again)
+    assert toxicity.training_rows(docs.where("doc_id = 1"), labels, "toxic", 10).count() == 1
