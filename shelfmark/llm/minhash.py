@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import first_of_group, materialize, salt_of, ship
+from shelfmark.llm.common import first_of_group, materialize, salt_of, ship, slots
 from shelfmark.llm.components import connected_components
 
 ship(__name__)
@@ -243,3 +243,37 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
     out = signed.select("doc_id", "n_shingles").join(components.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     component = F.coalesce("component", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
+
+
+def drop_near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, less all but one of each group of near-duplicates: that of the smallest doc_id.
+
+    A doc_id that stands on several rows with different texts, or is null, names no document: such rows are told apart by their text and
+    numbered behind all others, so none goes for what another one is. Of rows equal in doc_id and text one stays. Rows without words
+    link with nothing; of those too, equal ones stay once only where they share a doc_id that repeats, or lack one.
+    """
+    columns = docs.columns
+    ids = docs.select(F.col("doc_id").cast("long").alias("_id"))
+    odd = materialize(ids.groupBy("_id").agg(F.count("*").alias("_n")).where("_n > 1 OR _id IS NULL").select("_id"), "odd-ids")
+    if odd.isEmpty():
+        found = near_duplicates(docs, k=k, percent=percent)
+        gone = found.where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
+        return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti").select(*columns)
+
+    # Two hashes: rows are told apart by 128 bits of their text.
+    marks = [F.xxhash64("text").alias("_h"), F.xxhash64("text", F.lit(1)).alias("_g")]
+    marked = docs.select("*", F.col("doc_id").cast("long").alias("_own"), *marks)
+    texts = marked.select("_own", "_h", "_g").join(odd, F.col("_own").eqNullSafe(F.col("_id")), "left_semi").distinct()
+    parts = 2 * slots(docs.sparkSession)
+    placed = texts.repartitionByRange(parts, F.col("_own").asc_nulls_last(), "_h", "_g").sortWithinPartitions(F.col("_own").asc_nulls_last(), "_h", "_g")
+    numbered = materialize(placed.withColumn("_node", F.lit(1 << 62) + F.monotonically_increasing_id()), "nodes")
+    named = numbered.select(F.col("_own").alias("_o"), F.col("_h").alias("_a"), F.col("_g").alias("_b"), "_node")
+    same = F.col("_own").eqNullSafe(F.col("_o")) & (F.col("_h") == F.col("_a")) & (F.col("_g") == F.col("_b"))
+    nodes = materialize(marked.join(named, same, "left").drop("_o", "_a", "_b"), "documents")
+    nodes = nodes.withColumn("_key", F.coalesce("_node", "_own"))
+    found = near_duplicates(nodes.select(F.col("_key").alias("doc_id"), "text"), k=k, percent=percent)
+    gone = found.where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
+    left = nodes.join(gone, F.col("_key") == F.col("_gone"), "left_anti")
+    # Only rows of odd ids can repeat; the others are not shuffled for it.
+    once = left.where("_node IS NOT NULL").dropDuplicates(["_node"])
+    return left.where("_node IS NULL").select(*columns).unionAll(once.select(*columns))

@@ -5,6 +5,7 @@ import random
 import re
 
 from shelfmark.llm.components import connected_components
+from shelfmark.llm import minhash
 from shelfmark.llm.minhash import near_duplicates
 
 
@@ -89,3 +90,24 @@ def test_components(spark):
             up[y] = x
     got = {tuple(r) for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {(x, root(x)) for x in up if root(x) != x}
+
+
+def test_dropping_rows_of_repeated_and_null_ids(spark):
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("aeioulnrst") for _ in range(7))
+    base, other, third = ([word() for _ in range(60)] for _ in range(3))
+    near = [*base[:30], "changed", *base[31:]]
+    join = " ".join
+    rows = [
+        (1, join(base)), (5, join(near)), (5, join(other)),  # one row of id 5 is a near copy, the other is not
+        (7, join(third)), (7, join(third)), (None, join(third)), (None, "alone"), (None, "alone"), (8, ""), (8, ""), (9, None),
+    ]
+    docs = spark.createDataFrame([(d, t, i) for i, (d, t) in enumerate(rows)], "doc_id long, text string, kept int")
+    got = minhash.drop_near_duplicates(docs.repartition(3))
+    assert got.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=repr) == sorted(
+        [(1, join(base)), (5, join(other)), (7, join(third)), (None, "alone"), (8, ""), (9, None)], key=repr
+    )
+    plain = docs.where("doc_id IN (1, 9)").union(spark.createDataFrame([(5, join(near), 0)], docs.schema))
+    assert sorted(r.doc_id for r in minhash.drop_near_duplicates(plain).collect()) == [1, 9]
+    assert minhash.drop_near_duplicates(docs.limit(0)).collect() == []
