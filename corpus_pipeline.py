@@ -1,7 +1,8 @@
 """From raw documents to packed training sequences: five stages, each a written table for the next.
 
 Every stage takes (spark, docs, sf_dir) and works on all rows it is given; all but the last return the columns of ``documents``, with
-``n_chars`` counting the text as it is then.
+``n_chars`` counting the text as it is then. Columns beside those of ``documents`` go through to the last stage but one, which drops them;
+names that begin with an underscore are kept for the stages. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -31,10 +32,11 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest doc_id, of each group linked by a Jaccard similarity of 0.8 over five words."""
-    found = minhash.near_duplicates(docs, k=5, percent=80)
-    gone = found.where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti").select(*docs.columns)
+    """One document, that of the smallest doc_id, of each group linked by a Jaccard similarity of 0.8 over five words.
+
+    Rows whose doc_id repeats or is null are documents of their own text; of equal ones a single row stays.
+    """
+    return minhash.drop_near_duplicates(docs, k=5, percent=80)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,8 +45,11 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every piece of every document and its place in a sequence of at most 2048 tokens."""
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), 2048, keep_ids=False)
+    """Every piece of every document, its token ids and its place in a sequence of at most 2048 tokens.
+
+    Repeated rows and null doc_ids, which no stage but the one before takes out, are packed each for itself.
+    """
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), 2048, keep_ids=True)
 
 
 STAGES = [
