@@ -8,9 +8,13 @@ shingle need not keep it. ``likeness`` therefore compares the texts themselves,
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfmark.llm.common import materialize
+
 WORDS = 5
 FRACTION = 1 / 8
 
@@ -68,22 +72,51 @@ def as_text(sketch: str) -> Column:
     return F.array_join(F.transform(sketch, lambda h: F.lower(F.hex(h))), ",")
 
 
+def rank_among(value: Column, bounds: list[int], equal: bool = False) -> Column:
+    """How many of the ascending ``bounds`` are below ``value`` (or ``equal`` to it), by binary search in one constant array."""
+    array = F.from_json(F.lit(json.dumps(bounds)), "array<bigint>")
+
+    def halve(s: Column, _: Column) -> Column:
+        middle = F.floor((s["lo"] + s["hi"]) / 2).cast("int")
+        above = (F.get(array, middle) <= value) if equal else (F.get(array, middle) < value)
+        done = s["lo"] >= s["hi"]
+        return F.struct(F.when(~done & above, middle + 1).otherwise(s["lo"]).alias("lo"), F.when(~done & ~above, middle).otherwise(s["hi"]).alias("hi"))
+
+    whole = F.struct(F.lit(0).alias("lo"), F.lit(len(bounds)).alias("hi"))
+    return F.aggregate(F.sequence(F.lit(0), F.lit(len(bounds).bit_length())), whole, halve)["lo"]
+
+
+def range_of(rows: DataFrame, buckets: int) -> Column:
+    """Number of the range a row (doc_id, _hash) falls into, ascending in both; null ids are before all.
+
+    Ranges are cut at quantiles of the ids themselves, wherever these lie; an id that fills several is divided by the hash.
+    """
+    if buckets < 2:
+        return F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(F.lit(0))
+    at = [i / buckets for i in range(1, buckets)]
+    bounds = rows.agg(F.percentile_approx("doc_id", at, 10 * buckets)).first()[0] or []
+    below = rank_among(F.col("doc_id"), bounds)
+    filled = rank_among(F.col("doc_id"), bounds, equal=True) - below
+    # The hash as a share of its range, in steps that floating point keeps apart.
+    share = F.floor((F.shiftright("_hash", 32) + (1 << 31)) * filled / (1 << 32)).cast("int")
+    return F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(below + F.when(filled > 1, share).otherwise(F.lit(0)))
+
+
 def with_next(docs: DataFrame, bucket_rows: int = 2000) -> DataFrame:
     """doc_id, text (null: empty), sketch, and next_text, next_sketch of the next row in descending order of doc_id.
 
-    After the last row comes the first. Rows of one doc_id follow each other by descending text hash; null ids come last. Ids are cut
-    into ranges of about ``bucket_rows`` rows (65,536 ranges at most) that are windows of their own; the first row of each stands as a guest
-    at the end of the range before it, so texts are shuffled once and no window spans the table.
+    After the last row comes the first. Rows of one doc_id follow each other by descending text hash; null ids come last. Rows are cut
+    into ranges of about ``bucket_rows`` rows (65,536 ranges at most; see :func:`range_of`) that are windows of their own; the first row of each
+    stands as a guest at the end of the range before it, so texts are shuffled once and no window spans the table. Only rows equal in id and
+    text, and those without id, cannot be divided.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    low, high, n = rows.agg(F.min("doc_id"), F.max("doc_id"), F.count("*")).first()
-    buckets = min(65_536, max(1, n // bucket_rows))
-    width = max(1, -(-((high or 0) - (low or 0) + 1) // buckets))
-    bucket = F.coalesce(F.expr(f"CAST((doc_id - {low or 0}L) div {width}L AS INT)"), F.lit(-1))
-    rows = rows.withColumn("_hash", F.xxhash64("text")).withColumn("_bucket", bucket)
-
-    heads = rows.groupBy("_bucket").agg(F.max(F.struct("doc_id", "_hash", "text")).alias("_head"))
-    ids = rows.select("_bucket").distinct()
+    buckets = min(65_536, max(1, rows.count() // bucket_rows))
+    rows = rows.withColumn("_hash", F.xxhash64("text"))
+    rows = rows.withColumn("_bucket", range_of(rows, buckets))
+
+    heads = materialize(rows.groupBy("_bucket").agg(F.max(F.struct("doc_id", "_hash", "text")).alias("_head")), "heads")
+    ids = heads.select("_bucket")
     # Bucket numbers only, 65,537 at most.
     falling = Window.orderBy(F.desc("_bucket"))
     lowest = F.min("_bucket").over(falling.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))

@@ -1,6 +1,7 @@
 """Sketches against plain sets."""
 
 import hashlib
+from collections import Counter
 
 from pyspark.sql import functions as F
 
@@ -24,6 +25,22 @@ def test_next_and_edited(spark):
             assert r.edited == t[: n - n // 2] + texts[after[d]][: n // 2]
 
 
+def test_ranges_divide_outlying_and_repeated_ids(spark):
+    """Far ids, ids of the hash kind and one id on half of all rows: no range holds many times its share, and order is kept."""
+    ids = [*range(500), -(1 << 63), (1 << 63) - 1, 1 << 62, *[77] * 500, None]
+    rows = spark.createDataFrame([(d, f"text {i}") for i, d in enumerate(ids)], "doc_id long, text string").withColumn("_hash", F.xxhash64("text"))
+    got = rows.withColumn("b", fp.range_of(rows, 40)).collect()
+    sizes = Counter(r.b for r in got)
+    assert max(sizes.values()) <= 4 * len(ids) / 40 and len(sizes) >= 30
+    known = sorted((r.doc_id, r._hash, r.b) for r in got if r.doc_id is not None)
+    assert [r[2] for r in known] == sorted(r[2] for r in known)
+    assert [r.b for r in got if r.doc_id is None] == [-1]
+    df = rows.select("doc_id", "text")
+    order = sorted(((r.doc_id, r._hash, r.text) for r in got if r.doc_id is not None), reverse=True) + [(None, 0, got[-1].text)]
+    after = {t: order[(i + 1) % len(order)][2] for i, (_, _, t) in enumerate(order)}
+    assert {r.text: r.next_text for r in fp.with_next(df, 25).collect()} == after
+
+
 def test_sketch(spark):
     words = [f"w{i}" for i in range(4000)]
     whole, part = " ".join(words), " ".join(words[:400])
