@@ -23,11 +23,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import materialize, ship, slots
+from shelfmark.llm.common import in_batches, materialize, ship, slots
 from shelfmark.llm.tokens import WordTokens
 
 ship(__name__)
 
+#: Bytes of ids that a task gathers before it hands them on.
+HELD_BYTES = 4 << 20
+
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -105,25 +108,31 @@ def plan(histogram: dict[int, int], capacity: int) -> dict[str, np.ndarray]:
 def tokenize(docs: DataFrame, tokenizer: str, capacity: int, keep_ids: bool = False) -> DataFrame:
     """Pieces of every document: its ids and a closing 0, cut at ``capacity`` only. Null text counts as empty.
 
-    ``ids_crc32`` is over the little-endian 32-bit ids; ``keep_ids`` adds them as ``ids``.
+    ``ids_crc32`` is over the little-endian 32-bit ids; ``keep_ids`` adds them as ``ids``, handed on a few megabytes at a time.
     """
     fields = [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())]
     schema = pa.schema(fields + [("ids", pa.list_(pa.int32()))] * keep_ids)
     width = 4 * capacity
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordTokens(tokenizer)
+        words = WordTokens(tokenizer, 200_000) if keep_ids else WordTokens(tokenizer)
         for batch in batches:
             out: list[list] = [[] for _ in schema]
-            for doc, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            held = 0
+            for i, doc in enumerate(batch.column(0).to_pylist()):
+                text = batch.column(1)[i].as_py()
                 ids = words.encode(text) + b"\0\0\0\0"
-                for i, at in enumerate(range(0, len(ids), width)):
+                for nth, at in enumerate(range(0, len(ids), width)):
                     own = ids[at : at + width]
-                    for c, v in zip(out, (doc, i, at // 4, len(own) // 4, zlib.crc32(own)), strict=False):
+                    for c, v in zip(out, (doc, nth, at // 4, len(own) // 4, zlib.crc32(own)), strict=False):
                         c.append(v)
                     if keep_ids:
                         out[5].append(np.frombuffer(own, "<i4"))
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, schema, strict=True)], schema=schema)
+                        held += len(own)
+                if held > HELD_BYTES:
+                    yield in_batches(out, schema)
+                    out, held = [[] for _ in schema], 0
+            yield in_batches(out, schema)
 
     ddl = PIECES + ", ids array<int>" * keep_ids
     return docs.select(F.col("doc_id").cast("long"), F.col("text")).mapInArrow(run, ddl)
