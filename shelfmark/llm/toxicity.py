@@ -300,8 +300,10 @@ def drop_toxic(docs: DataFrame, model: Field, threshold: float = 0.5) -> DataFra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, float] = {}
-        for batch in batches:
-            s, _ = judge([t or "" for t in batch.column(at).to_pylist()], model, known)
-            yield batch.filter(pa.array(s < threshold))
+        for whole in batches:
+            # A few hundred texts at a time: their words and chains are all that is held.
+            for batch in (whole.slice(i, 500) for i in range(0, whole.num_rows, 500)):
+                s, _ = judge([t or "" for t in batch.column(at).to_pylist()], model, known)
+                yield batch.filter(pa.array(s < threshold))
 
     return docs.mapInArrow(run, docs.schema)
