@@ -53,7 +53,7 @@ def op7_winnowed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_weak_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document: strict counts, their digest, and all spans."""
-    found = pii.find(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = pii.find(read_table(spark, sf_dir, "documents").select("doc_id", "text"), keep_text=False)
     counts = [F.size(f"base_{k}").cast("long").alias(f"n_{k}") for k in pii.KINDS]
     return found.select("doc_id", *counts, F.sha2(pii.listed("base"), 256).alias("base_sha256"), pii.listed("found").alias("spans"))
 

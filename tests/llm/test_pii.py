@@ -68,6 +68,44 @@ def test_loose_forms_and_mask(spark):
     assert texts[91] == rows[-2][1] and texts[92] == ""
 
 
+def card(stem):
+    return next(stem + str(d) for d in range(10) if luhn(stem + str(d)))
+
+
+def test_cards_inside_a_longer_run(spark):
+    a, b, wrong = card("453201511283036"), card("554843335567891"), "4532015112830361"
+    wrong = wrong if not luhn(wrong) else wrong[:-1] + "2"
+    rows = [(i, f"the number {card(f'4{i:014d}')} is old") for i in range(40)] + [(100, f"both {a} {b} here"), (101, f"none {wrong} {wrong} here")]
+    found = {r.doc_id: (r.b, r.f) for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).select(
+        "doc_id", pii.listed("base").alias("b"), pii.listed("found").alias("f")).collect()}
+    assert found[100] == ("", "card:5:21,card:22:38") and found[101] == ("", "")
+    assert found[7][0] == found[7][1] == "card:11:27"
+
+
+def test_each_match_votes_once(spark):
+    rows = [(1, "+1 (555) 010-4477 and +1 (555) 010-4478 190.137.223.204"), (2, "7536784127813050 4845168114407329")]
+    every = [x for r in pii.candidates(spark.createDataFrame(rows, "doc_id long, text string")).collect() for k in pii.KINDS for x in [*r[f"base_{k}"], *r[f"rest_{k}"]]]
+    spans = sorted((x.kind, x.s, x.e, x.loose) for x in every)
+    # The telephone inside the strict one is gone; the second strict one fails (it runs into the address) but its loose twin votes for it.
+    assert spans == [(1, 40, 55, False), (2, 0, 16, True), (2, 17, 33, True), (3, 0, 17, False), (3, 25, 39, True)]
+
+
+def test_context_is_learned(spark):
+    # "ligne" stands before telephones only, "le" before everything; failing card numbers begin their lines, passing ones do not.
+    rows = [(i, f"la ligne +33 1 23 45 67 {i:02d} et le u{i}@mail.example.com le 10.0.0.{i}\nle {card(f'4{i:014d}')}\n1234567812345678\n") for i in range(40)]
+    c = pii.candidates(spark.createDataFrame(rows, "doc_id long, text string"))
+    words, places, _ = pii.learn(c)
+    assert words[pii.KINDS.index("phone")] == ["ligne"] and "le" not in sum(words, [])
+    assert places[2, 0] == pii.NO and places[2, 1] == pii.YES and (3, 1) not in places
+
+
+def test_long_loose_address_and_clashing_columns(spark):
+    long = "x" * 150 + " [at] mail [dot] example [dot] com"
+    rows = [(i, f"write to user{i}@mail.example.com", 1, "r") for i in range(30)] + [(50, f"write to {long}", 1, "r")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, s int, rest_email string")
+    assert {r.doc_id: r.f for r in pii.find(df).select("doc_id", pii.listed("found").alias("f")).collect()}[50] == f"email:9:{9 + len(long)}"
+
+
 def test_reliabilities():
     # Two labelers that agree and one that speaks at random: the random one is found out.
     counts = {c * 4: n for c, n in {(1 * 9 + 1 * 3 + 1): 100, (1 * 9 + 1 * 3): 100, 0: 300, 1: 300}.items()}
@@ -80,4 +118,5 @@ def test_reliabilities():
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert pii.mask(pii.find(df)).collect() == []
+    assert pii.find(df, keep_text=False).collect() == []
     assert hashlib.sha256(b"").hexdigest() == spark.range(1).selectExpr("sha2('', 256)").first()[0]
