@@ -160,18 +160,18 @@ def place_pieces(pieces: DataFrame, capacity: int) -> DataFrame:
 
     key = placed["length"] << 44 | placed["lo"]
 
-    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            length, rank = (batch.column(c).to_numpy() for c in ("length", "_rank"))
-            at = np.searchsorted(key, length << 44 | rank, "right") - 1
-            nth = rank - placed["lo"][at]
-            sequence = placed["sequence"][at] + nth // placed["copies"][at]
-            offset = placed["offset"][at] + nth % placed["copies"][at] * length
-            own = batch.select(columns)
-            yield pa.RecordBatch.from_arrays([*own.columns, pa.array(sequence), pa.array(offset)], [*columns, "sequence_id", "offset"])
-
-    kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema.fields if f.name in columns]
-    return ranked.mapInArrow(look_up, ", ".join([*kinds, "sequence_id long", "offset long"]))
+    def look_up(length: pa.Array, rank: pa.Array) -> pa.Array:
+        length, rank = length.to_numpy(), rank.to_numpy()
+        at = np.searchsorted(key, length << 44 | rank, "right") - 1
+        nth = rank - placed["lo"][at]
+        sequence = placed["sequence"][at] + nth // placed["copies"][at]
+        offset = placed["offset"][at] + nth % placed["copies"][at] * length
+        return pa.StructArray.from_arrays([pa.array(sequence), pa.array(offset)], ["sequence_id", "offset"])
+
+    # Only two numbers of a piece go to Python; its ids stay where they are.
+    place = F.arrow_udf(look_up, "sequence_id long, offset long")
+    found = ranked.withColumn("_place", place("length", "_rank"))
+    return found.select(*columns, "_place.sequence_id", "_place.offset")
 
 
 def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, keep_ids: bool = True) -> DataFrame:
