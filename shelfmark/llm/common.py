@@ -16,7 +16,7 @@ __all__ = ["first_of_group", "in_batches", "materialize", "read_table", "salt_of
 
 register_pickle_by_value(sys.modules[__name__])
 
-#: Salts a key is spread over. A key with a third of all rows is then at most 1/96 of them in one task.
+#: Salts a key is spread over at least; more where the session shuffles into more partitions.
 SALTS = 32
 
 
@@ -38,12 +38,14 @@ def salt_of(*cols: str | Column, salts: int = SALTS) -> Column:
     return F.pmod(F.xxhash64(*cols), F.lit(salts)).cast("int")
 
 
-def first_of_group(df: DataFrame, key: str, order: str, salts: int = SALTS) -> DataFrame:
+def first_of_group(df: DataFrame, key: str, order: str, salts: int | None = None) -> DataFrame:
     """Add ``first`` (the smallest ``order`` among the rows of ``key``) and ``size`` (their number) to every row.
 
     The group is reduced per (key, salt) first and the answer joined back on (key, salt): no task ever holds a whole
-    group, whatever its size. A null key is a group of its own. ``df`` is read twice: pass a written table or a cheap scan.
+    group, whatever its size: one in ``salts`` of its rows, by default as many as there are shuffle partitions. Rows of one ``order``
+    share a salt. A null key is a group of its own. ``df`` is read twice: pass a written table or a cheap scan.
     """
+    salts = salts or max(SALTS, slots(df.sparkSession))
     rows = df.withColumn("_salt", salt_of(order, salts=salts))
     parts = rows.groupBy(key, "_salt").agg(F.min(order).alias("_first"), F.count("*").alias("_size"))
     whole = parts.groupBy(key).agg(
