@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import first_of_group, materialize, salt_of, ship, slots
+from shelfmark.llm.common import SALTS, first_of_group, materialize, salt_of, ship, slots
 from shelfmark.llm.components import connected_components
 
 ship(__name__)
@@ -77,24 +77,26 @@ class Circulant:
         return least
 
 
+def band_keys(signature: np.ndarray, bands: int) -> np.ndarray:
+    """One hash for each band of a signature, the band's number in it."""
+    parts = signature.reshape(bands, -1).astype(np.uint64)
+    acc = np.arange(bands, dtype=np.uint64)
+    for j in range(parts.shape[1]):
+        acc = mix(acc * np.uint64(0x9E3779B97F4A7C15) + parts[:, j])
+    return acc.view(np.int64)
+
+
 def signatures(docs: DataFrame, k: int, bands: int, rows: int) -> DataFrame:
     """doc_id, n_shingles, digest of the set, and a hash for each band (none for an empty set)."""
     schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("digest", pa.binary()), ("bands", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sign = Circulant(bands * rows)
-        which = np.arange(bands, dtype=np.uint64)
         for batch in batches:
             out: list[list] = [[], [], [], []]
             for doc, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 hashes = shingle_set(text, k)
-                keys = np.empty(0, np.int64)
-                if len(hashes):
-                    parts = sign(hashes).reshape(bands, rows).astype(np.uint64)
-                    acc = which.copy()
-                    for j in range(rows):
-                        acc = mix(acc * np.uint64(0x9E3779B97F4A7C15) + parts[:, j])
-                    keys = acc.view(np.int64)
+                keys = band_keys(sign(hashes), bands) if len(hashes) else np.empty(0, np.int64)
                 for c, v in zip(out, (doc, len(hashes), xxhash.xxh128_digest(hashes.tobytes()), keys), strict=True):
                     c.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, schema, strict=True)], schema=schema)
@@ -130,7 +132,7 @@ def verify(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame
     """
     wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
     sets = materialize(sets_of(docs, wanted, k), "sets")
-    salted = pairs.withColumn("salt", salt_of("b"))
+    salted = pairs.withColumn("salt", salt_of("b", salts=max(SALTS, slots(docs.sparkSession))))
     left = salted.select("a", "salt").distinct().join(sets, F.col("a") == sets["doc_id"])
     right = salted.join(sets, F.col("b") == sets["doc_id"])
     rows = left.select("a", "salt", F.lit(None).cast("long").alias("b"), "set").union(right.select("a", "salt", "b", "set"))
