@@ -115,7 +115,7 @@ def tokenize(docs: DataFrame, tokenizer: str, capacity: int, keep_ids: bool = Fa
     width = 4 * capacity
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordTokens(tokenizer, 200_000) if keep_ids else WordTokens(tokenizer)
+        words = WordTokens(tokenizer, 100_000) if keep_ids else WordTokens(tokenizer)
         for batch in batches:
             out: list[list] = [[] for _ in schema]
             held = 0
