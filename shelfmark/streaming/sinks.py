@@ -4,14 +4,16 @@ from __future__ import annotations
 
 import threading
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor, as_completed
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from shelfmark.schemas import LONG, TEXT, plus
-from shelfmark.session import drop_folder, materialize
+from shelfmark.session import drop_folder, materialize, shared_folder
 from shelfmark.sources.quality import error_rows
 
 QUERY, BATCH = "query_id", "batch_id"
@@ -132,6 +134,80 @@ def _message(error: Exception) -> str:
     return str(error).partition("\n")[0][:500]
 
 
+#: A failing batch is dealt out to parts of about so many rows, at most MOST_PARTS; ranges of up to SMALL hashes are halved by their list.
+PART_ROWS, MOST_PARTS, SMALL = 20_000, 1024, 4096
+
+
+def _isolate(rows: DataFrame, n_rows: int, store: Callable[[DataFrame, str], Exception | None], most_bad: int) -> dict[int, str]:
+    """Hash and message of every row of a failing batch that ``store`` fails on; all others are stored, piece by piece.
+
+    The batch is written once more, dealt out to folders, so that a piece reads its part and not the batch. Parts do not depend on
+    each other and are searched side by side, as many as there are cores: in a part that fails, the least hash that fails
+    is found by halving, which stores all below it, and then the rest is tried.
+    """
+    spark = rows.sparkSession
+    cores = max(2, min(32, spark.sparkContext.defaultParallelism))
+    parts = min(MOST_PARTS, max(cores, n_rows // PART_ROWS))
+    dealt = rows.withColumn("_part", F.pmod("_hash", F.lit(parts)).cast("int")).hint("rebalance", "_part")
+    path = shared_folder(spark, "parts")
+    dealt.write.partitionBy("_part").parquet(path)
+    dealt = spark.read.schema(dealt.schema).parquet(path)
+    bad: dict[int, str] = {}
+    stopped = threading.Event()
+
+    def search(part: int) -> None:
+        def within(low: int, high: int) -> DataFrame:
+            return dealt.filter((F.col("_part") == part) & F.col("_hash").between(low, high)).drop("_part")
+
+        def attempt(low: int, high: int) -> Exception | None:
+            return store(within(low, high), f"{part}_{low}_{high}")
+
+        low, high = -(1 << 63), (1 << 63) - 1
+        while low <= high and not stopped.is_set():
+            error = attempt(low, high)
+            if error is None:
+                return
+            # The least hash that fails lies from low to end, whose hashes are listed once they are few.
+            end, begun, hashes = high, low, None
+            while hashes is None or len(hashes) > 1:
+                if hashes is None and (low == end or n_rows / parts * (end - low + 1) / 2**64 <= SMALL / 2):
+                    found = sorted(r[0] for r in within(low, end).select("_hash").distinct().limit(SMALL + 1).collect())
+                    if len(found) <= SMALL:
+                        hashes = found
+                        continue
+                half = None if hashes is None else len(hashes) >> 1
+                cut = (low + end) >> 1 if half is None else hashes[half - 1]
+                failed = attempt(low, cut)
+                if failed:
+                    end, begun, error = cut, low, failed
+                    hashes = hashes and hashes[:half]
+                else:
+                    low = cut + 1
+                    hashes = hashes and hashes[half:]
+            # What failed last may have held more than is left, or have failed for another reason.
+            error = error if begun == low and hashes else attempt(low, end)
+            if error and not hashes:
+                raise error  # it fails without rows
+            if error:
+                bad[hashes[0]] = _message(error)
+                if len(bad) > most_bad:
+                    raise error
+            low = end + 1
+
+    with ThreadPoolExecutor(cores) as pool:
+        # The properties of this thread's jobs, the query's group among them, are copied for each search.
+        searches = [pool.submit(inheritable_thread_target(spark)(search), part) for part in range(parts)]
+        try:
+            for done in as_completed(searches):
+                done.result()
+        except Exception:
+            stopped.set()
+            pool.shutdown(wait=False, cancel_futures=True)
+            raise
+    drop_folder(spark, path)
+    return bad
+
+
 def to_isolated_table(
     stream: DataFrame,
     path: str,
@@ -144,43 +220,43 @@ def to_isolated_table(
 ) -> StreamingQuery:
     """Write ``fn`` of every micro-batch, without the rows it fails on: these go to an error table below ``errors_path``.
 
-    A batch that fails ``attempts`` times is halved by a hash of its rows, and so is each half that fails, until a failing piece
-    holds one row (or copies of one). That takes about two jobs for each halving and bad row; the other rows are stored once each.
-    ``fn`` must work row by row: on a piece it has to give what it gives on the whole.
+    A batch that fails ``attempts`` times is dealt out to parts by a hash of its rows, and a part that fails is halved until a failing piece
+    holds one row (or copies of one). That takes about one small job for each halving and bad row, as many at a time as there
+    are cores; the other rows are stored once each. ``fn`` must work row by row: on a piece it has to give what it gives on
+    the whole. It is called by one thread at a time.
 
     More than ``most_bad`` different bad rows in a batch are taken for a fault of something else, and the query fails with the last
     error instead of emptying the batch into the error table. A repeated batch begins anew with its folders.
     """
     spark = stream.sparkSession
     folder, bad_folder = batch_folder(spark, path, checkpoint), batch_folder(spark, errors_path, checkpoint)
+    calling = threading.Lock()
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark, out, bad_out = batch.sparkSession, folder(batch_id), bad_folder(batch_id)
         drop_folder(spark, out)
         rows = materialize(batch.withColumn("_hash", F.xxhash64(F.to_json(F.struct("*")))), "batch")
+
+        def store(piece: DataFrame, name: str) -> Exception | None:
+            try:
+                with calling:
+                    result = fn(piece.drop("_hash"))
+                result.write.mode("overwrite").parquet(f"{out}/piece={name}")
+                return None
+            except Exception as error:  # noqa: BLE001  (whatever a row can raise in a job)
+                drop_folder(spark, f"{out}/piece={name}")
+                return error
+
         bad: dict[int, str] = {}
-        pieces = [(-(1 << 63), (1 << 63) - 1, attempts)]
-        while pieces:
-            low, high, tries = pieces.pop()
-            piece = rows.filter(F.col("_hash").between(low, high))
-            for left in reversed(range(tries)):
-                try:
-                    fn(piece.drop("_hash")).write.mode("overwrite").parquet(f"{out}/piece={low}_{high}")
-                    break
-                except Exception as error:  # noqa: BLE001  (whatever a row can raise in a job)
-                    if left:
-                        continue
-                    drop_folder(spark, f"{out}/piece={low}_{high}")
-                    span = piece.agg(F.min("_hash"), F.max("_hash")).first()
-                    if span[0] is None:
-                        raise  # it fails without rows
-                    if span[0] == span[1]:
-                        bad[span[0]] = _message(error)
-                        if len(bad) > most_bad:
-                            raise
-                    else:
-                        middle = (span[0] + span[1]) >> 1
-                        pieces += [(span[0], middle, 1), (middle + 1, span[1], 1)]
+        for _ in range(attempts):
+            error = store(rows, "all")
+            if error is None:
+                break
+        else:
+            n_rows = rows.count()
+            if not n_rows:
+                raise error  # it fails without rows
+            bad = _isolate(rows, n_rows, store, most_bad)
         known = spark.createDataFrame([*bad.items()], "_hash long, error_message string")
         letters = rows.join(F.broadcast(known), "_hash").withColumn("error_type", F.lit("poison"))
         record = F.to_json(F.struct(*batch.columns))

@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 import os
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -126,6 +127,26 @@ def test_a_fault_of_everything_is_no_poison(spark, arriving, tmp_path):
     assert not os.path.exists(tmp_path / "bad")
 
 
+def test_poison_rows_are_searched_side_by_side_in_parts(spark, arriving, tmp_path):
+    rows = arriving("n long", [(i,) for i in range(1000)])
+    path, errors, checkpoint = (str(tmp_path / n) for n in ("out", "bad", "cp"))
+    threads, plans = set(), []
+
+    def same(batch):
+        threads.add(threading.get_ident())
+        plans.append(batch._jdf.queryExecution().executedPlan().toString())
+        return batch.select(F.when(F.col("n") % 100 == 7, F.raise_error(F.lit("bad"))).otherwise(F.col("n")).cast("long").alias("n"))
+
+    sinks.to_isolated_table(rows, path, errors, checkpoint, same).awaitTermination()
+    good = sorted(r.n for r in sinks.read_isolated(spark, path, struct(n=LONG)).collect())
+    bad = sorted(json.loads(r.input_data)["n"] for r in sinks.read_batch_table(spark, errors, PARSING_ERRORS).collect())
+    assert (good, bad) == ([i for i in range(1000) if i % 100 != 7], [i for i in range(1000) if i % 100 == 7])
+    # Two trials of the batch, one of each part, then about one for each halving of a part and bad row and one for the rest.
+    assert len(threads) > 1 and len(plans) < 2 + 32 + 10 * 11
+    # A piece reads the folder of its part, whatever the batch holds.
+    assert all("_part" in p.split("PartitionFilters")[1].split("PushedFilters")[0] for p in plans[2:])
+
+
 def test_last_minute_of_each_batch(spark, arriving, tmp_path):
     rows = arriving("timestamp timestamp, event_type string, source string", [(at(0), "a", "s"), (at(90), "a", "s"), (at(100), "b", "s")], [(None, "c", "s")])
     summaries.summary_per_batch(rows, str(tmp_path / "out"), str(tmp_path / "cp"), as_of="newest").awaitTermination()
