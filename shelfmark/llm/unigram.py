@@ -17,6 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,7 +28,7 @@ ship(__name__)
 MARKER = "▁"
 UNKNOWN_PENALTY = 10.0
 #: Bounds of work at once: characters of text, cells of a group of stretches, bytes of a stretch that still joins a group.
-CHUNK_CHARS, GROUP_CELLS, LONG = 4 << 20, 1 << 20, 96
+CHUNK_CHARS, GROUP_CELLS, LONG = 1 << 19, 1 << 20, 96
 
 
 @dataclass
@@ -113,7 +114,7 @@ class Model:
 class Segmenter(dict):
     """Ids of texts as bytes of 32-bit numbers. Stretches are kept up to ``limit``, then forgotten, which changes no result."""
 
-    def __init__(self, model: Model, limit: int = 300_000):
+    def __init__(self, model: Model, limit: int = 150_000):
         super().__init__()
         self.limit = limit
         self.model = model
@@ -285,16 +286,28 @@ class Segmenter(dict):
         return self.encode_all([text])[0]
 
 
+def slices(batch: pa.RecordBatch, sizes: pa.Array, most: int) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in order, a row or up to ``most`` of ``sizes`` at a time; an empty batch has no slices."""
+    ends, begin = np.cumsum(sizes.to_numpy(zero_copy_only=False), dtype=np.int64), 0
+    while begin < len(ends):
+        before = ends[begin - 1] if begin else 0
+        end = max(begin + 1, int(np.searchsorted(ends, before + most, "right")))
+        yield batch.slice(begin, end - begin)
+        begin = end
+
+
 def encode(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id and ids of every row; null and empty texts have no ids. Other columns are ignored; an empty table gives no rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         segmenter = Segmenter(model)
         for batch in batches:
-            raw = segmenter.encode_all(batch.column(1).to_pylist())
-            offsets = np.concatenate([[0], np.cumsum([len(r) // 4 for r in raw])]).astype(np.int32)
-            ids = pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(raw), "<i4")))
-            yield pa.RecordBatch.from_arrays([batch.column(0), ids], ["doc_id", "ids"])
+            for rows in slices(batch, pc.coalesce(pc.binary_length(batch.column(1)), 0), CHUNK_CHARS):
+                raw = segmenter.encode_all(rows.column(1).to_pylist())
+                offsets = np.concatenate([[0], np.cumsum([len(r) // 4 for r in raw])]).astype(np.int32)
+                ids = pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(raw), "<i4")))
+                del raw
+                yield pa.RecordBatch.from_arrays([rows.column(0), ids], ["doc_id", "ids"])
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text")).mapInArrow(run, "doc_id long, ids array<int>")
 
@@ -309,16 +322,17 @@ def decode(rows: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = model.texts
         for batch in batches:
-            column = batch.column(at)
-            flat = column.flatten().to_numpy(zero_copy_only=False)
-            texts, i = [], 0
-            for n in column.value_lengths().to_pylist():
-                if n is None:
-                    texts.append(None)
-                    continue
-                texts.append(b"".join([table[x] for x in flat[i : i + n].tolist()]).decode("utf-8", "replace").removeprefix(" "))
-                i += n
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*own, "text"])
+            for rows in slices(batch, pc.coalesce(pc.list_value_length(batch.column(at)), 0), CHUNK_CHARS // 4):
+                column = rows.column(at)
+                flat = column.flatten().to_numpy(zero_copy_only=False)
+                texts, i = [], 0
+                for n in column.value_lengths().to_pylist():
+                    if n is None:
+                        texts.append(None)
+                        continue
+                    texts.append(b"".join([table[x] for x in flat[i : i + n].tolist()]).decode("utf-8", "replace").removeprefix(" "))
+                    i += n
+                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(texts, pa.string())], [*own, "text"])
 
     kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name in own]
     return rows.select(*own).mapInArrow(run, ", ".join([*kinds, "text string"]))

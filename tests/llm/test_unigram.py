@@ -3,7 +3,9 @@
 import random
 
 import public_tokenizers
+import pyarrow as pa
 import sentencepiece
+from pyspark.sql import types as T
 
 from shelfmark.llm import unigram
 
@@ -91,3 +93,32 @@ def test_stretches_at_once_equal_one_by_one(monkeypatch):
     assert seg.segment_all(words) == [b"".join(i.to_bytes(4, "little") for i in seg.segment(w.encode())) for w in words]
     texts = [" ".join(rng.choice(words) for _ in range(rng.randint(0, 9))) for _ in range(60)] + [None, "", "▁", "a▁ ▁b"]
     assert seg.encode_all(texts) == [unigram.Segmenter(model).encode(t) for t in texts]
+
+
+def test_texts_of_a_batch_are_worked_on_in_small_slices(spark):
+    """Ids come in batches of bounded text, however many rows the input batch holds; nulls and empty texts keep their places."""
+
+    class Rows:
+        columns, schema = ["doc_id", "ids"], T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("ids", T.ArrayType(T.IntegerType()))])
+
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, run, ddl):
+            return run
+
+    model = unigram.Model.load(PATH)
+    texts = [f"tion {i} " * 20_000 if i % 3 else [None, "", "x"][i // 3 % 3] for i in range(30)]
+    whole = pa.RecordBatch.from_pydict({"doc_id": list(range(30)), "text": pa.array(texts, pa.string())})
+    got = list(unigram.encode(Rows(), model)(iter([whole, whole.slice(0, 0), whole.slice(3, 2)])))
+    most = max(len(t or "") for t in texts)
+    assert max(sum(len(texts[i] or "") for i in b.column(0).to_pylist()) for b in got) <= max(most, unigram.CHUNK_CHARS)
+    rows = [(i, n) for b in got for i, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)]
+    seg = unigram.Segmenter(model)
+    assert rows == [(i, ids(seg, texts[i])) for i in [*range(30), 3, 4]]
+    # Decoded again, batch by batch, nulls included.
+    field = pa.field("ids", pa.list_(pa.int32()))
+    back = pa.RecordBatch.from_arrays([pa.array([n for _, n in rows[:30]] + [None], field.type)], schema=pa.schema([field]))
+    Rows.columns, Rows.schema = ["ids"], Rows.schema[1:]
+    out = list(unigram.decode(Rows(), model)(iter([back])))
+    assert len(out) > 1 and [t for b in out for t in b.column(1).to_pylist()] == [(t or "") for t in texts] + [None]
