@@ -2,8 +2,10 @@
 
 import gzip
 import time
+import tracemalloc
 from random import Random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -148,3 +150,35 @@ def test_image_window_only_on_request(spark):
     df = spark.range(1)
     assert len(df.select(pages.image_records(F.lit(body))).first()[0]) == 250
     assert [x.ID for x in df.select(pages.image_records(F.lit(body), limit=2, offset=248)).first()[0]] == ["248", "249"]
+
+
+def test_only_a_slice_of_a_batch_is_held_as_objects(spark, monkeypatch):
+    """Four times the pages in a batch do not take more memory of Python; nulls, empty pages and pages beyond a slice keep their places."""
+    caught = []
+
+    class Marked:
+        def asNondeterministic(self):
+            return lambda column: None
+
+    monkeypatch.setattr(markup.F, "arrow_udf", lambda run, ddl: caught.append(run) or Marked())
+    markup.select_elements(None, [markup.Select("cells", "td"), markup.Select("low", kind="text")])
+    (run,) = caught
+    pages = [f"<table><tr>{f'<td>cell {i}</td>' * 40}</tr></table>" for i in range(8000)]
+    pages[3], pages[5], pages[7] = None, "", "<td>x</td>" * 200_000
+
+    def peak(n):
+        batch = pa.array(pages[:n], pa.string())
+        tracemalloc.start()
+        result = run(batch)
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return result, most
+
+    pages[7] = "<td>x</td>" * 1000
+    (small, at_small), (large, at_large) = peak(2000), peak(8000)
+    assert at_large < 1.5 * at_small
+    pages[7] = "<td>x</td>" * 200_000
+    large = peak(8000)[0]
+    assert len(large) == 8000 and len(run(pa.array([], pa.string()))) == 0
+    assert [len(large[i]["cells"]) for i in (0, 3, 5, 7, 7999)] == [40, 0, 0, 200_000, 40]
+    assert [large[i]["low"].as_py() for i in (3, 5)] == ["", ""] and large[7999]["cells"][0]["text"].as_py() == "cell 7999"
