@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.cloudpickle import register_pickle_by_value
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.session import materialize, shared_folder
 
-__all__ = ["first_of_group", "in_batches", "materialize", "read_table", "salt_of", "shared_folder", "ship", "slots"]
+__all__ = ["first_of_group", "in_batches", "lean", "materialize", "read_table", "salt_of", "shared_folder", "ship", "slots"]
 
 register_pickle_by_value(sys.modules[__name__])
 
@@ -60,3 +61,30 @@ def in_batches(columns: list[Iterator], schema: pa.Schema) -> pa.RecordBatch:
     """Record batch of equally long Python lists or arrays."""
     arrays = [c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)]
     return pa.RecordBatch.from_arrays(arrays, schema=schema)
+
+
+def give_back() -> None:
+    """Return memory that nothing uses to the system; allocators keep it otherwise."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+        if trim:
+            trim(0)
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` for ``mapInArrow``, giving memory back after each batch it is handed and when it ends.
+
+    Python workers outlive their tasks and serve other stages, so what one stage keeps is missing in the next.
+    """
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch
+            give_back()
+
+    def lean_run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(read(batches))
+        give_back()
+
+    return lean_run

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import first_of_group, materialize, ship
+from shelfmark.llm.common import first_of_group, lean, materialize, ship
 
 ship(__name__)
 
@@ -87,7 +87,7 @@ def marks(docs: DataFrame, min_words: int) -> DataFrame:
             columns = zip(*rows, strict=True) if rows else [[] for _ in schema]
             yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
-    return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text"), "text").mapInArrow(run, MARK)
+    return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text"), "text").mapInArrow(lean(run), MARK)
 
 
 def repeats(docs: DataFrame, min_words: int) -> DataFrame:
@@ -142,4 +142,4 @@ def dedup_lines(docs: DataFrame, min_words: int = 5) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*columns, pa.array(lines, pa.int64()), pa.array(cut, pa.int64())], [*own, "n_lines", "n_cut"])
 
     kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name in own]
-    return joined.mapInArrow(run, ", ".join([*kinds, "n_lines long", "n_cut long"]))
+    return joined.mapInArrow(lean(run), ", ".join([*kinds, "n_lines long", "n_cut long"]))

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import SALTS, first_of_group, materialize, salt_of, ship, slots
+from shelfmark.llm.common import SALTS, first_of_group, lean, materialize, salt_of, ship, slots
 from shelfmark.llm.components import connected_components
 
 ship(__name__)
@@ -102,7 +102,7 @@ def signatures(docs: DataFrame, k: int, bands: int, rows: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, schema, strict=True)], schema=schema)
 
     ids = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary"))
-    return ids.mapInArrow(run, "doc_id long, n_shingles long, digest binary, bands array<long>")
+    return ids.mapInArrow(lean(run), "doc_id long, n_shingles long, digest binary, bands array<long>")
 
 
 def id_bucket(c: str | Column) -> Column:
@@ -122,7 +122,7 @@ def sets_of(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], schema=schema)
 
     exact = near.select("doc_id", "text").join(wanted.select("doc_id").distinct(), "doc_id", "left_semi")
-    return exact.mapInArrow(run, "doc_id long, set binary")
+    return exact.mapInArrow(lean(run), "doc_id long, set binary")
 
 
 def verify(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
@@ -157,7 +157,7 @@ def verify(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in found], schema=schema)
 
     dealt = rows.repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    return dealt.mapInArrow(lean(run), "a long, b long").distinct()
 
 
 class Held:
@@ -220,7 +220,7 @@ def settle(members: DataFrame, components: DataFrame, docs: DataFrame, k: int, p
                         found[1].append(doc)
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in found], schema=schema)
 
-    return dealt.mapInArrow(run, "a long, b long")
+    return dealt.mapInArrow(lean(run), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS) -> DataFrame:

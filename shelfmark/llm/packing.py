@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import in_batches, materialize, ship, slots
+from shelfmark.llm.common import in_batches, lean, materialize, ship, slots
 from shelfmark.llm.tokens import WordTokens
 
 ship(__name__)
@@ -135,7 +135,7 @@ def tokenize(docs: DataFrame, tokenizer: str, capacity: int, keep_ids: bool = Fa
             yield in_batches(out, schema)
 
     ddl = PIECES + ", ids array<int>" * keep_ids
-    return docs.select(F.col("doc_id").cast("long"), F.col("text")).mapInArrow(run, ddl)
+    return docs.select(F.col("doc_id").cast("long"), F.col("text")).mapInArrow(lean(run), ddl)
 
 
 def place_pieces(pieces: DataFrame, capacity: int) -> DataFrame:

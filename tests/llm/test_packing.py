@@ -94,3 +94,12 @@ def test_pack(spark):
             end += n
         assert end <= 64
     assert packing.pack(df.limit(0), PATH, 64).collect() == []
+
+
+def test_workers_give_memory_back_after_each_batch(monkeypatch):
+    from shelfmark.llm import common
+
+    given = []
+    monkeypatch.setattr(common, "give_back", lambda: given.append(1))
+    assert list(common.lean(lambda batches: (b + 1 for b in batches))(iter([1, 2, 3]))) == [2, 3, 4]
+    assert len(given) == 4
