@@ -467,7 +467,7 @@ def detail_pages(spark, sf_dir):
     listings = extract.extract_listings(pages, partitions=spark.sparkContext.defaultParallelism)
     addresses = pages.select(F.regexp_extract("url", r"(\d+)\.htm", 1).alias("_id"), F.filter(anchors("html"), lambda a: a["href"].startswith("/l"))[0]["href"].alias("href"))
     price = {n: F.element_at("pricing.duration_prices", F.lit(PRICE_KEYS[i])) for n, i in (("onsite_first", 0), ("onsite_last", 3), ("offsite_first", 4))}
-    return listings.join(addresses, F.col("id") == F.col("_id")).select(
+    flat = listings.select(
         "id",
         "title",
         F.element_at("attrs.num", "width").alias("width"),
@@ -477,5 +477,6 @@ def detail_pages(spark, sf_dir):
         F.array_join("location.stations", "|").alias("stations"),
         F.col("location.district").alias("district"),
         "last_updated",
-        "href",
     )
+    # Both sides are as long as the table but look small by its packed files: without the hint one is broadcast through the driver.
+    return flat.hint("merge").join(addresses, F.col("id") == F.col("_id")).drop("_id")

@@ -194,3 +194,23 @@ def test_export(spark, tmp_path):
     rows = [json.loads(line) for p in (tmp_path / "json").glob("part*") for line in p.read_text().splitlines()]
     assert {"URL": "https://h/listing5", "Title": "a", "ID": "5"} in rows and len(rows) == 6
     assert sum(len(p.read_text().splitlines()) for p in (tmp_path / "text").glob("part*")) == 6
+
+
+def test_detail_pages_join_without_a_broadcast(spark, tmp_path):
+    from shelfmark.plans import QUERIES
+
+    parts = [(i, f"lamp {i}", "red", "Парк", 3) for i in range(1, 41)]
+    # A part that comes twice meets both of its addresses; one without a key has none.
+    parts += [parts[6], (None, "none", "red", "Парк", 3)]
+    schema = "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int"
+    spark.createDataFrame(parts, schema).write.parquet(str(tmp_path / "part.parquet"))
+    df = QUERIES["detail_pages"](spark, str(tmp_path))
+    got = df.collect()
+    assert sorted(int(r.id) for r in got) == sorted([*range(1, 41), 7, 7, 7])
+    seven = [r for r in got if r.id == "7"]
+    assert set(seven) == {
+        ("7", "lamp 7", 3, "red", False, 300, 303, 600, "Парк", "red", "17.03.2024", "/l?x=1&region=2&copy=3")
+    }
+    # Listings grow with the table and are far larger than its files: no size may send them through the driver.
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "isFinalPlan=true" in plan and "SortMergeJoin" in plan and "Broadcast" not in plan
